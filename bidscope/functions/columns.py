@@ -154,7 +154,7 @@ def truncate_label(c, n: int = 23) -> Column:
 def parse_date(c) -> Column:
     """``to_datetime(errors='coerce')``: bad text → null; years outside the
     pandas timestamp range (1677–2262) → null as well."""
-    d = F.try_to_date(col_or(c), F.lit("yyyy-MM-dd"))
+    d = F.try_to_date(col_or(c), "yyyy-MM-dd")
     y = F.year(d)
     return F.when((y >= 1678) & (y <= 2261), d)
 

@@ -25,13 +25,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100_000
-DEFAULT_GRID = 2_000
+DEFAULT_ACCURACY = 50_000
+DEFAULT_GRID = 512
 
 
-def _grid(grid: int, fixed: Sequence[float], accuracy: int) -> list[float]:
+def _extra_probs(fixed: Sequence[float], accuracy: int) -> list[float]:
     eps = 2.0 / accuracy
-    pts = {k / grid for k in range(grid + 1)}
+    pts = set()
     for p in fixed:
         pts.add(max(0.0, p - eps))
         pts.add(min(1.0, p + eps))
@@ -51,27 +51,34 @@ def order_statistics(values: DataFrame, x: str, targets: DataFrame, group_cols:
     g = list(group_cols)
     v = values.select(*g, F.col(x).cast("double").alias("_x")).filter(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
-    probs = _grid(grid, fixed_probs, accuracy)
+    extra = _extra_probs(fixed_probs, accuracy)
+    probs = [k / grid for k in range(grid + 1)] + extra   # one foldable literal
     eps = 2.0 / accuracy
 
     sketch = v.groupBy(*g).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_x", probs, accuracy).alias("_q"))
-    probs_arr = F.array(*[F.lit(p) for p in probs])
 
-    # Bracket per target: largest grid prob <= pos/n - eps, smallest >= (pos+1)/n + eps.
+    # Bracket per target: value at the largest sketch prob <= lo_frac and at
+    # the smallest sketch prob >= hi_frac.  Grid indices are arithmetic; the
+    # few extra probabilities (around fixed percentiles) are tested one by one.
     t = targets.join(sketch, g) if g else targets.crossJoin(F.broadcast(sketch))
     # two rows of slack on each side absorb the sketch's rank convention
-    frac_lo = (F.col("_pos") - F.lit(2.0)) / F.col("_n") - F.lit(eps)
-    frac_hi = (F.col("_pos") + F.lit(3.0)) / F.col("_n") + F.lit(eps)
-    n_le = F.size(F.filter(probs_arr, lambda p: p <= frac_lo))           # index+1 of last <=
-    n_lt = F.size(F.filter(probs_arr, lambda p: p < frac_hi))            # index of first >=
-    t = t.select(
-        *g, "_t", "_pos",
-        F.when(n_le > 0, F.element_at("_q", n_le)).alias("_lo"),          # null = -inf
-        F.when(n_lt < len(probs), F.element_at("_q", n_lt + 1)).alias("_hi"),  # null = +inf
-    ).withColumn("_r", F.floor("_pos")).withColumn("_s", F.ceil("_pos")) \
-     .withColumn("_f", F.col("_pos") - F.col("_r"))
+    lo_frac = (F.col("_pos") - F.lit(2.0)) / F.col("_n") - F.lit(eps)
+    hi_frac = (F.col("_pos") + F.lit(3.0)) / F.col("_n") + F.lit(eps)
+    lo_k = F.floor(lo_frac * F.lit(float(grid)))
+    hi_k = F.ceil(hi_frac * F.lit(float(grid)))
+    lo_c = [F.when(lo_k >= 0, F.element_at("_q", (lo_k + 1).cast("int")))]
+    hi_c = [F.when(hi_k <= grid, F.element_at("_q", (hi_k + 1).cast("int")))]
+    for j, e in enumerate(extra):
+        idx = grid + 2 + j
+        lo_c.append(F.when(F.lit(e) <= lo_frac, F.element_at("_q", idx)))
+        hi_c.append(F.when(F.lit(e) >= hi_frac, F.element_at("_q", idx)))
+    lo = F.greatest(*lo_c) if len(lo_c) > 1 else lo_c[0]      # null = -inf
+    hi = F.least(*hi_c) if len(hi_c) > 1 else hi_c[0]         # null = +inf
+    t = t.select(*g, "_t", "_pos", lo.alias("_lo"), hi.alias("_hi")) \
+         .withColumn("_r", F.floor("_pos")).withColumn("_s", F.ceil("_pos")) \
+         .withColumn("_f", F.col("_pos") - F.col("_r"))
 
     vc = v.groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_c"))
     j = vc.join(t, g) if g else vc.crossJoin(F.broadcast(t))
