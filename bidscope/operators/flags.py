@@ -152,7 +152,7 @@ def pair_totals(df: DataFrame, p: RuleParams) -> DataFrame:
     number of non-null amounts, number of rows."""
     b, s = p.buyer, p.supplier
     return (df.filter(F.col(b).isNotNull() & F.col(s).isNotNull()).groupBy(b, s)
-              .agg(F.coalesce(F.sum(p.amount), dbl(0)).alias("_sum"),
+              .agg(F.coalesce(F.sum(p.amount), F.lit(0).cast(df.schema[p.amount].dataType)).alias("_sum"),
                    F.count(p.amount).alias("_cnt"),
                    F.count(F.lit(1)).alias("_n")))
 
