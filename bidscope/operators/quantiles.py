@@ -129,3 +129,36 @@ def hash_rank_value(h: Column) -> Column:
     """Order-preserving double of an md5 hex string (first 13 hex digits =
     52 bits, exact in a double)."""
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("double")
+
+
+def take_smallest(df: DataFrame, h: str, n: Column, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Rows with the ``n`` smallest values of ``h`` per group (all rows when a
+    group is smaller).  ``h`` must be (almost surely) distinct, e.g. a hash.
+    The cut-off is the distributed order statistic at rank n-1; no sort of
+    the group and no single-task top-n."""
+    g = list(group_cols)
+    sizes = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_cnt"), F.first(n).alias("_want"))
+    targets = sizes.select(*g, F.lit(0).alias("_t"),
+                           (F.least(F.col("_want"), F.col("_cnt")) - F.lit(1)).cast("double").alias("_pos")) \
+                   .filter(F.col("_pos") >= 0)
+    thr = order_statistics(df.select(*g, h), h, targets, g).select(*g, F.col("value").alias("_cut"))
+    j = df.join(thr, g) if g else df.crossJoin(F.broadcast(thr))
+    return j.filter(F.col(h) <= F.col("_cut")).drop("_cut")
+
+
+def k_smallest_per_group(df: DataFrame, h: str, k: int, group_cols: Sequence[str]) -> DataFrame:
+    """Rows holding the ``k`` smallest ``h`` of each group, for a small fixed
+    ``k``: k rounds of a per-group ``min`` above the previous cut.  Each round
+    is a partially aggregated group-by, so a hot group costs one row per map
+    task; no window and no sketch."""
+    g = list(group_cols)
+    keys = df.select(*g, h)
+    cut = keys.groupBy(*g).agg(F.min(h).alias("_c0"))
+    for i in range(1, k):
+        nxt = keys.join(cut.select(*g, f"_c{i - 1}"), g) \
+                  .filter(F.col(h) > F.col(f"_c{i - 1}")) \
+                  .groupBy(*g).agg(F.min(h).alias(f"_c{i}"))
+        cut = cut.join(nxt, g, "left")
+    last = F.coalesce(*[F.col(f"_c{i}") for i in reversed(range(k))])
+    cut = cut.select(*g, last.alias("_kcut"))
+    return df.join(cut, g).filter(F.col(h) <= F.col("_kcut")).drop("_kcut")
