@@ -116,10 +116,10 @@ class FeatureModel:
         med = self.median_offres if c == "offresRecues" else None
         return (_num_input(c, med) - dbl(self.mean[c])) / dbl(self.scale[c])
 
-    def transform(self, df: DataFrame, key: str = "uid") -> DataFrame:
-        """Wide form: one double column per feature name."""
+    def transform(self, df: DataFrame, key: str = "uid", keep: tuple[str, ...] = ()) -> DataFrame:
+        """Wide form: one double column per feature name (plus ``keep``)."""
         d = prepare(df)
-        cols = [F.col(key)]
+        cols = [F.col(key), *[F.col(c) for c in keep]]
         cols += [self._num_expr(c).alias(self.num_name(c)) for c in self.spec.numerical]
         cols += [_bin_input(c).alias(f"binary_pipeline__{c}") for c in self.spec.binary]
         for c in self.spec.categorical:
@@ -143,9 +143,11 @@ class FeatureModel:
         return d.select(key, F.explode(F.array(*items)).alias("_f")).filter(F.col("_f").isNotNull()) \
                 .select(key, "_f.feature", "_f.value")
 
-    def assemble(self, df: DataFrame, key: str = "uid", out: str = "features") -> DataFrame:
-        wide = self.transform(df, key)
-        return VectorAssembler(inputCols=self.feature_names(), outputCol=out).transform(wide).select(key, out)
+    def assemble(self, df: DataFrame, key: str = "uid", out: str = "features",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+        wide = self.transform(df, key, keep)
+        return VectorAssembler(inputCols=self.feature_names(), outputCol=out).transform(wide) \
+            .select(key, *keep, out)
 
     # ---- persistence (a one-row JSON document in the shared folder)
     def save(self, spark, path: str) -> None:

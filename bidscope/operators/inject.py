@@ -265,8 +265,11 @@ def inject_replace(df: DataFrame, types: Sequence[str] = TYPES, p: InjectParams
     j = df.join(win, p.key, "left")
     sets = {k: F.when(F.col("type_code").isNotNull() & F.col(f"new_{k}").isNotNull(), F.col(f"new_{k}"))
                 .otherwise(F.col(k)) for k in NEW_COLS if k in df.columns}
-    return j.withColumns(sets).withColumn("is_synthetic_anomaly", F.coalesce("type_code", F.lit(0))) \
-            .drop("type_code", *[f"new_{k}" for k in NEW_COLS])
+    out = j.withColumns(sets).withColumn("is_synthetic_anomaly", F.coalesce("type_code", F.lit(0))) \
+           .drop("type_code", *[f"new_{k}" for k in NEW_COLS])
+    # the labelled table feeds several consumers (detector statistics,
+    # thresholds, evaluation): write it once instead of re-deriving it
+    return materialize(out)
 
 
 def inject_append(df: DataFrame, types: Sequence[str] = TYPES, p: InjectParams = InjectParams()) -> DataFrame:

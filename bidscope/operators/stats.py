@@ -198,8 +198,10 @@ def dense_ids(keys: DataFrame, key: str, out: str = "id", offset: Column | int =
     """
     spark = keys.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = keys.select(key).filter(F.col(key).isNotNull()).distinct() \
-            .repartitionByRange(n_parts, key).withColumn("_pid", F.spark_partition_id())
+    from bidscope.session import cut_lineage
+    # partition ids are read by two branches below: pin them by writing once
+    d = cut_lineage(keys.select(key).filter(F.col(key).isNotNull()).distinct()
+                    .repartitionByRange(n_parts, key).withColumn("_pid", F.spark_partition_id()))
     local = d.withColumn("_loc", F.row_number().over(Window.partitionBy("_pid").orderBy(key)) - 1)
     sizes = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_sz"))
     # one row per partition: bounded by the partition count
@@ -228,3 +230,21 @@ def replace_rows(df: DataFrame, new: DataFrame, key: str = "uid") -> DataFrame:
 def log_edges(lo_exp: float, hi_exp: float, bins: int) -> list[float]:
     step = (hi_exp - lo_exp) / bins
     return [math.pow(10.0, lo_exp + i * step) for i in range(bins + 1)]
+
+
+def ordered_prefix_sums(df: DataFrame, order: str, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Exact running totals of ``cols`` over a global order, strictly before
+    each row (``<col>_before``), without a single-task window: rows are
+    range-partitioned on ``order``, each partition sums locally, and the
+    per-partition totals (one row per partition) give the offsets.
+    ``order`` must be unique (aggregate duplicates first)."""
+    from bidscope.session import cut_lineage
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = cut_lineage(df.repartitionByRange(n_parts, order).withColumn("_pid", F.spark_partition_id()))
+    w = Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = d.withColumns({f"_l_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
+    tot = d.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)     # one row per partition
+    offs = tot.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(wo), F.lit(0)).alias(f"_o_{c}") for c in cols])
+    out = local.join(F.broadcast(offs), "_pid")
+    return out.select(*df.columns, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"{c}_before") for c in cols])

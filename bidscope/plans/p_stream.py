@@ -1 +1,23 @@
-"""Plans (filled in below)."""
+"""stream_bursts: Structured Streaming over the events table, with its batch
+twin as the SQL oracle."""
+
+from __future__ import annotations
+
+import uuid
+
+from bidscope.plans.registry import plan
+from bidscope.session import scratch_path
+from bidscope.streaming import bursts as B
+
+K = 5
+
+
+@plan("stream_bursts", f"""
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, user_id, event_type, count(*) AS n_events FROM (
+  SELECT user_id, event_type, date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) AS ws
+  FROM events, range(0, 7) r(k)) t
+GROUP BY 1, 2, 3 HAVING count(*) >= {K}""", "2.13")
+def stream_bursts(spark, sf):
+    # a fresh output/checkpoint pair in the shared folder for each run
+    base = scratch_path(spark, f"stream_bursts/{uuid.uuid4().hex[:12]}")
+    return B.run_stream(spark, sf, "events.parquet", f"{base}/out", f"{base}/checkpoint", K)
