@@ -153,6 +153,10 @@ def k_smallest_per_group(df: DataFrame, h: str, k: int, group_cols: Sequence[str
     task; no window and no sketch."""
     g = list(group_cols)
     keys = df.select(*g, h)
+    if k > 1:
+        # every round re-reads the (group, key) projection: write it once
+        from bidscope.session import cut_lineage
+        keys = cut_lineage(keys)
     cut = keys.groupBy(*g).agg(F.min(h).alias("_c0"))
     for i in range(1, k):
         nxt = keys.join(cut.select(*g, f"_c{i - 1}"), g) \

@@ -80,8 +80,8 @@ def knn_topk(spark, sf):
 
 
 @plan("vector_topk", """
-WITH e AS (SELECT vec_id, label, CAST(v AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM (
-             SELECT vec_id, label, embedding, unnest(embedding) AS v FROM embeddings) a),
+WITH e AS (SELECT vec_id, label, CAST(v AS DOUBLE) AS v, i FROM (
+             SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) a),
 c AS (SELECT label, i, avg(v) AS c FROM e GROUP BY 1, 2),
 cn AS (SELECT label, sqrt(sum(c * c)) AS n FROM c GROUP BY 1),
 en AS (SELECT vec_id, sqrt(sum(v * v)) AS n FROM e GROUP BY 1),

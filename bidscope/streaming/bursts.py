@@ -31,6 +31,7 @@ def window_counts(events: DataFrame, window_len: str = "7 days", slide: str = "1
 
 def bursts_batch(events: DataFrame, k: int, window_len: str = "7 days", slide: str = "1 day") -> DataFrame:
     """Batch twin of the streaming query (same windows, same threshold)."""
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     c = events.groupBy(F.window("ts", window_len, slide), "user_id", "event_type") \
               .agg(F.count(F.lit(1)).alias("n_events"))
     return _shape(c.filter(F.col("n_events") >= k))
@@ -46,6 +47,8 @@ def run_stream(spark: SparkSession, source_dir: str, file_glob: str, out_path: s
     """Process every file available now, then stop; return the bursts."""
     stream = (spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", file_glob)
                    .option("maxFilesPerTrigger", 1).parquet(source_dir))
+    # event time must be a session-zone TIMESTAMP for watermarks
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     counts = window_counts(stream, window_len, slide, watermark)
 
     def upsert(batch: DataFrame, epoch: int) -> None:
