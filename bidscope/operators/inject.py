@@ -232,8 +232,8 @@ def materialize(df: DataFrame) -> DataFrame:
     input some thirty times; writing it once (and cutting the lineage, so a
     lost executor re-reads files instead of recomputing the joins) is cheaper
     than recomputing the contract view for each read."""
-    from bidscope.session import cut_lineage
-    return cut_lineage(df)
+    from bidscope.session import stage
+    return stage(df, "inject")
 
 
 def candidates(df: DataFrame, types: Sequence[str] = TYPES, p: InjectParams = InjectParams(),

@@ -14,7 +14,7 @@ from bidscope.operators.quantiles import exact_quantile_row, exact_quantiles
 from bidscope.plans import p_inject as PI
 from bidscope.plans.oracle import with_contracts
 from bidscope.plans.registry import plan
-from bidscope.sources.tables import contracts
+from bidscope.sources.tables import contracts, contracts_staged
 
 U42 = "(CAST(('0x' || substr(md5(uid || ':' || '42'), 1, 7)) AS BIGINT) / CAST(268435456 AS DOUBLE))"
 
@@ -182,7 +182,7 @@ INJ_SQL = PI.BASE + ",\n  " + PI.WIN_SQL + """,
 
 
 def _detected(spark, sf):
-    inj = IJ.inject_replace(contracts(spark, sf), IJ.TYPES, PI.P)
+    inj = IJ.inject_replace(contracts_staged(spark, sf), IJ.TYPES, PI.P)
     st = inj.groupBy("categorie").agg(F.avg("montant").alias("_m"), F.stddev_samp("montant").alias("_sd"))
     z = inj.join(st, "categorie").select("uid", F.col("is_synthetic_anomaly").alias("t"),
                                           (F.abs(F.col("montant") - F.col("_m")) / F.col("_sd")).alias("z"))
@@ -215,3 +215,14 @@ def error_stats_by_type(spark, sf):
                     F.round("median_error", 6).alias("median_error"))
 
 
+
+
+@plan("label_join", with_contracts(f"""
+SELECT pr.uid, pr.label, pr.pred, CAST(pr.label = pr.pred AS INTEGER) AS correct, t.montant
+FROM pr JOIN test t USING (uid)""", SPLIT), "2.3")
+def label_join(spark, sf):
+    """Predictions aligned to their rows by ``uid`` (never by position)."""
+    d = C.split_random(contracts(spark, sf), 0.2, 42).filter(F.col("split") == "test").select("uid", "montant")
+    p = _pred(spark, sf)
+    return p.join(d, "uid").select("uid", "label", "pred", (F.col("label") == F.col("pred")).cast("int")
+                                    .alias("correct"), "montant")

@@ -11,7 +11,7 @@ from bidscope.operators import features as FE
 from bidscope.plans.oracle import cpv_level_sql, with_contracts
 from bidscope.plans.registry import plan
 from bidscope.session import scratch_path
-from bidscope.sources.tables import contracts
+from bidscope.sources.tables import contracts, contracts_staged
 
 U42 = "(CAST(('0x' || substr(md5(uid || ':' || '42'), 1, 7)) AS BIGINT) / CAST(268435456 AS DOUBLE))"
 PREP = f"""prep AS (SELECT *, {cpv_level_sql('codeCPV', 2)} AS codeCPV_2, {cpv_level_sql('codeCPV', 3)} AS codeCPV_3,
@@ -62,7 +62,8 @@ def feature_long_sql(spec: FE.FeatureSpec, apply_to: str) -> str:
 
 
 def _split(spark, sf):
-    return C.split_random(FE.prepare(contracts(spark, sf)), 0.2, 42)
+    # fit (two passes + levels) and transform read it: stage the view once
+    return C.split_random(FE.prepare(contracts_staged(spark, sf)), 0.2, 42)
 
 
 def _fit_transform(spark, sf, spec, apply_split):

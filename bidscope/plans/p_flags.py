@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bidscope.operators import flags as FL
 from bidscope.plans.oracle import with_contracts
 from bidscope.plans.registry import plan
-from bidscope.sources.tables import contracts
+from bidscope.sources.tables import contracts, contracts_staged
 
 P = FL.params_for_tests()
 COMP = "('Appel d''offres ouvert', 'Appel d''offres restreint')"
@@ -81,7 +81,8 @@ FROM (
 
 
 def _c(spark, sf):
-    return contracts(spark, sf)
+    # ten rules read the contract view: stage it once
+    return contracts_staged(spark, sf)
 
 
 @plan("anomaly_report", REPORT_SQL, "2.10")

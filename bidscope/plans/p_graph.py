@@ -12,7 +12,7 @@ from bidscope.operators import graph as G
 from bidscope.plans.oracle import cpv_level_sql, with_contracts
 from bidscope.plans.registry import plan
 from bidscope.session import scratch_path
-from bidscope.sources.tables import contracts
+from bidscope.sources.tables import contracts, contracts_staged
 
 FEATS = ["montant", "dureeMois", "offresRecues"]
 
@@ -53,7 +53,7 @@ def _c(spark, sf):
 
 
 def _graph(spark, sf):
-    c = _c(spark, sf)
+    c = contracts_staged(spark, sf)
     nodes, edges = G.build_graph(c)
     return c, nodes, edges
 

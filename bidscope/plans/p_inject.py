@@ -154,7 +154,7 @@ def _make(tname: str):
 
     @plan(short, with_contracts(rounded() + f"({T_SQL[tname]}) q", BASE), "2.11")
     def build(spark, sf):
-        c = IJ.materialize(contracts(spark, sf))
+        c = IJ.materialize(contracts(spark, sf))   # staged once, read by all sub-plans
         n = IJ.per_type_count(c, len(IJ.TYPES), P)
         return _round_spark(IJ.GENERATORS[tname](c, n, P))
     return build

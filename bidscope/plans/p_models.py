@@ -191,3 +191,17 @@ def recon_error_edges(spark, sf):
     sc = StandardScaler(inputCol="features", outputCol="_scaled", withMean=True, withStd=True).fit(allx).transform(allx)
     err = M.reconstruction_error(sc, model, "_scaled").select("uid", "recon_error")
     return G.threshold_flag(err, "recon_error", 5.0)
+
+
+@plan("isolation_forest", None, "2.13")
+def isolation_forest(spark, sf):
+    """100 trees of 256 rows on robust-scaled amount/duration/bids,
+    contamination 0.005 (the notebook setting)."""
+    from bidscope.operators import iforest as IF
+    c = C.split_random(contracts(spark, sf), 0.2, 42)
+    train = c.filter(F.col("split") == "train")
+    scaled = c
+    for col in ("montant", "dureeMois", "offresRecues"):
+        scaled = FE.scale_robust(train, scaled, col)
+    scaled = cut_lineage(scaled.select("uid", "montant", "dureeMois", "offresRecues"))
+    return IF.isolation_forest(scaled, ["montant", "dureeMois", "offresRecues"], 0.005)

@@ -90,7 +90,8 @@ SELECT * FROM (
 def best_worst(spark, sf):
     # ranks over the 10-row report: bounded
     from pyspark.sql import Window
-    rep = FL.anomaly_report(contracts(spark, sf), FL.params_for_tests()).select("anomaly_type", "percentage")
+    from bidscope.sources.tables import contracts_staged
+    rep = FL.anomaly_report(contracts_staged(spark, sf), FL.params_for_tests()).select("anomaly_type", "percentage")
     best = rep.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("percentage"), "anomaly_type"))) \
               .withColumn("side", F.lit("best"))
     worst = rep.withColumn("rank", F.row_number().over(Window.orderBy(F.asc("percentage"), "anomaly_type"))) \

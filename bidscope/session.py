@@ -72,3 +72,16 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Used for an intermediate that many branches of one plan read (e.g. the
+    contract view behind ten rules): later reads are plain scans with column
+    pruning and filter pushdown instead of re-running the joins, and the
+    lineage is cut, so a lost executor re-reads files."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"stage/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -143,6 +143,13 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def contracts_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract view written once to the shared folder (for plans that
+    read it many times; see ``session.stage``)."""
+    from bidscope.session import stage
+    return stage(contracts(spark, sf_dir), "contracts")
+
+
 def cpv_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference CPV list (CODE, FR): the code of every part, except the ones
     whose check digit is 3, so that some contract codes are missing.

@@ -73,3 +73,15 @@ def test_threshold_flag_fixture(spark):
     out = G.threshold_flag(df, "e", 10.0).toPandas()
     assert abs(out.threshold.iloc[0] - 9.1) < 1e-12
     assert out[out.is_anomaly].e.tolist() == [10.0]
+
+
+def test_isolation_forest_ranks_outlier_first(spark):
+    from bidscope.operators import iforest as IF
+    rng = np.random.default_rng(4)
+    pts = rng.normal(0, 1, (2000, 2))
+    rows = [(str(i), float(a), float(b)) for i, (a, b) in enumerate(pts)] + [("out", 25.0, -25.0)]
+    df = spark.createDataFrame(rows, "uid string, a double, b double")
+    res = IF.isolation_forest(df, ["a", "b"], contamination=0.001, n_trees=50, max_samples=128).toPandas()
+    top = res.sort_values("anomaly_score", ascending=False).iloc[0]
+    assert top.uid == "out" and top.prediction == -1
+    assert res.anomaly_score.between(0, 1).all()
