@@ -46,6 +46,7 @@ def main() -> None:
     from bidscope.session import get_session
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
     plans = load_all()
+    spark.range(1000).selectExpr("sum(id)").collect()    # JVM/codegen warm-up, not timed
     times: dict[str, float] = {}
     for name in names:
         t0 = time.time()

@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidscope.functions.columns import dbl, parse_date, pct, prevalence_status
-from bidscope.operators.quantiles import exact_quantile_row
 from bidscope.sources.tables import COMPETITIVE_PROCEDURES, NON_COMPETITIVE_PROCEDURES
 
 # Rule names in the reference's order.
@@ -115,10 +114,16 @@ def with_price_flags(df: DataFrame, p: RuleParams) -> DataFrame:
 
 # ------------------------------------------------------------ global percentiles
 def global_thresholds(df: DataFrame, p: RuleParams) -> DataFrame:
-    """One row: p75 of amount, p95 of duration (exact, distributed)."""
-    q_a = exact_quantile_row(df, p.amount, [p.proc_pct], ["_amount_p"])
-    q_d = exact_quantile_row(df, p.duration, [p.duration_pct], ["_duration_p"])
-    return q_a.crossJoin(q_d)
+    """One row: p75 of amount, p95 of duration (exact, distributed), both
+    from one grouped order-statistics pass over the stacked columns."""
+    from bidscope.operators.quantiles import exact_quantiles
+    long = df.select(F.explode(F.array(
+        F.struct(F.lit("a").alias("_which"), F.col(p.amount).cast("double").alias("_v")),
+        F.struct(F.lit("d").alias("_which"), F.col(p.duration).cast("double").alias("_v")))).alias("_s")) \
+        .select("_s._which", "_s._v")
+    q = exact_quantiles(long, "_v", [p.proc_pct, p.duration_pct], ["_qa", "_qd"], ["_which"])
+    return q.agg(F.max(F.when(F.col("_which") == "a", F.col("_qa"))).alias("_amount_p"),
+                 F.max(F.when(F.col("_which") == "d", F.col("_qd"))).alias("_duration_p"))   # always one row
 
 
 def with_percentile_flags(df: DataFrame, p: RuleParams) -> DataFrame:

@@ -68,11 +68,6 @@ def _shape(df: DataFrame, t: str, p: InjectParams, slot: Column | None = None, *
     return df.select(*cols)
 
 
-def _take_rows(elig: DataFrame, t: str, n: DataFrame, p: InjectParams) -> DataFrame:
-    e = elig.withColumn("_h", _h(p.key, p=p, salt=t)).crossJoin(F.broadcast(n))  # n: one row
-    return take_smallest(e, "_h", F.col("_n")).drop("_h")
-
-
 def _cat_stats(df: DataFrame, p: InjectParams) -> DataFrame:
     a, c = F.col(p.amount), F.col(p.category)
     return (df.filter(a.isNotNull() & c.isNotNull() & (a > 0)).groupBy(p.category)
@@ -81,61 +76,88 @@ def _cat_stats(df: DataFrame, p: InjectParams) -> DataFrame:
 
 
 # ---------------------------------------------------------------- row types
-def single_bid(df, n, p):
-    e = df.filter(F.col("procedure").isin(*COMPETITIVE_PROCEDURES) & (F.col("offresRecues") > 1))
-    return _shape(_take_rows(e, "single_bid_competitive", n, p), "single_bid_competitive", p,
-                  offresRecues=dbl(1))
-
-
-def price_inflation(df, n, p):
-    t = "price_inflation"
-    a = F.col(p.amount)
-    e = df.filter(a.isNotNull() & (a > 0)).join(_cat_stats(df, p), p.category)
-    thr = F.col("_cm") + dbl(3) * F.col("_cs")
-    e = e.filter(a < thr).withColumn("_thr", thr)
-    s = _take_rows(e, t, n, p)
-    return _shape(s, t, p, montant=F.col("_thr") * (dbl(1.1) + _u(p.key, p=p, salt=t + ":m") * dbl(0.4)))
-
-
-def price_deflation(df, n, p):
-    t = "price_deflation"
-    a = F.col(p.amount)
-    e = df.filter(a.isNotNull() & (a > 0)).join(_cat_stats(df, p), p.category)
-    thr = F.greatest(F.col("_cm") - dbl(3) * F.col("_cs"), dbl(0))
-    e = e.filter(a > thr).withColumn("_thr", thr)
-    s = _take_rows(e, t, n, p)
-    u = _u(p.key, p=p, salt=t + ":m")
-    new = F.when(F.col("_thr") > 0, F.col("_thr") * (dbl(0.5) + u * dbl(0.4))) \
-           .otherwise(F.col("_cm") * (dbl(0.01) + u * dbl(0.04)))
-    return _shape(s, t, p, montant=new)
-
-
-def procedure_manipulation(df, n, p):
-    t = "procedure_manipulation"
-    e = df.filter(F.col("procedure").isin(*COMPETITIVE_PROCEDURES))
-    s = _take_rows(e, t, n, p)
-    pick = F.when(_u(p.key, p=p, salt=t + ":p") < dbl(0.5), F.lit(NON_COMPETITIVE_PROCEDURES[0])) \
+# Each row type is (eligible rows, new values).  All requested row types are
+# stacked into one table keyed by type and selected with a single grouped
+# ``take_smallest`` (one order-statistics pass for all of them).
+def _eligible(df: DataFrame, t: str, p: InjectParams) -> DataFrame:
+    a, d = F.col(p.amount), F.col(p.duration)
+    nul = F.lit(None).cast("double")
+    if t == "single_bid_competitive":
+        e = df.filter(F.col("procedure").isin(*COMPETITIVE_PROCEDURES) & (F.col("offresRecues") > 1))
+        return e.select(p.key, a, d, nul.alias("_thr"), nul.alias("_cm"))
+    if t in ("price_inflation", "price_deflation"):
+        e = df.filter(a.isNotNull() & (a > 0)).join(_cat_stats(df, p), p.category)
+        if t == "price_inflation":
+            thr = F.col("_cm") + dbl(3) * F.col("_cs")
+            e = e.filter(a < thr)
+        else:
+            thr = F.greatest(F.col("_cm") - dbl(3) * F.col("_cs"), dbl(0))
+            e = e.filter(a > thr)
+        return e.select(p.key, a, d, thr.alias("_thr"), F.col("_cm"))
+    cond = {"procedure_manipulation": F.col("procedure").isin(*COMPETITIVE_PROCEDURES),
+            "suspicious_modifications": (d > 0) & (d < 36),
+            "excessive_subcontracting": F.col("sousTraitanceDeclaree") == 0,
+            "short_contract_duration": d > 1}[t]
+    return df.filter(cond).select(p.key, a, d, nul.alias("_thr"), nul.alias("_cm"))
+
+
+ROW_TYPES = ["single_bid_competitive", "price_inflation", "price_deflation", "procedure_manipulation",
+             "suspicious_modifications", "excessive_subcontracting", "short_contract_duration"]
+
+
+def _row_new_values(p: InjectParams) -> dict[str, Column]:
+    t = F.col("anomaly_type")
+    a, d = F.col(p.amount), F.col(p.duration)
+
+    def u(name, suffix):
+        return _u(p.key, p=p, salt=name + suffix)
+    infl = F.col("_thr") * (dbl(1.1) + u("price_inflation", ":m") * dbl(0.4))
+    ud = u("price_deflation", ":m")
+    defl = F.when(F.col("_thr") > 0, F.col("_thr") * (dbl(0.5) + ud * dbl(0.4))) \
+            .otherwise(F.col("_cm") * (dbl(0.01) + ud * dbl(0.04)))
+    proc = F.when(u("procedure_manipulation", ":p") < dbl(0.5), F.lit(NON_COMPETITIVE_PROCEDURES[0])) \
             .otherwise(F.lit(NON_COMPETITIVE_PROCEDURES[1]))
-    return _shape(s, t, p, procedure=pick)
-
-
-def suspicious_modifications(df, n, p):
-    t = "suspicious_modifications"
-    d = F.col(p.duration)
-    s = _take_rows(df.filter((d > 0) & (d < 36)), t, n, p)
-    return _shape(s, t, p, dureeMois=d * (dbl(2.5) + _u(p.key, p=p, salt=t + ":d") * dbl(2.5)))
+    long_d = d * (dbl(2.5) + u("suspicious_modifications", ":d") * dbl(2.5))
+    short_d = dbl(0.1) + u("short_contract_duration", ":d") * dbl(0.8)
+    return {
+        "montant": F.when(t == "price_inflation", infl).when(t == "price_deflation", defl),
+        "offresRecues": F.when(t == "single_bid_competitive", dbl(1)),
+        "procedure": F.when(t == "procedure_manipulation", proc),
+        "dureeMois": F.when(t == "suspicious_modifications", long_d).when(t == "short_contract_duration", short_d),
+        "sousTraitanceDeclaree": F.when(t == "excessive_subcontracting", dbl(1)),
+    }
+
+
+def row_candidates(df: DataFrame, n: DataFrame, p: InjectParams, types: Sequence[str]) -> DataFrame:
+    frames = [_eligible(df, t, p).withColumn("anomaly_type", F.lit(t))
+                                 .withColumn("_h", _h(p.key, p=p, salt=t)) for t in types]
+    stacked = frames[0]
+    for f in frames[1:]:
+        stacked = stacked.unionByName(f)
+    sel = take_smallest(stacked.crossJoin(F.broadcast(n)), "_h", F.col("_n"), ["anomaly_type"])  # n: one row
+    codes = F.create_map(*[x for t in types for x in (F.lit(t), F.lit(TYPE_CODE[t]))])
+    newv = _row_new_values(p)
+    cols = [F.col(p.key), F.col("anomaly_type"), codes[F.col("anomaly_type")].alias("type_code"),
+            F.lit(0).alias("slot")]
+    for c, typ in NEW_COLS.items():
+        cols.append((newv[c] if c in newv else F.lit(None)).cast(typ).alias(f"new_{c}"))
+    return sel.select(*cols)
 
 
-def excessive_subcontracting(df, n, p):
-    t = "excessive_subcontracting"
-    s = _take_rows(df.filter(F.col("sousTraitanceDeclaree") == 0), t, n, p)
-    return _shape(s, t, p, sousTraitanceDeclaree=dbl(1))
+def _row_generator(t: str):
+    def gen(df, n, p):
+        return row_candidates(df, n, p, [t])
+    gen.__name__ = t
+    return gen
 
 
-def short_contract_duration(df, n, p):
-    t = "short_contract_duration"
-    s = _take_rows(df.filter(F.col(p.duration) > 1), t, n, p)
-    return _shape(s, t, p, dureeMois=dbl(0.1) + _u(p.key, p=p, salt=t + ":d") * dbl(0.8))
+single_bid = _row_generator("single_bid_competitive")
+price_inflation = _row_generator("price_inflation")
+price_deflation = _row_generator("price_deflation")
+procedure_manipulation = _row_generator("procedure_manipulation")
+suspicious_modifications = _row_generator("suspicious_modifications")
+excessive_subcontracting = _row_generator("excessive_subcontracting")
+short_contract_duration = _row_generator("short_contract_duration")
 
 
 # ---------------------------------------------------------------- group types
@@ -241,7 +263,9 @@ def candidates(df: DataFrame, types: Sequence[str] = TYPES, p: InjectParams = In
     if not materialized:
         df = materialize(df)
     n = per_type_count(df, len(types), p)
-    frames = [GENERATORS[t](df, n, p) for t in types]
+    rows = [t for t in types if t in ROW_TYPES]
+    frames = [row_candidates(df, n, p, rows)] if rows else []
+    frames += [GENERATORS[t](df, n, p) for t in types if t not in ROW_TYPES]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
