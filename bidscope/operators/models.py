@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier, OneVsRest,
                                        RandomForestClassifier)
@@ -20,6 +22,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from bidscope.functions.columns import dbl, log1p_clip_inverse
 
@@ -131,16 +134,13 @@ def reconstruction_error(df: DataFrame, model, features: str = "_scaled") -> Dat
     auto-encoder given by the PCA components)."""
     pc = model.pc.toArray()
     proj = pc @ pc.T
-    import numpy as np
-    from pyspark.sql.types import DoubleType
-    from pyspark.sql.functions import pandas_udf
     bproj = df.sparkSession.sparkContext.broadcast(proj)   # d×d, bounded by the feature count
 
-    @pandas_udf(DoubleType())
-    def _err(v):
+    @F.pandas_udf(DoubleType())
+    def _err(v: pd.Series) -> pd.Series:
         x = np.stack(v.to_numpy())
         r = x @ bproj.value
-        return __import__("pandas").Series(((x - r) ** 2).mean(axis=1))
+        return pd.Series(((x - r) ** 2).mean(axis=1))
     return df.withColumn("recon_error", _err(vector_to_array(features)))
 
 
@@ -168,7 +168,6 @@ def assign_cluster(new: DataFrame, members: DataFrame, features: str = "pca", cl
     """Cluster of each new row = cluster of its nearest exemplar (cluster
     centroid computed from the members; noise members excluded).  Centroids
     are one row per cluster: a bounded broadcast."""
-    from pyspark.ml.functions import array_to_vector  # noqa: F401
     m = members.filter(F.col(cluster) >= 0).select(cluster, F.posexplode(vector_to_array(features)).alias("i", "v"))
     cent = m.groupBy(cluster, "i").agg(F.avg("v").alias("c")) \
             .groupBy(cluster).agg(F.sort_array(F.collect_list(F.struct("i", "c"))).alias("_cs")) \
