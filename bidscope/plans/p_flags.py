@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bidscope.operators import flags as FL
 from bidscope.plans.oracle import with_contracts
 from bidscope.plans.registry import plan
-from bidscope.sources.tables import contracts_staged
+from bidscope.sources.tables import contracts, contracts_staged
 
 P = FL.params_for_tests()
 COMP = "('Appel d''offres ouvert', 'Appel d''offres restreint')"
@@ -93,7 +93,8 @@ def anomaly_report(spark, sf):
 @plan("flag_single_bid", with_contracts(
     f"SELECT uid, procedure, offresRecues FROM contracts WHERE procedure IN {COMP} AND offresRecues = 1"), "2.10")
 def flag_single_bid(spark, sf):
-    return _c(spark, sf).filter(FL.single_bid(P)).select("uid", "procedure", "offresRecues")
+    # a single read of the view: staging would only add a write
+    return contracts(spark, sf).filter(FL.single_bid(P)).select("uid", "procedure", "offresRecues")
 
 
 @plan("flag_price_inflation", with_contracts(
@@ -146,13 +147,15 @@ def flag_temporal_cluster(spark, sf):
 @plan("flag_subcontracting", with_contracts(
     "SELECT uid, sousTraitanceDeclaree FROM contracts WHERE sousTraitanceDeclaree = 1"), "2.10")
 def flag_subcontracting(spark, sf):
-    return _c(spark, sf).filter(FL.subcontracting()).select("uid", "sousTraitanceDeclaree")
+    # a single read of the view: staging would only add a write
+    return contracts(spark, sf).filter(FL.subcontracting()).select("uid", "sousTraitanceDeclaree")
 
 
 @plan("flag_short_duration", with_contracts(
     "SELECT uid, dureeMois FROM contracts WHERE dureeMois > 0 AND dureeMois < 1"), "2.10")
 def flag_short_duration(spark, sf):
-    return _c(spark, sf).filter(FL.short_duration(P)).select("uid", "dureeMois")
+    # a single read of the view: staging would only add a write
+    return contracts(spark, sf).filter(FL.short_duration(P)).select("uid", "dureeMois")
 
 
 @plan("flag_heavy_pairs", with_contracts(
