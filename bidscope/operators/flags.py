@@ -238,7 +238,8 @@ def anomaly_report(df: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     perc = pct("n_flagged", "_total")
     return long.select(
         "anomaly_type", "n_flagged", F.round(perc, 6).alias("percentage"),
-        prevalence_status(perc).alias("status"), F.col("_total").cast("bigint").alias("total_contracts"))
+        prevalence_status(perc).alias("status"), F.col("_total").cast("bigint").alias("total_contracts")) \
+        .orderBy(F.desc("percentage"), "anomaly_type")   # ten rows
 
 
 # ------------------------------------------------------------ row flags / removal
