@@ -11,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -44,7 +45,8 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     from bidscope.plans.registry import load_all
     from bidscope.session import get_session
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
+                        checkpoint=tempfile.mkdtemp(prefix="bidscope-bench-"))
     plans = load_all()
     spark.range(1000).selectExpr("sum(id)").collect()    # JVM/codegen warm-up, not timed
     times: dict[str, float] = {}

@@ -2,14 +2,16 @@
 
 On a cluster the session already exists and carries the operator's settings;
 ``tune`` only fills settings that are unset.  ``checkpoint_dir`` reads the
-shared folder named by ``spark.checkpoint.dir``; a private folder under the
-system temp directory is created only when that setting is absent (local
-tests), never on a configured cluster.
+shared folder named by ``spark.checkpoint.dir`` and raises when it is unset:
+a folder of this machine would be another folder on every executor.  Tests,
+the benchmark and the tools name one when they build their session.  Tables
+written there live under a name of this run and are removed when it ends.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +29,9 @@ _DEFAULTS = {
 
 
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                app: str = "bidscope") -> SparkSession:
-    """Local session for tests/bench.  Clusters pass their own session."""
+                app: str = "bidscope", checkpoint: str | None = None) -> SparkSession:
+    """Local session for tests/bench.  Clusters pass their own session.
+    ``checkpoint`` names the folder for written tables of a local run."""
     builder = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
@@ -38,6 +41,8 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     )
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     tune(spark)
@@ -52,20 +57,40 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder; created privately only when unset (tests)."""
+    """The shared folder that the session names."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="bidscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all "
+                         "executors share when building the session")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+_RUN = uuid.uuid4().hex[:12]
+_roots: set[str] = set()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's file system layer."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _remove_run(spark: SparkSession, root: str) -> None:
+    try:
+        remove_path(spark, root)
+    except Exception:       # the session has ended: its gateway is gone, nothing is left to ask
+        pass
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}"
+    """A sub-folder of the shared checkpoint folder for this run's tables."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tables/{_RUN}"
+    if root not in _roots:
+        _roots.add(root)
+        atexit.register(_remove_run, spark, root)
+    return f"{root}/{name}"
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -81,7 +106,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     contract view behind ten rules): later reads are plain scans with column
     pruning and filter pushdown instead of re-running the joins, and the
     lineage is cut, so a lost executor re-reads files."""
-    import uuid
     path = scratch_path(df.sparkSession, f"stage/{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from bidscope.session import get_session
-    s = get_session(master="local[*]", shuffle_partitions=8)
+    s = get_session(master="local[*]", shuffle_partitions=8,
+                    checkpoint=str(tmp_path_factory.mktemp("checkpoint")))
     yield s

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
@@ -28,7 +29,7 @@ def main() -> None:
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
-    spark = get_session()
+    spark = get_session(checkpoint=tempfile.mkdtemp(prefix="bidscope-tool-"))
     plans = load_all()
     for name in names or list(plans):
         text = summary(plans[name].build(spark, sf))
