@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bidscope.llm import bpe
+from bidscope.llm import bpe, quality
 from bidscope.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +32,9 @@ def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded."""
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                 public_tokenizers.PATTERN, keep=["doc_id"], with_ids=False)
+
+
+@query
+def op8_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labelled rows."""
+    return quality.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
