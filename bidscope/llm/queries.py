@@ -9,8 +9,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bidscope.llm import bpe, quality
-from bidscope.session import tune
+from bidscope.llm import bpe, fmindex, quality
+from bidscope.session import stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,3 +38,11 @@ def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from labelled rows."""
     return quality.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document is in the benchmark: an index of all shards,
+    searched for all benchmark windows."""
+    index = stage(fmindex.build_index(table(spark, sf_dir, "documents")), "fm-index")
+    return fmindex.contamination(index, table(spark, sf_dir, "benchmark")).drop("spans")
