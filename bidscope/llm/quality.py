@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bidscope.llm import sums
 from bidscope.llm.columns import require, with_columns
 from bidscope.llm.words import KEEP, hashes, mix, owners, slices, split_words, text_buffers, Words
 
@@ -86,31 +87,14 @@ def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 for to, of in ((left, right), (right, left)):
                     for k in range(ONES):
                         total += np.bincount(to * DIMS + where[of, k], value[of, k], len(total)).astype(np.int64)
-    blocks = total.reshape(-1, BLOCK * DIMS)
-    yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([x.tobytes() for x in blocks], pa.binary())], ["block", "part"])
-
-
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(BLOCK * DIMS, np.int64)
-    block = None
-    for batch in batches:
-        block = batch.column("block")[:1]
-        for x in batch.column("part"):
-            total += np.frombuffer(x.as_buffer(), np.int64)
-    yield pa.RecordBatch.from_arrays([block, pa.array([total.tobytes()], pa.binary())], ["block", "part"])
+    yield sums.parts(total, BLOCK * DIMS)
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """The context vectors of all slots over all rows: a fixed number of
-    entries.  The tasks' sums are added in two steps, one after the other in
-    constant memory."""
-    salts = 1 + math.isqrt(docs.sparkSession.sparkContext.defaultParallelism)
-    parts = docs.select("text").mapInArrow(_count_contexts, "block int, part binary")
-    once = parts.groupBy("block", F.spark_partition_id() % salts).applyInArrow(_add, "block int, part binary")
-    rows = once.groupBy("block").applyInArrow(_add, "block int, part binary").collect()
-    total = np.zeros((WORD_SLOTS + SHAPE_SLOTS, DIMS))
-    for r in rows:
-        total[r.block * BLOCK:(r.block + 1) * BLOCK] = np.frombuffer(r.part, np.int64).reshape(BLOCK, DIMS)
+    entries."""
+    total = sums.total(docs.select("text").mapInArrow(_count_contexts, sums.SCHEMA), (WORD_SLOTS + SHAPE_SLOTS) * DIMS)
+    total = total.reshape(-1, DIMS).astype(np.float64)
     size = np.linalg.norm(total, axis=1, keepdims=True)
     fixed = fixed_vectors()
     return (fixed / np.maximum(np.linalg.norm(fixed, axis=1, keepdims=True), 1) + total / np.maximum(size, 1)).astype(np.float32)

@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bidscope.llm import bpe, fmindex, quality
+from bidscope.llm import bpe, fmindex, jaccard, quality
 from bidscope.session import stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,9 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     searched for all benchmark windows."""
     index = stage(fmindex.build_index(table(spark, sf_dir, "documents")), "fm-index")
     return fmindex.contamination(index, table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+@query
+def op7_t_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their shingles."""
+    return jaccard.components(table(spark, sf_dir, "documents"))
