@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bidscope.llm import bpe, fmindex, jaccard, quality
+from bidscope.llm import bpe, fmindex, jaccard, quality, spotsigs
 from bidscope.session import stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded."""
