@@ -4,13 +4,15 @@ Each reads its whole table and returns its operator's full result."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bidscope.llm import bpe, fmindex, jaccard, quality, spotsigs
-from bidscope.session import stage, tune
+from bidscope.llm import bpe, fmindex, jaccard, quality, rotation, shards, spotsigs
+from bidscope.session import scratch_path, stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +35,15 @@ def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, shuffled into 24 shards of equal row counts."""
+    path = scratch_path(spark, f"shards/{uuid.uuid4().hex[:12]}")
+    written = shards.shuffle_into(table(spark, sf_dir, "documents"), path, 24)
+    return written.select("doc_id", "size", F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).alias("text_crc32"),
+                          F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded."""
@@ -58,3 +69,14 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_t_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share four fifths of their shingles."""
     return jaccard.components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the perspective of each participant."""
+    return rotation.rotate(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "perspective", "piece", "n_turns", "dialogue",
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["begin"], s["end"])), " ").alias("mask"))
+
+
+ORACLES["op9_rotation"] = rotation.ORACLE
