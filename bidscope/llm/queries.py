@@ -11,11 +11,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidscope.llm import bpe, fmindex, jaccard, quality, rotation, shards, spotsigs
+from bidscope.llm import bpe, fmindex, jaccard, pagediff, quality, rotation, shards, spotsigs, warc
 from bidscope.session import scratch_path, stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+CRAWLED = "2024-01-01T00:00:00Z"        # the pages table has no dates
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -44,6 +46,12 @@ def op2_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op3_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and the conversion record of every page."""
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages"), CRAWLED))
+
+
 @query
 def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded."""
@@ -65,6 +73,12 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fmindex.contamination(index, table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+@query
+def op6_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pagediff.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_t_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share four fifths of their shingles."""
