@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidscope.llm import bpe, fmindex, jaccard, pagediff, quality, rotation, shards, spotsigs, warc
+from bidscope.llm import bpe, fmindex, jaccard, katz, pagediff, quality, rotation, shards, spotsigs, warc
 from bidscope.session import scratch_path, stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,13 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fmindex.contamination(index, table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+@query
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability under a model of six sevenths of them."""
+    held_out = quality.fold(F.col("doc_id"), katz.FOLDS) == katz.HELD_OUT
+    return katz.score(table(spark, sf_dir, "documents"), held_out)
+
+
 @query
 def op6_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
