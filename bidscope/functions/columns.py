@@ -16,12 +16,9 @@ from pyspark.sql import functions as F
 # Advance-rate bins (right-closed edges) and their labels.
 TAUX_AVANCE_EDGES = [-0.001, 0.001, 0.05, 0.15, 1.0]
 TAUX_AVANCE_LABELS = ["no_advance", "small_advance", "medium_advance", "large_advance"]
-# Amount ranges [lo, hi) of the estimation model, and their labels.
+# Amount ranges [lo, hi) of the estimation model.
 AMOUNT_RANGES = [(0.0, 25000.0), (25000.0, 90000.0), (90000.0, 221000.0),
                  (221000.0, 1000000.0), (1000000.0, math.inf)]
-AMOUNT_RANGE_LABELS = ["Marché de faible montant", "Marché adapté",
-                       "Procédure formalisée européenne", "Marché important",
-                       "Très gros marché"]
 # Prevalence (percent) -> status, and detection factor -> status.
 PREVALENCE_STATUS = [(10.0, "Very High"), (5.0, "High"), (1.0, "Medium"), (0.1, "Low")]
 PREVALENCE_DEFAULT = "Very Low"

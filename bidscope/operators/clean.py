@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.functions.columns import dbl, md5_key, md5_uniform, year_of
-from bidscope.operators.quantiles import exact_quantiles, hash_rank_value, order_statistics
+from bidscope.operators.quantiles import hash_rank_value, hash_statistics
+from bidscope.session import stage
 
 
 def select_columns(df: DataFrame, numeric: Sequence[str] = (), binary: Sequence[str] = (),
@@ -102,23 +103,6 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42, key: str = "uid") -> Data
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 
-def sample_fraction_exact(df: DataFrame, n_col: Column, seed: int, key: str = "uid",
-                          group_cols: Sequence[str] = ()) -> DataFrame:
-    """Exactly ``n`` rows per group where ``n`` is data-dependent (e.g. 5 %
-    of the rows).  The n-th smallest hash per group is found with the
-    distributed order statistic, then rows at or below it are kept; no
-    global sort or single-task top-n is needed."""
-    g = list(group_cols)
-    hv = df.withColumn("_hv", hash_rank_value(md5_key(key, seed=seed)))
-    sizes = hv.groupBy(*g).agg(F.count(F.lit(1)).alias("_cnt"))
-    targets = sizes.select(*g, F.lit(0).alias("_t"),
-                           (F.least(n_col, F.col("_cnt")) - F.lit(1)).cast("double").alias("_pos")) \
-                   .filter(F.col("_pos") >= 0)
-    thr = order_statistics(hv.select(*g, "_hv"), "_hv", targets, g).select(*g, F.col("value").alias("_thr"))
-    kept = hv.join(thr, g) if g else hv.crossJoin(F.broadcast(thr))
-    return kept.filter(F.col("_hv") <= F.col("_thr")).drop("_hv", "_thr")
-
-
 def split_random(df: DataFrame, test_size: float = 0.2, seed: int = 42, key: str = "uid") -> DataFrame:
     """Adds ``split`` = test when md5 uniform < test_size, else train."""
     u = md5_uniform(key, seed=seed)
@@ -134,18 +118,19 @@ def split_stratified(df: DataFrame, stratum: str, seed: int = 42, key: str = "ui
     the hash (per-stratum thresholds), not from a window over the stratum,
     so a stratum holding a third of the rows is still split across tasks."""
     hv = df.withColumn("_hv", hash_rank_value(md5_key(key, seed=seed)))
-    sizes = hv.groupBy(stratum).agg(F.count(F.lit(1)).alias("_cnt"))
+    sizes = hv.filter(F.col(stratum).isNotNull()).groupBy(stratum).agg(F.count(F.lit(1)).alias("_cnt"))
     # rows whose 0-based rank < ceil(cnt*test) → test; next ceil(cnt*(test+val)) → val
     n_test = F.ceil(F.col("_cnt") * dbl(test))
     n_tv = F.ceil(F.col("_cnt") * dbl(test + val))
     targets = sizes.select(stratum, F.explode(F.array(
         F.struct(F.lit(0).alias("_t"), (n_test - 1).cast("double").alias("_pos")),
         F.struct(F.lit(1).alias("_t"), (n_tv - 1).cast("double").alias("_pos")))).alias("_x")) \
-        .select(stratum, "_x._t", "_x._pos").filter(F.col("_pos") >= 0)
-    thr = order_statistics(hv.select(stratum, "_hv"), "_hv", targets, [stratum])
+        .select(stratum, "_x._t", "_x._pos", F.col("_cnt").alias("_n")).filter(F.col("_pos") >= 0)
+    thr = hash_statistics(hv.select(stratum, "_hv"), "_hv", targets, [stratum])
     thr = thr.groupBy(stratum).agg(
         F.max(F.when(F.col("_t") == 0, F.col("value"))).alias("_t0"),
         F.max(F.when(F.col("_t") == 1, F.col("value"))).alias("_t1"))
+    thr = stage(thr, "strata")
     out = hv.join(thr, stratum, "left")
     split = (F.when(F.col("_t0").isNotNull() & (F.col("_hv") <= F.col("_t0")), F.lit("test"))
               .when(F.col("_t1").isNotNull() & (F.col("_hv") <= F.col("_t1")), F.lit("val"))
@@ -155,9 +140,3 @@ def split_stratified(df: DataFrame, stratum: str, seed: int = 42, key: str = "ui
 
 def row_limit(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
-
-
-def median_of(df: DataFrame, col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    return exact_quantiles(df, col, [0.5], ["median"], group_cols)
-
-

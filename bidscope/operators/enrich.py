@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_CODE_LEN = 10  # DDDDDDDD-C
-
-
 def cpv_anti(df: DataFrame, cpv: DataFrame, col: str = "codeCPV") -> DataFrame:
     """Distinct codes of ``df`` absent from the list."""
     codes = df.select(col).filter(F.col(col).isNotNull()).distinct()
@@ -22,36 +19,42 @@ def cpv_semi(df: DataFrame, cpv: DataFrame, col: str = "codeCPV") -> DataFrame:
     return codes.join(cpv.select(F.col("CODE").alias(col)), col, "left_semi")
 
 
-def code_prefixes(cpv: DataFrame, max_len: int = MAX_CODE_LEN) -> DataFrame:
-    """(prefix, CODE) for every prefix of every list code: turns the
-    ``startswith`` theta join into an equi join on ``prefix``."""
-    lens = F.sequence(F.lit(1), F.least(F.length("CODE"), F.lit(max_len)))
-    return cpv.select("CODE", F.explode(lens).alias("_len")) \
-              .select(F.expr("substring(CODE, 1, _len)").alias("prefix"), "CODE")
+def code_prefixes(cpv: DataFrame, order: str = "CODE") -> DataFrame:
+    """(prefix, CODE, place) for every prefix of every list code: turns the
+    ``startswith`` theta join into an equi join on ``prefix``.  ``place`` is
+    the code's place in the list, by the column ``order``."""
+    lens = F.sequence(F.lit(1), F.length("CODE"))
+    return cpv.filter(F.length("CODE") > 0).select("CODE", F.col(order).alias("place"), F.explode(lens).alias("_len")) \
+              .select(F.expr("substring(CODE, 1, _len)").alias("prefix"), "CODE", "place")
 
 
-def cpv_prefix_match(missing: DataFrame, cpv: DataFrame, col: str = "codeCPV") -> DataFrame:
-    """For each missing code: the first list code (list order = code order)
-    starting with it (``new_CPV``, null when none) and how many list codes
-    start with it (``count_similar``)."""
-    pref = code_prefixes(cpv)
+def cpv_prefix_match(missing: DataFrame, cpv: DataFrame, col: str = "codeCPV", order: str = "CODE") -> DataFrame:
+    """For each missing code: the first list code starting with it
+    (``new_CPV``, null when none) and how many list codes start with it
+    (``count_similar``).  ``order`` is the column that says a code's place in
+    the list: a list read from a file carries its line number, a list that is
+    kept in code order needs none."""
+    pref = code_prefixes(cpv, order)
     j = missing.select(col).distinct().join(pref, F.col(col) == F.col("prefix"), "left")
-    return j.groupBy(col).agg(F.count("CODE").alias("count_similar"), F.min("CODE").alias("new_CPV"))
+    return j.groupBy(col).agg(F.count("CODE").alias("count_similar"), F.min_by("CODE", F.struct("place", "CODE")).alias("new_CPV"))
 
 
-def cpv_mapping(df: DataFrame, cpv: DataFrame, col: str = "codeCPV") -> DataFrame:
-    """code → description: exact matches ∪ prefix matches of missing codes."""
+def cpv_mapping(df: DataFrame, cpv: DataFrame, col: str = "codeCPV", order: str = "CODE") -> DataFrame:
+    """code → description: exact matches ∪ prefix matches of missing codes.
+    A code that the list has twice keeps its first description."""
+    cpv = cpv.groupBy("CODE").agg(F.min(F.struct(F.col(order).alias("place"), "FR")).alias("_first")) \
+             .select("CODE", F.col("_first.place").alias("place"), F.col("_first.FR").alias("FR"))
     exact = cpv_semi(df, cpv, col).join(cpv.select(F.col("CODE").alias(col), "FR"), col) \
         .select(col, F.col("FR").alias("codeCPV_FR"))
-    pm = cpv_prefix_match(cpv_anti(df, cpv, col), cpv, col)
+    pm = cpv_prefix_match(cpv_anti(df, cpv, col), cpv, col, "place")
     prefix = pm.join(cpv.select(F.col("CODE").alias("new_CPV"), "FR"), "new_CPV", "left") \
         .select(col, F.col("FR").alias("codeCPV_FR"))
     return exact.unionByName(prefix)
 
 
-def cpv_description(df: DataFrame, cpv: DataFrame, col: str = "codeCPV") -> DataFrame:
+def cpv_description(df: DataFrame, cpv: DataFrame, col: str = "codeCPV", order: str = "CODE") -> DataFrame:
     """Adds ``codeCPV_FR`` (left join: rows without a code keep a null)."""
-    return df.join(cpv_mapping(df, cpv, col), col, "left")
+    return df.join(cpv_mapping(df, cpv, col, order), col, "left")
 
 
 def enrich_registry(df: DataFrame, registry: DataFrame, buyer_key: str = "acheteur_siren",

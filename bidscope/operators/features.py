@@ -10,8 +10,9 @@ Steps per column group (names as in the reference's output):
 Standard scaling uses the *population* std (zero std → 1).  Fitting is two
 aggregation passes over the train rows (exact distributed median, then
 mean/std of the transformed values) plus the distinct levels of each
-categorical column, collected under a cardinality guard.  The fitted
-constants are tiny; transforms are pure column expressions (no join).
+categorical column, one distinct over all of them.  The fitted model is
+constants, as many as the feature vector has entries; transforms are pure
+column expressions (no join).
 """
 
 from __future__ import annotations
@@ -26,8 +27,6 @@ from pyspark.ml.feature import VectorAssembler
 from bidscope.functions.columns import bin_fixed, cpv_level, cpv_2_3, dbl, notnull_flag, year_of
 from bidscope.operators.quantiles import exact_quantile_row
 
-MAX_LEVELS = 5000
-
 
 @dataclass(frozen=True)
 class FeatureSpec:
@@ -55,7 +54,7 @@ PRESETS = {
 
 def preset(name: str) -> FeatureSpec:
     if name not in PRESETS:
-        raise ValueError("cat not in 'pred_montant', 'marche_sim', 'anomalie'")
+        raise ValueError(f"unknown preset {name!r}; there are {', '.join(PRESETS)}")
     return PRESETS[name]
 
 
@@ -162,7 +161,8 @@ class FeatureModel:
         return FeatureModel(spec, doc["median_offres"], doc["mean"], doc["scale"], doc["levels"])
 
 
-def fit(train: DataFrame, spec: FeatureSpec, max_levels: int = MAX_LEVELS) -> FeatureModel:
+def fit(train: DataFrame, spec: FeatureSpec) -> FeatureModel:
+    """Runs its passes over ``train`` at once: a model is constants."""
     d = prepare(train)
     med = None
     if "offresRecues" in spec.numerical:
@@ -172,22 +172,16 @@ def fit(train: DataFrame, spec: FeatureSpec, max_levels: int = MAX_LEVELS) -> Fe
     for c in spec.numerical:
         x = _num_input(c, med if c == "offresRecues" else None)
         aggs += [F.avg(x).alias(f"m_{c}"), F.stddev_pop(x).alias(f"s_{c}")]
-    # distinct levels per categorical column, counted first so the guard
-    # runs before anything is collected
-    for c in spec.categorical:
-        aggs.append(F.count_distinct(_cat_input(c)).alias(f"n_{c}"))
     row = d.agg(*aggs).first()
     for c in spec.numerical:
         s = row[f"s_{c}"]
         model.mean[c] = float(row[f"m_{c}"])
         model.scale[c] = 1.0 if (s is None or s == 0.0) else float(s)
-    for c in spec.categorical:
-        if row[f"n_{c}"] > max_levels:
-            raise ValueError(f"{c}: {row[f'n_{c}']} levels exceeds the one-hot guard {max_levels}")
     if spec.categorical:
+        # one distinct over (column, level) pairs; the levels are the model
         lv = d.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), _cat_input(c).alias("v"))
                                           for c in spec.categorical])).alias("_l")) \
-              .select("_l.c", "_l.v").distinct().collect()   # ≤ sum of guarded level counts
+              .select("_l.c", "_l.v").distinct().collect()
         for c in spec.categorical:
             model.levels[c] = sorted(r["v"] for r in lv if r["c"] == c)
     return model
@@ -224,6 +218,10 @@ def scale_robust(train: DataFrame, df: DataFrame, col: str) -> DataFrame:
         col, (F.col(col) - F.col("_q2")) / F.when(iqr == 0, dbl(1)).otherwise(iqr)).drop("_q1", "_q2", "_q3")
 
 
-def one_hot(train: DataFrame, df: DataFrame, col: str, key: str = "uid", max_levels: int = MAX_LEVELS) -> DataFrame:
-    spec = FeatureSpec((), (), (col,))
-    return fit(train, spec, max_levels).transform(df, key)
+def one_hot(train: DataFrame, df: DataFrame, col: str, key: str = "uid", drop_binary: bool = False) -> DataFrame:
+    """One column per level of ``train``; with ``drop_binary`` a column of two
+    levels keeps only the second one's (``drop='if_binary'``)."""
+    model = fit(train, FeatureSpec((), (), (col,)))
+    if drop_binary and len(model.levels[col]) == 2:
+        model.levels[col] = model.levels[col][1:]
+    return model.transform(df, key)

@@ -7,8 +7,8 @@ edges(uid, src, dst)           — one edge per contract, buyer → supplier.
 
 Node statistics are one ``groupBy`` per role (partial aggregation: a buyer
 holding a third of the contracts costs one pre-aggregated row per map task).
-Message passing works on a long (node, position, value) state so each round
-is a join plus a partially aggregated ``groupBy(dst, pos)``; every round is
+A round of message passing joins the counted edges with one state row per
+node and adds them up per receiver, partially aggregated; every round is
 checkpointed to the shared folder so lineage stays one round deep.
 """
 
@@ -95,19 +95,48 @@ def message_pass(edges: DataFrame, state_long: DataFrame, rounds: int = 3, undir
                  checkpoint: bool = True) -> DataFrame:
     """h_{k+1}(v) = h_k(v) + Σ_{edges u→v} h_k(u), element-wise, ``rounds``
     times (sum aggregation, one message per edge/contract).  Directed by
-    default (buyers → suppliers), so buyers keep their state."""
+    default (buyers → suppliers), so buyers keep their state.
+
+    Edges are counted once per pair of nodes, and the state of a node is one
+    row, a map by position; ``state_long`` and the result are (id, pos,
+    value)."""
     e = edges.select("src", "dst")
     if undirected:
         e = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    h = state_long.select("id", "pos", "value")
+    e = e.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("_w"))
+    positions = sorted(r[0] for r in state_long.select("pos").distinct().collect())     # of a feature vector
+    at = {p: f"_p{k}" for k, p in enumerate(positions)}
+    cols = list(at.values())
+    h = state_long.groupBy("id").agg(*[F.sum(F.when(F.col("pos") == p, F.col("value"))).alias(c) for p, c in at.items()])
+    if checkpoint:
+        e = cut_lineage(e)
     for _ in range(rounds):
         msg = e.join(h.withColumnRenamed("id", "src"), "src") \
-               .groupBy(F.col("dst").alias("id"), "pos").agg(F.sum("value").alias("_m"))
-        h = h.join(msg, ["id", "pos"], "left") \
-             .select("id", "pos", (F.col("value") + F.coalesce(F.col("_m"), dbl(0))).alias("value"))
+               .groupBy(F.col("dst").alias("id")).agg(*[F.sum(F.col(c) * F.col("_w")).alias(f"_m{c}") for c in cols])
+        h = h.join(msg, "id", "left").select("id", *[(F.col(c) + F.coalesce(F.col(f"_m{c}"), dbl(0))).alias(c) for c in cols])
         if checkpoint:
             h = cut_lineage(h)
-    return h
+    pairs = F.explode(F.array(*[F.struct(F.lit(p).alias("pos"), F.col(c).alias("value")) for p, c in at.items()]))
+    return h.select("id", pairs.alias("_s")).select("id", "_s.pos", "_s.value").filter(F.col("value").isNotNull())
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(node, label) for the nodes of undirected ``edges`` (a, b): the
+    smallest node of the component.  Each round takes the smallest label of a
+    node's neighbours and then the label of that label; a round is written to
+    the shared folder, and the last is the one that changes nothing."""
+    both = cut_lineage(edges.select(F.col("a").alias("node"), F.col("b").alias("next")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("a").alias("next"))).distinct())
+    labels = cut_lineage(both.groupBy("node").agg(F.least(F.min("next"), F.col("node")).alias("label")))
+    while True:
+        near = both.join(labels.select(F.col("node").alias("next"), F.col("label").alias("_l")), "next").groupBy("node").agg(F.min("_l").alias("_l"))
+        moved = labels.join(near, "node").select("node", F.least("label", "_l").alias("_to"), F.col("label").alias("_old"))
+        jump = moved.join(labels.select(F.col("node").alias("_to"), F.col("label").alias("_f")), "_to") \
+                    .select("node", F.least("_to", "_f").alias("label"), "_old")
+        done = cut_lineage(jump)
+        labels = done.select("node", "label")
+        if done.filter("label != _old").isEmpty():
+            return labels
 
 
 # ------------------------------------------------------------ scores

@@ -72,7 +72,7 @@ def fit(df: DataFrame, features: Sequence[str], n_trees: int = 100, max_samples:
         seed: int = 42, key: str = "uid") -> pd.DataFrame:
     vec = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
     h = df.select(key, vec.alias("x"), hash_rank_value(md5_key(key, seed=seed)).alias("_h"))
-    pool = take_smallest(h, "_h", F.lit(n_trees * max_samples))          # exact, bounded pool
+    pool = take_smallest(h, "_h", F.lit(n_trees * max_samples), hashes=True)          # exact, bounded pool
     ranked = pool.withColumn("_r", F.row_number().over(Window.orderBy("_h")) - 1)   # ≤ n_trees·ψ rows
     samples = ranked.select((F.col("_r") % n_trees).cast("int").alias("tree_id"), "x")
     depth = int(math.ceil(math.log2(max(max_samples, 2))))

@@ -134,7 +134,7 @@ def row_candidates(df: DataFrame, n: DataFrame, p: InjectParams, types: Sequence
     stacked = frames[0]
     for f in frames[1:]:
         stacked = stacked.unionByName(f)
-    sel = take_smallest(stacked.crossJoin(F.broadcast(n)), "_h", F.col("_n"), ["anomaly_type"])  # n: one row
+    sel = take_smallest(stacked.crossJoin(F.broadcast(n)), "_h", F.col("_n"), ["anomaly_type"], hashes=True)  # n: one row
     codes = F.create_map(*[x for t in types for x in (F.lit(t), F.lit(TYPE_CODE[t]))])
     newv = _row_new_values(p)
     cols = [F.col(p.key), F.col("anomaly_type"), codes[F.col("anomaly_type")].alias("type_code"),
@@ -163,7 +163,7 @@ short_contract_duration = _row_generator("short_contract_duration")
 # ---------------------------------------------------------------- group types
 def _take_groups(groups: DataFrame, keys: Sequence[str], t: str, n_groups: Column, p: InjectParams) -> DataFrame:
     g = groups.withColumn("_gh", _h(*keys, p=p, salt=t + ":g")).withColumn("_gn", n_groups)
-    return take_smallest(g, "_gh", F.col("_gn")).drop("_gh", "_gn")
+    return take_smallest(g, "_gh", F.col("_gn"), hashes=True).drop("_gh", "_gn")
 
 
 def _take_in_group(rows: DataFrame, keys: Sequence[str], t: str, k: int, p: InjectParams) -> DataFrame:

@@ -8,23 +8,27 @@ are the assembled feature vectors of ``features.FeatureModel``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.feature import PCA, VectorSlicer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from bidscope.functions.columns import dbl, log1p_clip_inverse
+from bidscope.operators.quantiles import exact_quantiles
+from bidscope.operators.stats import dense_ids
+from bidscope.session import stage
 
 
 def class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
@@ -73,7 +77,8 @@ def gbt_amount_class(train: DataFrame, test: DataFrame, seed: int = 42, max_iter
 
 
 def linear_amount_reg(train: DataFrame, test: DataFrame, reg: float = 0.8, elastic: float = 1.0):
-    """Lasso (elasticNet=1) on log1p(amount)."""
+    """Linear model of log1p(amount): plain (reg 0), Lasso (elastic 1) or
+    elastic net."""
     tr = train.withColumn("y", F.log1p("montant"))
     model = LinearRegression(featuresCol="features", labelCol="y", regParam=reg, elasticNetParam=elastic).fit(tr)
     return model.transform(test), model
@@ -92,6 +97,52 @@ def cross_validate(train: DataFrame, folds: int = 5, seed: int = 42, parallelism
     return train.sparkSession.createDataFrame(rows, "regParam double, elasticNetParam double, rmse double"), m
 
 
+def grid_search(train: DataFrame, ranked: Sequence[int], counts: Sequence[int], depths: Sequence[int],
+                trees: Sequence[int], folds: int = 5, seed: int = 42) -> DataFrame:
+    """Random forests of log1p(amount) on the ``counts`` most important
+    features (``ranked``: feature numbers, best first) × depth × trees, by the
+    median absolute percentage error over folds of the training rows.  A row's
+    fold is its md5's; the median is the exact order statistic."""
+    spark = train.sparkSession
+    rows = train.withColumn("y", F.log1p("montant")).withColumn("_fold", F.pmod(F.conv(F.substring(F.md5(F.concat_ws(":", "uid", F.lit(seed))), 1, 8), 16, 10).cast("long"), F.lit(folds)))
+    out = []
+    for n in counts:
+        cut = VectorSlicer(inputCol="features", outputCol="_cut", indices=list(ranked[:n])).transform(rows)
+        for depth in depths:
+            for t in trees:
+                scored = None
+                for f in range(folds):
+                    model = RandomForestRegressor(featuresCol="_cut", labelCol="y", maxDepth=depth, numTrees=t, seed=seed).fit(cut.filter(F.col("_fold") != f))
+                    part = model.transform(cut.filter(F.col("_fold") == f)).select(
+                        (F.abs(log1p_clip_inverse("prediction") - F.col("montant")) / F.col("montant")).alias("ape"))
+                    scored = part if scored is None else scored.unionByName(part)
+                mdape = exact_quantiles(scored.filter("ape IS NOT NULL"), "ape", [0.5], ["mdape"]).first()["mdape"]
+                out.append((n, depth, t, float(mdape)))
+    return spark.createDataFrame(out, "n_features int, max_depth int, n_trees int, mdape double").orderBy("mdape", "n_features", "max_depth", "n_trees")
+
+
+def permutation_importance(model, test: DataFrame, names: Sequence[str], label: str = "label", seed: int = 42) -> DataFrame:
+    """Loss of accuracy on ``test`` when one feature is shuffled among the
+    rows.  All features are shuffled in one pass each over the scored rows:
+    values are dealt anew by a hashed order within the whole table, by joining
+    two numberings of the same rows."""
+    spark = test.sparkSession
+    base = test.select("uid", label, "features")
+    ordered = lambda salt: dense_ids(base.select(F.md5(F.concat_ws(":", "uid", F.lit(salt))).alias("_k")), "_k", "_n").join(
+        base.withColumn("_k", F.md5(F.concat_ws(":", "uid", F.lit(salt)))), "_k")
+    right = model.transform(base).agg(F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]
+    a = ordered(f"a{seed}").select("_n", label, vector_to_array("features").alias("_a"))
+    b = ordered(f"b{seed}").select("_n", vector_to_array("features").alias("_b"))
+    both = stage(a.join(b, "_n"), "permuted")
+    rows = []
+    for i, name in enumerate(names):
+        mixed = F.transform("_a", lambda v, j, i=i: F.when(j == i, F.element_at("_b", i + 1)).otherwise(v))
+        got = model.transform(both.select(label, array_to_vector(mixed).alias("features"))).agg(
+            F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]
+        rows.append((name, float(right - got)))
+    return spark.createDataFrame(rows, "feature string, accuracy_loss double")
+
+
 def feature_importance(model, names: Sequence[str], spark, top: int | None = None) -> DataFrame:
     """Tree-ensemble importances as (feature, importance, rank)."""
     imp = model.featureImportances.toArray().tolist()
@@ -102,26 +153,38 @@ def feature_importance(model, names: Sequence[str], spark, top: int | None = Non
 
 
 # ---------------------------------------------------------------- PCA
-def pca_reduce(df: DataFrame, variance: float = 0.9, max_k: int | None = None, features: str = "features"):
-    """Centre + scale (population std), PCA, keep the fewest components
-    explaining ``variance``.  Returns (projected df, model, k)."""
-    scaler = StandardScaler(inputCol=features, outputCol="_scaled", withMean=True, withStd=True).fit(df)
-    scaled = scaler.transform(df)
-    n = len(df.select(features).first()[0])
-    full = PCA(k=min(max_k or n, n), inputCol="_scaled", outputCol="_pca_all").fit(scaled)
-    cum, k = 0.0, 0
-    for v in full.explainedVariance.toArray():
-        cum += float(v)
-        k += 1
-        if cum >= variance:
-            break
-    model = PCA(k=k, inputCol="_scaled", outputCol="pca").fit(scaled)
-    return model.transform(scaled).drop("_scaled"), model, k
-
-
-def pca_loadings(model, names: Sequence[str], spark, top: int = 5) -> DataFrame:
+class Projection(NamedTuple):
+    """Principal components of the training rows."""
+    mean: np.ndarray
+    components: np.ndarray        # features × k
+    explained: np.ndarray         # variance share of each of the k
+
+
+def fit_pca(train: DataFrame, variance: float = 0.9, features: str = "features") -> Projection:
+    """Components of the centred (not rescaled) training rows: one fit, cut
+    at the fewest components that explain ``variance``."""
+    mean = train.select(Summarizer.mean(F.col(features)).alias("m")).first()["m"].toArray()
+    # the covariance behind the fit centres the columns by itself
+    full = PCA(k=len(mean), inputCol=features, outputCol="_pca").fit(train)
+    share = full.explainedVariance.toArray()
+    k = min(len(share), int(np.searchsorted(np.cumsum(share), variance - 1e-12)) + 1)
+    return Projection(mean, full.pc.toArray()[:, :k], share[:k])
+
+
+def pca_reduce(df: DataFrame, model: Projection, features: str = "features", out: str = "pca") -> DataFrame:
+    """``df`` with its rows' coordinates on the fitted components."""
+    shared = df.sparkSession.sparkContext.broadcast(model)      # features × k numbers
+
+    @F.pandas_udf("array<double>")
+    def project(v: pd.Series) -> pd.Series:
+        x = np.stack(v.to_numpy()) if len(v) else np.empty((0, len(shared.value.mean)))
+        return pd.Series(list((x - shared.value.mean) @ shared.value.components))
+    return df.withColumn(out, array_to_vector(project(vector_to_array(features))))
+
+
+def pca_loadings(model: Projection, names: Sequence[str], spark, top: int = 5) -> DataFrame:
     """Top |weight| features per component with the direction of the effect."""
-    pc = model.pc.toArray()
+    pc = model.components
     rows = [(j, names[i], float(pc[i, j])) for j in range(pc.shape[1]) for i in range(pc.shape[0])]
     df = spark.createDataFrame(rows, "component int, feature string, weight double")
     w = Window.partitionBy("component").orderBy(F.desc(F.abs("weight")), "feature")
@@ -129,18 +192,16 @@ def pca_loadings(model, names: Sequence[str], spark, top: int = 5) -> DataFrame:
              .withColumn("direction", F.when(F.col("weight") > 0, F.lit("increases")).otherwise(F.lit("decreases")))
 
 
-def reconstruction_error(df: DataFrame, model, features: str = "_scaled") -> DataFrame:
-    """mean over features of (x − x̂)² with x̂ = P Pᵀ x (rank-k linear
-    auto-encoder given by the PCA components)."""
-    pc = model.pc.toArray()
-    proj = pc @ pc.T
-    bproj = df.sparkSession.sparkContext.broadcast(proj)   # d×d, bounded by the feature count
+def reconstruction_error(df: DataFrame, model: Projection, features: str = "features") -> DataFrame:
+    """mean over features of (x − x̂)² with x̂ = m + P Pᵀ (x − m) (the rank-k
+    linear auto-encoder given by the components)."""
+    shared = df.sparkSession.sparkContext.broadcast(model)      # bounded by the feature count
 
     @F.pandas_udf(DoubleType())
     def _err(v: pd.Series) -> pd.Series:
-        x = np.stack(v.to_numpy())
-        r = x @ bproj.value
-        return pd.Series(((x - r) ** 2).mean(axis=1))
+        x = np.stack(v.to_numpy()) - shared.value.mean
+        pc = shared.value.components
+        return pd.Series(((x - x @ pc @ pc.T) ** 2).mean(axis=1))
     return df.withColumn("recon_error", _err(vector_to_array(features)))
 
 
@@ -163,20 +224,24 @@ def silhouette(pred: DataFrame, features: str = "pca", cluster: str = "predictio
     return pred.sparkSession.createDataFrame([(float(s),)], "silhouette double")
 
 
-def assign_cluster(new: DataFrame, members: DataFrame, features: str = "pca", cluster: str = "cluster",
-                   key: str = "uid") -> DataFrame:
-    """Cluster of each new row = cluster of its nearest exemplar (cluster
-    centroid computed from the members; noise members excluded).  Centroids
-    are one row per cluster: a bounded broadcast."""
+def centroids(members: DataFrame, features: str = "pca", cluster: str = "cluster") -> DataFrame:
+    """One row per cluster: the mean of its members (noise excluded)."""
     m = members.filter(F.col(cluster) >= 0).select(cluster, F.posexplode(vector_to_array(features)).alias("i", "v"))
-    cent = m.groupBy(cluster, "i").agg(F.avg("v").alias("c")) \
+    return m.groupBy(cluster, "i").agg(F.avg("v").alias("c")) \
             .groupBy(cluster).agg(F.sort_array(F.collect_list(F.struct("i", "c"))).alias("_cs")) \
-            .select(cluster, F.transform("_cs", lambda s: s["c"]).alias("_centroid"))
-    x = new.select(key, vector_to_array(features).alias("_x"))
-    d = x.crossJoin(F.broadcast(cent)).withColumn(
-        "_d", F.aggregate(F.zip_with("_x", "_centroid", lambda a, b: (a - b) * (a - b)), dbl(0), lambda acc, y: acc + y))
-    return d.groupBy(key).agg(F.min_by(cluster, F.struct("_d", cluster)).alias(cluster), F.min("_d").alias("distance"))
+            .select(cluster, F.transform("_cs", lambda s: s["c"]).alias("centroid"))
 
 
-def fit_pipeline(stages) -> Pipeline:
-    return Pipeline(stages=list(stages))
+def assign_cluster(new: DataFrame, cents: DataFrame, features: str = "pca", cluster: str = "cluster",
+                   key: str = "uid") -> DataFrame:
+    """Nearest centroid of each new row (ties to the smaller cluster), its
+    distance, and the probability: the share of exp(−d/2) of it among all
+    centroids.  All centroids are one array (one row per cluster, clusters
+    being a parameter of the clustering), so no row is multiplied or moved."""
+    every = cents.agg(F.sort_array(F.collect_list(F.struct(F.col(cluster).alias("cluster"), "centroid"))).alias("_cents"))
+    x = new.select(key, vector_to_array(features).alias("_x")).crossJoin(F.broadcast(every))
+    square = lambda c: F.aggregate(F.zip_with("_x", c, lambda a, b: (a - b) * (a - b)), dbl(0), lambda acc, y: acc + y)
+    ds = F.transform("_cents", lambda c: F.struct(square(c["centroid"]).alias("distance"), c["cluster"].alias("cluster")))
+    x = x.withColumn("_d", ds).withColumn("_best", F.array_min("_d"))
+    near = F.aggregate("_d", dbl(0), lambda acc, d: acc + F.exp((F.col("_best.distance") - d["distance"]) / 2))
+    return x.select(key, F.col("_best.cluster").alias(cluster), F.col("_best.distance").alias("distance"), (dbl(1) / near).alias("probability"))

@@ -1,33 +1,41 @@
 """Retrieval: SQL execution, document chunking, TF-IDF,
 exact nearest neighbours for a bounded query set.
 
-Nearest neighbours never pair the table with itself: queries are a bounded
-set (sampled contracts, per-label centroids) broadcast against the whole
-table, and the k best per query are found with ``k_smallest_per_group``
-(k rounds of a per-query ``min``), so a window only ranks ≤ k rows.
+Nearest neighbours never pair the table with itself: queries are a stated
+set (sampled contracts, per-label centroids), sent to the tasks in blocks of
+a bounded number of rows; each task keeps k points of a query.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bidscope.functions.columns import dbl
-from bidscope.operators.quantiles import k_smallest_per_group
+from bidscope.session import stage
 
-_READ_ONLY = re.compile(r"^\s*(select|with)\b", re.IGNORECASE)
-_FORBIDDEN = re.compile(r"\b(insert|update|delete|drop|create|alter|merge|truncate)\b", re.IGNORECASE)
+QUERY_ROWS = 10_000           # of a query set that go to the tasks at once
+
+
+def _reads_only(spark: SparkSession, text: str) -> bool:
+    """Whether the parsed statement has no command and no write in it."""
+    jvm = spark._jvm
+    kinds = [jvm.java.lang.Class.forName(f"org.apache.spark.sql.catalyst.plans.logical.{k}") for k in ("Command", "ParsedStatement")]
+
+    def reads(node) -> bool:
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        return not any(k.isInstance(node) for k in kinds) and all(map(reads, below))
+    return reads(spark._jsparkSession.sessionState().sqlParser().parsePlan(text))
 
 
 def run_sql(spark: SparkSession, text: str, top_k: int = 10) -> DataFrame:
-    """Execute a read-only statement (SELECT / WITH only), capped at
-    ``top_k`` rows (the cap is the feature: an answer preview).  Errors
+    """Execute a statement that only reads, as its parsed plan says, capped
+    at ``top_k`` rows (the cap is the feature: an answer preview).  Errors
     propagate as exceptions."""
-    if not _READ_ONLY.match(text) or _FORBIDDEN.search(text):
-        raise ValueError("only read-only SELECT/WITH statements are allowed")
+    if not _reads_only(spark, text):
+        raise ValueError("only statements that read are allowed")
     return spark.sql(text).limit(top_k)
 
 
@@ -49,8 +57,8 @@ def chunk_documents(docs: DataFrame, size: int = 500, overlap: int = 50, text: s
 
 
 def tokens(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc, term): lower-case ASCII alphanumeric runs of the whole text."""
-    toks = F.split(F.lower(F.col(text)), "[^a-z0-9]+")
+    """(doc, term): lower-case runs of letters and digits of any script."""
+    toks = F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+")
     return docs.select(key, F.explode(toks).alias("term")).filter(F.length("term") > 0)
 
 
@@ -76,16 +84,22 @@ def top_terms(tfidf_df: DataFrame, k: int = 5, key: str = "doc_id") -> DataFrame
 
 def knn_topk(points: DataFrame, queries: DataFrame, k: int, dist: Column, key: str = "uid",
              qkey: str = "query_id", exclude_self: bool = True) -> DataFrame:
-    """Exact k nearest points per query.  ``queries`` is a bounded set and is
-    broadcast; ``dist`` is a column expression over point and query columns.
-    Ties are broken by the point key."""
-    j = points.crossJoin(F.broadcast(queries)).withColumn("distance", dist)
-    if exclude_self:
-        j = j.filter(F.col(key) != F.col(qkey))
-    j = j.withColumn("_ord", F.struct("distance", key))
-    top = k_smallest_per_group(j, "_ord", k, [qkey])
-    w = Window.partitionBy(qkey).orderBy("_ord")   # ≤ k rows per query
-    return top.withColumn("rank", F.row_number().over(w)).drop("_ord")
+    """Exact k nearest points per query; ``dist`` is a column expression over
+    point and query columns, ties are broken by the point key.  Each block of
+    ``QUERY_ROWS`` queries, about, is broadcast; a task keeps k points of a
+    query (``WindowGroupLimit``) before the shuffle."""
+    queries = stage(queries, "queries")
+    blocks = -(-max(queries.count(), 1) // QUERY_ROWS)
+    w = Window.partitionBy(qkey).orderBy("distance", key)
+    found = None
+    for b in range(blocks):
+        some = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64(qkey), F.lit(blocks)) == b)
+        j = points.crossJoin(F.broadcast(some)).withColumn("distance", dist)
+        if exclude_self:
+            j = j.filter(F.col(key) != F.col(qkey))
+        top = j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        found = top if found is None else found.unionByName(top)
+    return found
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -8,7 +8,6 @@ categories, components), and each such use says so.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -222,14 +221,11 @@ def rows_except(df: DataFrame, keys: DataFrame, key: str = "uid") -> DataFrame:
 
 
 def replace_rows(df: DataFrame, new: DataFrame, key: str = "uid") -> DataFrame:
-    """Overwrite rows by key with ``new`` (shared columns only), keep the rest."""
+    """Overwrite rows by key with ``new`` (shared columns only), keep the
+    rest.  Rows of ``new`` whose key is not in the table are left out."""
     shared = [c for c in df.columns if c in new.columns]
-    return df.join(new.select(key), key, "left_anti").select(*shared).unionByName(new.select(*shared))
-
-
-def log_edges(lo_exp: float, hi_exp: float, bins: int) -> list[float]:
-    step = (hi_exp - lo_exp) / bins
-    return [math.pow(10.0, lo_exp + i * step) for i in range(bins + 1)]
+    known = new.join(df.select(key).distinct(), key, "left_semi")
+    return df.join(new.select(key), key, "left_anti").select(*shared).unionByName(known.select(*shared))
 
 
 def ordered_prefix_sums(df: DataFrame, order: str, cols: Sequence[str], partitions: int | None = None) -> DataFrame:

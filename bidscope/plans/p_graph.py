@@ -103,16 +103,16 @@ def _h_sql(prev: str, cur: str) -> str:
             f"USING (id, pos))")
 
 
-@plan("message_pass", with_contracts("SELECT id, pos, round(value, 6) AS value FROM h2", ",\n  ".join([
+@plan("message_pass", with_contracts("SELECT id, pos, round(value, 6) AS value FROM h3", ",\n  ".join([
     NODES, NF,
     """h0 AS (SELECT n.id, 0 AS pos, ln(1 + nf.nc) AS value FROM nf JOIN nodes n USING (entity, node_type)
           UNION ALL SELECT n.id, 1, ln(1 + nf.np) FROM nf JOIN nodes n USING (entity, node_type))""",
-    _h_sql("h0", "h1"), _h_sql("h1", "h2")])), "2.12")
+    _h_sql("h0", "h1"), _h_sql("h1", "h2"), _h_sql("h2", "h3")])), "2.12")
 def message_pass(spark, sf):
     c, nodes, edges = _graph(spark, sf)
     nf = G.node_features(c, [], []).join(nodes, ["entity", "node_type"])
     h0 = nf.select("id", F.array(F.log1p("num_contracts"), F.log1p("num_partners")).alias("h"))
-    out = G.message_pass(edges, G.to_long(h0), rounds=2)
+    out = G.message_pass(edges, G.to_long(h0), rounds=3)
     return out.select("id", "pos", F.round("value", 6).alias("value"))
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from bidscope.functions.columns import bin_ranges
 from bidscope.operators import clean as C
 from bidscope.operators import features as FE
-from bidscope.operators import graph as G
 from bidscope.operators import models as M
 from bidscope.operators import stats as ST
 from bidscope.operators.quantiles import exact_quantiles, k_smallest_per_group
@@ -36,9 +35,7 @@ def rf_amount_class(spark, sf):
 
 def _mlp(spark, sf):
     tr, te, fm = _data(spark, sf)
-    # hidden widths are a parameter (reference: 1028-512-256); the plan uses a
-    # narrower net so the check stays quick
-    return M.mlp_amount_class(tr, te, len(fm.feature_names()), 5, hidden=(64, 32), max_iter=50)[0]
+    return M.mlp_amount_class(tr, te, len(fm.feature_names()), 5)[0]
 
 
 @plan("mlp_amount_class", None, "2.13")
@@ -54,7 +51,7 @@ def predict_distribution(spark, sf):
 @plan("gbt_amount_reg", None, "2.13")
 def gbt_amount_reg(spark, sf):
     tr, te, _ = _data(spark, sf)
-    return M.gbt_amount_reg(tr, te, max_iter=20)[0].select("uid", "montant", "pred_montant")
+    return M.gbt_amount_reg(tr, te)[0].select("uid", "montant", "pred_montant")
 
 
 @plan("gbt_amount_class", None, "2.13")
@@ -65,16 +62,29 @@ def gbt_amount_class(spark, sf):
     d = C.split_random(FE.prepare(c), 0.2, 42).crossJoin(F.broadcast(q)).withColumn("label", qb.cast("double"))
     fm = FE.fit(d.filter(F.col("split") == "train"), FE.preset("pred_montant"))
     a = cut_lineage(fm.assemble(d, keep=("label", "split")))
-    out, _ = M.gbt_amount_class(a.filter(F.col("split") == "train"), a.filter(F.col("split") == "test"), max_iter=10)
+    out, _ = M.gbt_amount_class(a.filter(F.col("split") == "train"), a.filter(F.col("split") == "test"))
     return out.select("uid", "label", "prediction")
 
 
 @plan("linear_amount_reg", None, "2.13")
 def linear_amount_reg(spark, sf):
+    """Lasso, the reference's setting."""
     tr, te, _ = _data(spark, sf)
     return M.linear_amount_reg(tr, te, 0.8, 1.0)[0].select("uid", "montant", "prediction")
 
 
+@plan("linear_amount_plain", None, "2.13")
+def linear_amount_plain(spark, sf):
+    tr, te, _ = _data(spark, sf)
+    return M.linear_amount_reg(tr, te, 0.0, 0.0)[0].select("uid", "montant", "prediction")
+
+
+@plan("linear_amount_elastic", None, "2.13")
+def linear_amount_elastic(spark, sf):
+    tr, te, _ = _data(spark, sf)
+    return M.linear_amount_reg(tr, te, 0.1, 0.5)[0].select("uid", "montant", "prediction")
+
+
 @plan("cross_validate", None, "2.13")
 def cross_validate(spark, sf):
     tr, _, _ = _data(spark, sf)
@@ -83,23 +93,28 @@ def cross_validate(spark, sf):
 
 @plan("grid_search", None, "2.13")
 def grid_search(spark, sf):
-    tr, _, _ = _data(spark, sf)
-    g = M.cross_validate(tr, folds=3)[0]
-    return g.orderBy("rmse", "regParam", "elasticNetParam")
+    """Feature count × depth × trees, ranked by the median absolute
+    percentage error over five folds."""
+    tr, te, fm = _data(spark, sf)
+    _, model = M.rf_amount_class(tr, te)
+    importance = model.featureImportances.toArray()
+    ranked = sorted(range(len(importance)), key=lambda i: (-importance[i], i))
+    return M.grid_search(tr, ranked, counts=(10, 20), depths=(5, 10), trees=(20, 50))
 
 
 @plan("feature_importance", None, "2.13")
 def feature_importance(spark, sf):
     tr, te, fm = _data(spark, sf)
-    _, model = M.rf_amount_class(tr, te, trees=50)
-    return M.feature_importance(model, fm.feature_names(), spark, top=20)
+    _, model = M.rf_amount_class(tr, te)
+    return M.feature_importance(model, fm.feature_names(), spark).join(
+        M.permutation_importance(model, te, fm.feature_names()), "feature")
 
 
 def _pca(spark, sf):
+    """Components fitted on the training rows; all rows on them."""
     tr, te, fm = _data(spark, sf, preset="marche_sim")
-    allx = tr.unionByName(te)
-    proj, model, k = M.pca_reduce(allx, 0.9)
-    return cut_lineage(proj), model, k, fm
+    model = M.fit_pca(tr, 0.9)
+    return cut_lineage(M.pca_reduce(tr.unionByName(te), model)), model, model.components.shape[1], fm
 
 
 @plan("pca_reduce", None, "2.13")
@@ -139,60 +154,27 @@ def silhouette(spark, sf):
 def assign_cluster(spark, sf):
     proj, _, _, _ = _pca(spark, sf)
     km, _ = M.kmeans_cluster(proj.filter(F.col("split") == "train"), 50)
-    members = cut_lineage(km.withColumnRenamed("prediction", "cluster"))
-    return M.assign_cluster(proj.filter(F.col("split") == "test"), members)
+    cents = cut_lineage(M.centroids(km.withColumnRenamed("prediction", "cluster")))
+    return M.assign_cluster(proj.filter(F.col("split") == "test"), cents)
 
 
 @plan("similar_contracts", None, "2.13")
 def similar_contracts(spark, sf):
-    """For 5 sampled contracts: assigned cluster, its profile, and 5 member
-    contracts of that cluster (smallest md5 order)."""
+    """For 5 sampled contracts: assigned cluster with its probability, its
+    profile, and 5 member contracts of that cluster (smallest md5 order)."""
     proj, _, _, _ = _pca(spark, sf)
     km, _ = M.kmeans_cluster(proj.filter(F.col("split") == "train"), 50)
     members = cut_lineage(km.withColumnRenamed("prediction", "cluster"))
     queries = C.sample_rows(proj.filter(F.col("split") == "test"), 5, 7)
-    assigned = M.assign_cluster(queries, members)
-    prof = ST.cluster_profile(members.withColumn("dureeMois", F.lit(None).cast("double")), "cluster", "codeCPV_2",
-                              "montant", "dureeMois", 1).select("cluster", "size", "top_cpv", "median_amount")
+    assigned = M.assign_cluster(queries, M.centroids(members))
+    prof = ST.cluster_profile(members.join(contracts(spark, sf).select("uid", "dureeMois"), "uid"), "cluster", "codeCPV_2", "montant", "dureeMois", 1) \
+             .select("cluster", "size", "top_cpv", "median_amount", "median_duration")
     pick = members.join(assigned.select("cluster").distinct(), "cluster", "left_semi") \
                   .withColumn("_h", hash_rank_value(md5_key("uid", seed=11)))
     sample = k_smallest_per_group(pick, "_h", 5, ["cluster"]).select("cluster", F.col("uid").alias("similar_uid"))
     return assigned.withColumnRenamed("uid", "query_uid").join(prof, "cluster").join(sample, "cluster")
 
 
-def _recon(df, key):
-    """PCA (90 % variance) on the standardized columns of ``df``; error =
-    mean squared reconstruction residual per row."""
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-    cols = [c for c in df.columns if c != key]
-    v = VectorAssembler(inputCols=cols, outputCol="features").transform(df.fillna(0.0))
-    _, model, _ = M.pca_reduce(v, 0.9)
-    sc = StandardScaler(inputCol="features", outputCol="_scaled", withMean=True, withStd=True).fit(v).transform(v)
-    return M.reconstruction_error(sc, model, "_scaled").select(key, "recon_error")
-
-
-@plan("recon_error_nodes", None, "2.12")
-def recon_error_nodes(spark, sf):
-    c = contracts(spark, sf)
-    nodes, edges = G.build_graph(c)
-    nf = G.node_features(c, ["montant", "dureeMois", "offresRecues"], ["montant", "dureeMois", "offresRecues"]) \
-          .join(nodes, ["entity", "node_type"])
-    err = _recon(nf.drop("entity", "node_type").select("id", *[c for c in nf.columns
-                                                                 if c.startswith(("mean_", "std_", "num_", "contracts_"))]), "id")
-    return G.threshold_flag(err, "recon_error", 5.0)
-
-
-@plan("recon_error_edges", None, "2.12")
-def recon_error_edges(spark, sf):
-    tr, te, _ = _data(spark, sf, preset="anomalie")
-    allx = tr.unionByName(te)
-    _, model, _ = M.pca_reduce(allx, 0.9)
-    from pyspark.ml.feature import StandardScaler
-    sc = StandardScaler(inputCol="features", outputCol="_scaled", withMean=True, withStd=True).fit(allx).transform(allx)
-    err = M.reconstruction_error(sc, model, "_scaled").select("uid", "recon_error")
-    return G.threshold_flag(err, "recon_error", 5.0)
-
-
 @plan("isolation_forest", None, "2.13")
 def isolation_forest(spark, sf):
     """100 trees of 256 rows on robust-scaled amount/duration/bids,

@@ -7,6 +7,7 @@ import uuid
 
 from bidscope.plans.registry import plan
 from bidscope.session import scratch_path
+from bidscope.sources.tables import table_path
 from bidscope.streaming import bursts as B
 
 K = 5
@@ -20,4 +21,4 @@ GROUP BY 1, 2, 3 HAVING count(*) >= {K}""", "2.13")
 def stream_bursts(spark, sf):
     # a fresh output/checkpoint pair in the shared folder for each run
     base = scratch_path(spark, f"stream_bursts/{uuid.uuid4().hex[:12]}")
-    return B.run_stream(spark, sf, "events.parquet", f"{base}/out", f"{base}/checkpoint", K)
+    return B.run_stream(spark, table_path(sf, "events"), f"{base}/out", f"{base}/checkpoint", K)

@@ -40,5 +40,5 @@ def load_all() -> dict[str, Plan]:
     # Importing the modules registers their plans.
     from bidscope.plans import (  # noqa: F401
         p_scans, p_rows, p_joins, p_aggs, p_windows, p_scalar, p_features,
-        p_flags, p_inject, p_graph, p_eval, p_models, p_retrieve, p_stream)
+        p_flags, p_inject, p_graph, p_eval, p_models, p_detect, p_retrieve, p_stream)
     return PLANS
