@@ -36,6 +36,9 @@ HEADLINE = [
     "tfidf",
     "chunk_documents",
     "vector_topk",
+    "knn_topk",
+    "rf_amount_class",
+    "gmm_cluster",
 ]
 
 

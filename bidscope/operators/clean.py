@@ -124,8 +124,8 @@ def split_stratified(df: DataFrame, stratum: str, seed: int = 42, key: str = "ui
     n_tv = F.ceil(F.col("_cnt") * dbl(test + val))
     targets = sizes.select(stratum, F.explode(F.array(
         F.struct(F.lit(0).alias("_t"), (n_test - 1).cast("double").alias("_pos")),
-        F.struct(F.lit(1).alias("_t"), (n_tv - 1).cast("double").alias("_pos")))).alias("_x")) \
-        .select(stratum, "_x._t", "_x._pos", F.col("_cnt").alias("_n")).filter(F.col("_pos") >= 0)
+        F.struct(F.lit(1).alias("_t"), (n_tv - 1).cast("double").alias("_pos")))).alias("_x"), F.col("_cnt").alias("_n")) \
+        .select(stratum, "_x._t", "_x._pos", "_n").filter(F.col("_pos") >= 0)
     thr = hash_statistics(hv.select(stratum, "_hv"), "_hv", targets, [stratum])
     thr = thr.groupBy(stratum).agg(
         F.max(F.when(F.col("_t") == 0, F.col("value"))).alias("_t0"),

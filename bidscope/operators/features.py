@@ -172,7 +172,7 @@ def fit(train: DataFrame, spec: FeatureSpec) -> FeatureModel:
     for c in spec.numerical:
         x = _num_input(c, med if c == "offresRecues" else None)
         aggs += [F.avg(x).alias(f"m_{c}"), F.stddev_pop(x).alias(f"s_{c}")]
-    row = d.agg(*aggs).first()
+    row = d.agg(*aggs).first() if aggs else {}
     for c in spec.numerical:
         s = row[f"s_{c}"]
         model.mean[c] = float(row[f"m_{c}"])

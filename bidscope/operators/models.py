@@ -28,7 +28,6 @@ from pyspark.sql.types import DoubleType
 from bidscope.functions.columns import dbl, log1p_clip_inverse
 from bidscope.operators.quantiles import exact_quantiles
 from bidscope.operators.stats import dense_ids
-from bidscope.session import stage
 
 
 def class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
@@ -123,24 +122,25 @@ def grid_search(train: DataFrame, ranked: Sequence[int], counts: Sequence[int],
 
 def permutation_importance(model, test: DataFrame, names: Sequence[str], label: str = "label", seed: int = 42) -> DataFrame:
     """Loss of accuracy on ``test`` when one feature is shuffled among the
-    rows.  All features are shuffled in one pass each over the scored rows:
-    values are dealt anew by a hashed order within the whole table, by joining
-    two numberings of the same rows."""
+    rows.  The shuffle joins two numberings of the rows by hashed order; all
+    features are scored in one job, a row for each, which is bounded by the
+    feature vector."""
     spark = test.sparkSession
     base = test.select("uid", label, "features")
-    ordered = lambda salt: dense_ids(base.select(F.md5(F.concat_ws(":", "uid", F.lit(salt))).alias("_k")), "_k", "_n").join(
-        base.withColumn("_k", F.md5(F.concat_ws(":", "uid", F.lit(salt)))), "_k")
-    right = model.transform(base).agg(F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]
-    a = ordered(f"a{seed}").select("_n", label, vector_to_array("features").alias("_a"))
-    b = ordered(f"b{seed}").select("_n", vector_to_array("features").alias("_b"))
-    both = stage(a.join(b, "_n"), "permuted")
-    rows = []
-    for i, name in enumerate(names):
-        mixed = F.transform("_a", lambda v, j, i=i: F.when(j == i, F.element_at("_b", i + 1)).otherwise(v))
-        got = model.transform(both.select(label, array_to_vector(mixed).alias("features"))).agg(
-            F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]
-        rows.append((name, float(right - got)))
-    return spark.createDataFrame(rows, "feature string, accuracy_loss double")
+
+    def ordered(salt: str) -> DataFrame:
+        keyed = base.withColumn("_k", F.md5(F.concat_ws(":", "uid", F.lit(f"{salt}{seed}"))))
+        return keyed.join(dense_ids(keyed.select("_k"), "_k", "_n"), "_k")
+    correct = F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("accuracy")
+    right = model.transform(base).agg(correct).first()["accuracy"]
+    a = ordered("a").select("_n", label, vector_to_array("features").alias("_a"))
+    b = ordered("b").select("_n", vector_to_array("features").alias("_b"))
+    mixed = F.transform("_a", lambda v, j: F.when(j == F.col("_i"), F.element_at("_b", F.col("_i") + 1)).otherwise(v))
+    rows = a.join(b, "_n").select(label, "_a", "_b", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("_i")) \
+            .select(label, "_i", array_to_vector(mixed).alias("features"))
+    scored = model.transform(rows).groupBy("_i").agg(correct)
+    named = spark.createDataFrame(list(enumerate(names)), "_i int, feature string")
+    return scored.join(named, "_i").select("feature", (F.lit(right) - F.col("accuracy")).alias("accuracy_loss"))
 
 
 def feature_importance(model, names: Sequence[str], spark, top: int | None = None) -> DataFrame:

@@ -171,7 +171,7 @@ def one_hot(spark, sf):
     return FE.one_hot(d.filter(F.col("split") == "train"), d, "formePrix")
 
 
-@plan("pipeline_store", None, "2.1")
+@plan("pipeline_store", feature_long_sql(ANOM, "test"), "2.1")
 def pipeline_store(spark, sf):
     """Fit, persist to the shared folder, load back, transform the test split."""
     d = _split(spark, sf)
@@ -179,4 +179,4 @@ def pipeline_store(spark, sf):
     path = scratch_path(spark, f"feature_model_{hashlib.md5(sf.encode()).hexdigest()[:8]}")
     model.save(spark, path)
     loaded = FE.FeatureModel.load(spark, path)
-    return loaded.transform(d.filter(F.col("split") == "test"))
+    return loaded.transform_long(d.filter(F.col("split") == "test")).withColumn("value", F.round("value", 6))

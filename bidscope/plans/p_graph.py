@@ -230,10 +230,11 @@ def graph_store(spark, sf):
     return spark.read.parquet(base + "/edges")
 
 
-@plan("sink_results", None, "2.1")
+@plan("sink_results", NODE_RESULTS_SQL, "2.1")
 def sink_results(spark, sf):
     """Write the node result table to the shared folder and read it back."""
     res = _node_results(spark, sf)[0]
     path = scratch_path(spark, f"node_results_{hashlib.md5(sf.encode()).hexdigest()[:8]}")
+    res = res.drop("id")
     res.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

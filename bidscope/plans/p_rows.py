@@ -63,12 +63,11 @@ def filter_not_equal(spark, sf):
 
 
 @plan("filter_valid_parties", with_contracts("""
-SELECT uid, acheteur_id, idAccordCadre FROM contracts WHERE acheteur_id IS NOT NULL AND idAccordCadre IS NOT NULL"""),
+SELECT uid, acheteur_id, titulaire_id FROM contracts WHERE acheteur_id IS NOT NULL AND titulaire_id IS NOT NULL"""),
     "2.2")
 def filter_valid_parties(spark, sf):
-    # the framework id plays the nullable party here (contract parties are never null in the test view)
-    df = contracts(spark, sf).select("uid", "acheteur_id", "idAccordCadre")
-    return C.filter_valid_parties(df, "acheteur_id", "idAccordCadre")
+    df = contracts(spark, sf).select("uid", "acheteur_id", "titulaire_id")
+    return C.filter_valid_parties(df, "acheteur_id", "titulaire_id")
 
 
 @plan("filter_min_group", with_contracts(f"""

@@ -235,17 +235,27 @@ def vector_math(spark, sf):
     return per
 
 
+_PREVALENCE_OF = {
+    "typeGroupementOperateurs": "typeGroupementOperateurs", "offresRecues": "CAST(CAST(offresRecues AS INTEGER) AS VARCHAR)",
+    "codeCPV_3": cpv_level_sql("codeCPV", 3)}
+
+
 @plan("status_bucket", with_contracts("""
-SELECT procedure, round(p, 6) AS prevalence, CASE WHEN p > 10 THEN 'Very High' WHEN p > 5 THEN 'High'
+SELECT col, value, round(p, 6) AS prevalence, CASE WHEN p > 10 THEN 'Very High' WHEN p > 5 THEN 'High'
        WHEN p > 1 THEN 'Medium' WHEN p > CAST(0.1 AS DOUBLE) THEN 'Low' ELSE 'Very Low' END AS status FROM (
-  SELECT procedure, CAST(count(*) AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS p
-  FROM contracts WHERE sousTraitanceDeclaree = 1 AND dureeMois < 1 GROUP BY 1) t"""), "2.8")
+  SELECT col, value, CAST(count(*) AS DOUBLE) * CAST(100 AS DOUBLE) / CAST((SELECT count(*) FROM contracts) AS DOUBLE) AS p
+  FROM (""" + " UNION ALL ".join(f"SELECT '{c}' AS col, {x} AS value FROM contracts" for c, x in _PREVALENCE_OF.items()) + """) a
+  WHERE value IS NOT NULL GROUP BY 1, 2) t"""), "2.8")
 def status_bucket(spark, sf):
-    c = contracts(spark, sf).filter((F.col("sousTraitanceDeclaree") == 1.0) & (F.col("dureeMois") < 1.0))
-    vc = c.groupBy("procedure").agg(F.count(F.lit(1)).alias("n"))
-    tot = vc.agg(F.sum("n").alias("_t"))
+    """Prevalence of the values of three columns; their shares reach all five
+    buckets."""
+    c = contracts(spark, sf)
+    pairs = F.explode(F.array(
+        F.struct(F.lit("typeGroupementOperateurs").alias("col"), F.col("typeGroupementOperateurs").alias("value")),
+        F.struct(F.lit("offresRecues").alias("col"), F.col("offresRecues").cast("int").cast("string").alias("value")),
+        F.struct(F.lit("codeCPV_3").alias("col"), FN.cpv_level("codeCPV", 3).alias("value"))))
+    counts = c.select(pairs.alias("_p")).select("_p.col", "_p.value").groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
+    total = c.agg(F.count(F.lit(1)).alias("_t"))
     p = FN.pct("n", "_t")
-    return vc.crossJoin(F.broadcast(tot)).select("procedure", F.round(p, 6).alias("prevalence"),
-                                                 FN.prevalence_status(p).alias("status"))
-
-
+    return counts.filter("value IS NOT NULL").crossJoin(F.broadcast(total)).select(
+        "col", "value", F.round(p, 6).alias("prevalence"), FN.prevalence_status(p).alias("status"))
