@@ -1,14 +1,14 @@
 """Similarity join on word shingles by T-occurrence search.
 
 Equal shingle sets become one node.  Shingles have one global order, rare
-ones first; two sets that link share a shingle among the first of each, so
-only those first shingles meet in a shuffle.  Sets that share none there link
-with nothing and are done.
+ones first; two sets that link share a known number of the first shingles of
+each, so only those first shingles meet in a shuffle.  Sets that share fewer
+there link with nothing and are done.
 
 Each other set gets a home, by its first shared shingle; homes have a bounded
 weight, and a hot shingle is salted over several.  A set also visits every
-other home where one of its shared first shingles lives, so any two sets that
-can link meet in a home.  A home is searched with inverted lists: the few
+other home that holds as many of its shared first shingles, so any two sets
+that can link meet in a home.  A home is searched with inverted lists: the few
 longest lists are only probed, the others are merged by a heap, and a set
 that reaches the required overlap is checked exactly (DivideSkip).
 
@@ -30,7 +30,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.llm import sums
@@ -40,7 +40,10 @@ from bidscope.session import stage
 
 WORDS = 5                      # in a shingle
 LIKE = 80                      # hundredths of the union that two sets share
-SLOTS = 1 << 14                # of the table of shingle counts
+EACH = 20                      # one shared first shingle is asked for by so many of a set
+SLOTS = 1 << 16                # of the table of shingle counts
+SHIFT = np.uint64(48)          # of a hash to its slot
+SMALL = 500_000                # rows of at most some hundred bytes that are broadcast; more are shuffled
 HOME = 400_000                 # shingles in a home, about
 SKIP = 0.0085                  # weight of a probe against a merge step
 
@@ -53,9 +56,9 @@ def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(SLOTS, np.int64)
     for batch in batches:
         for part in slices(batch, "text"):
-            for s in shingles(split_words(part.column("text")), WORDS):
-                total += np.bincount((s >> np.uint64(50)).astype(np.int64), minlength=SLOTS)
-    yield sums.parts(total, SLOTS)
+            found = shingles(split_words(part.column("text")), WORDS)
+            total += np.bincount((np.concatenate([np.empty(0, np.uint64), *found]) >> SHIFT).astype(np.int64), minlength=SLOTS)
+    yield sums.parts(total, SLOTS // 16)
 
 
 def slot_ranks(docs: DataFrame) -> np.ndarray:
@@ -72,7 +75,7 @@ def ordered_sets(texts: pa.Array, ranks: np.ndarray) -> list[np.ndarray]:
     found = shingles(split_words(texts), WORDS)
     sizes = [len(s) for s in found]
     flat = np.concatenate([np.empty(0, np.uint64), *found])
-    flat = ranks[(flat >> np.uint64(50)).astype(np.int64)] << np.uint64(58) | flat >> np.uint64(6)
+    flat = ranks[(flat >> SHIFT).astype(np.int64)] << np.uint64(58) | flat >> np.uint64(6)
     out, at = [], 0
     for n in sizes:
         out.append(np.unique(flat[at:at + n]))
@@ -80,6 +83,23 @@ def ordered_sets(texts: pa.Array, ranks: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def head_size(n: int, like: int) -> int:
+    """First shingles of a set of n that meet: beyond those that a link may
+    lack, one for each EACH of the set."""
+    return min(n, n - -(-like * n // 100) + -(-n // EACH))
+
+
+def _asked(n: Column, like: int) -> Column:
+    """First shingles that a set of n shares with any set that it links to,
+    which has like / 100 of n at least."""
+    return F.ceil(F.ceil(n * like / 100) / EACH)
+
+
+def known_small(df: DataFrame) -> DataFrame:
+    """For a join: broadcast a written table if it is known to be small."""
+    return F.broadcast(df) if df.count() <= SMALL else df
+
+
 def _digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
@@ -212,7 +232,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", like: i
 
     def first(part: pa.RecordBatch) -> list:
         found = ordered_sets(part.column("text"), ranks)
-        heads = [s[:len(s) - -(-like * len(s) // 100) + 1] for s in found]
+        heads = [s[:head_size(len(s), like)] for s in found]
         cuts = np.append(0, np.cumsum([len(h) for h in heads])).astype(np.int32)
         return [pa.array([len(s) for s in found], pa.int64()),
                 pa.array([_digest(s) if len(s) else None for s in found], pa.binary()),
@@ -222,22 +242,25 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", like: i
     nodes = stage(sets.where("n > 0").groupBy("digest").agg(F.min("key").alias("least"), F.first("n").alias("n"))
                   .withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    heads = (sets.join(nodes.select("digest", "least", "node"), (sets.digest == nodes.digest) & sets.key.eqNullSafe(nodes.least))
+    known = known_small(nodes.select("digest", "least", "node"))
+    heads = (sets.join(known, (sets.digest == nodes.digest) & sets.key.eqNullSafe(nodes.least))
              .select("node", "n", F.explode("head").alias("token")).repartition("token"))
     common = heads.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("token")
     met = stage(heads.join(common, "token"), "met")
 
-    homes = met.groupBy("node").agg(F.min("token").alias("token"), F.first("n").alias("n"))
+    homes = met.groupBy("node").agg(F.min("token").alias("token"), F.first("n").alias("n"), F.count("*").alias("shared"))
+    homes = stage(homes.where(F.col("shared") >= _asked(F.col("n"), like)).drop("shared"), "alive")
     weight = homes.groupBy("token").agg(F.sum("n").alias("weight"))
-    n_homes = 1 + (weight.agg(F.sum("weight")).first()[0] or 0) // HOME
+    n_homes = 1 + (homes.agg(F.sum("n")).first()[0] or 0) // HOME
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("weight") / HOME))
     homes = stage(homes.join(weight, "token").select("node", F.pmod(F.xxhash64("token", salt), F.lit(n_homes)).alias("home")), "homes")
     at = met.join(homes, "node")
     there = at.groupBy("token", "home").agg(F.min("n").alias("least"), F.max("n").alias("most")).withColumnRenamed("home", "other")
     visits = (at.join(there, "token").where((F.col("other") < F.col("home")) & (100 * F.col("n") >= like * F.col("least")) & (like * F.col("n") <= 100 * F.col("most")))
+              .groupBy("node", "other").agg(F.first("n").alias("n"), F.count("*").alias("shared")).where(F.col("shared") >= _asked(F.col("n"), like))
               .select("node", F.col("other").alias("home")))
     stays = homes.union(visits).distinct().groupBy("node").agg(F.collect_list("home").alias("homes"))
-    wanted = stays.join(nodes, "node").select("node", "homes", "digest", "least")
+    wanted = known_small(stage(stays.join(nodes, "node").select("node", "homes", "digest", "least"), "wanted"))
 
     def whole(part: pa.RecordBatch) -> list:
         found = ordered_sets(part.column("text"), ranks)

@@ -1,29 +1,73 @@
-"""The training-data pipeline over ``documents``."""
+"""The training-data pipeline over ``documents``.
+
+Four stages, each reading what its predecessor wrote: documents of low
+quality go, of each group of near copies one stays, documents that hold test
+passages go, and the rest is encoded.  All but the last return the columns of
+``documents``.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from bidscope.llm import bpe, fmindex, jaccard, quality
+from bidscope.session import scratch_path, stage, tune
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts, learned from this stage's own
+    documents and the labels."""
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    kept = quality.score(docs.withColumnsRenamed({"score": "_score", "predicted": "_predicted"}), model).where("predicted = 1")
+    return kept.drop("score", "predicted").withColumnsRenamed({"_score": "score", "_predicted": "predicted"}).select(docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by four fifths of their five-word shingles, the
+    one with the smallest doc_id; of rows that are wholly equal, one."""
+    found = jaccard.components(docs)
+    others = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    others = jaccard.known_small(stage(others.withColumnRenamed("doc_id", "_other"), "others"))
+    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        docs = docs.dropDuplicates()
+    return docs.join(others, F.col("doc_id").eqNullSafe(F.col("_other")), "left_anti")
+
 
-from bidscope.llm import bpe
-from bidscope.session import remove_path, scratch_path, tune
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any ten words in a row of a benchmark item."""
+    texts = docs.select(F.md5("text").alias("doc_id"), "text")
+    index = stage(fmindex.build_index(texts), "fm-index")
+    hit = fmindex.contamination(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated")
+    hit = jaccard.known_small(stage(hit.select(F.col("doc_id").alias("_hit")).distinct(), "hit"))
+    return docs.join(hit, F.md5("text") == F.col("_hit"), "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids, counts and digests of every kept document."""
+    """Ids, counts and digests of every document that is left."""
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
                                 keep=["doc_id", "lang", "source", "n_chars"])
 
 
-STAGES = [("byte-level BPE encoding", encode)]
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", keep_one_of_each_group),
+    ("benchmark decontamination", drop_benchmark),
+    ("byte-level BPE encoding and decoding", encode),
+]
 
-ORACLE_SQL = None       # trained and tokenizing stages: tested against brute force
+#: A trained classifier and a tokenizer: tested against brute force.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline/{name.replace(' ', '-')}")
-        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+    own = uuid.uuid4().hex[:12]
+    for number, (_, apply) in enumerate(STAGES):
+        path = scratch_path(spark, f"pipeline/{own}/{number}")
+        apply(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
