@@ -23,6 +23,7 @@ near copies costs one search for each, not one check for each pair.
 from __future__ import annotations
 
 import heapq
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import groupby
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from bidscope.llm import sums
 from bidscope.llm.columns import require, with_columns
-from bidscope.llm.words import shingles, slices, split_words
+from bidscope.llm.words import shingle_runs, shingles, slices, split_words
 from bidscope.session import stage
 
 WORDS = 5                      # in a shingle
@@ -46,6 +47,7 @@ SHIFT = np.uint64(48)          # of a hash to its slot
 SMALL = 500_000                # rows of at most some hundred bytes that are broadcast; more are shuffled
 HOME = 400_000                 # shingles in a home, about
 SKIP = 0.0085                  # weight of a probe against a merge step
+HEAP, FEW = 1000, 8            # entries that a heap merges, leaders that are probed one by one
 
 
 def _links(shared: int, a: int, b: int, like: int) -> bool:
@@ -56,8 +58,8 @@ def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(SLOTS, np.int64)
     for batch in batches:
         for part in slices(batch, "text"):
-            found = shingles(split_words(part.column("text")), WORDS)
-            total += np.bincount((np.concatenate([np.empty(0, np.uint64), *found]) >> SHIFT).astype(np.int64), minlength=SLOTS)
+            runs, whole = shingle_runs(split_words(part.column("text")), WORDS)
+            total += np.bincount((runs[whole] >> SHIFT).astype(np.int64), minlength=SLOTS)
     yield sums.parts(total, SLOTS // 16)
 
 
@@ -72,15 +74,7 @@ def slot_ranks(docs: DataFrame) -> np.ndarray:
 
 def ordered_sets(texts: pa.Array, ranks: np.ndarray) -> list[np.ndarray]:
     """Shingle sets as numbers whose order is the global one."""
-    found = shingles(split_words(texts), WORDS)
-    sizes = [len(s) for s in found]
-    flat = np.concatenate([np.empty(0, np.uint64), *found])
-    flat = ranks[(flat >> SHIFT).astype(np.int64)] << np.uint64(58) | flat >> np.uint64(6)
-    out, at = [], 0
-    for n in sizes:
-        out.append(np.unique(flat[at:at + n]))
-        at += n
-    return out
+    return shingles(split_words(texts), WORDS, lambda h: ranks[(h >> SHIFT).astype(np.int64)] << np.uint64(58) | h >> np.uint64(6))
 
 
 def head_size(n: int, like: int) -> int:
@@ -109,7 +103,7 @@ class Search:
 
     def __init__(self, like: int = LIKE):
         self.like, self.far = like, max(1, 2 * like - 100)
-        self.lists: dict[int, list[int]] = {}
+        self.lists: dict[int, array] = {}
         self.sets: list[np.ndarray] = []
         self.parent: list[int] = []
         self.leaders: list[int] = []                    # sets that lists number 0, 1, ...
@@ -122,19 +116,31 @@ class Search:
         return x
 
     def overlapping(self, tokens: list[int], least: int) -> list[tuple[int, int]]:
-        """Leaders that share at least ``least`` of the tokens, and how many."""
+        """Leaders that share at least ``least`` of the tokens, and how many.
+
+        A leader that does is in the short lists at least ``least`` less the
+        number of long ones times, so only these are merged: by a heap, or by
+        one sort if they hold very much."""
         lists = [x for x in map(self.lists.get, tokens) if x is not None]
         if len(lists) < least:
             return []
         lists.sort(key=len, reverse=True)
         n_long = min(least - 1, int(least / (SKIP * np.log2(len(lists[0]) + 1) + 1)))
         long, short = lists[:n_long], lists[n_long:]
+        if sum(map(len, short)) <= HEAP:
+            merged = [(x, sum(1 for _ in run)) for x, run in groupby(heapq.merge(*short))]
+            found = [(x, n) for x, n in merged if n >= least - n_long]
+        else:
+            leaders, counts = np.unique(np.frombuffer(b"".join(short), np.int32), return_counts=True)
+            keep = counts >= least - n_long
+            found = list(zip(leaders[keep].tolist(), counts[keep].tolist()))
+        return self._probe(found, long, least) if len(found) <= FEW else self._probe_many(found, long, least)
+
+    @staticmethod
+    def _probe(found: list[tuple[int, int]], long: list[array], least: int) -> list[tuple[int, int]]:
         out = []
-        for leader, run in groupby(heapq.merge(*short) if len(short) > 1 else short[0]):
-            count = sum(1 for _ in run)
-            if count < least - n_long:
-                continue
-            left = n_long
+        for leader, count in found:
+            left = len(long)
             for x in long:
                 at = bisect_left(x, leader)
                 count += at < len(x) and x[at] == leader
@@ -145,6 +151,20 @@ class Search:
                 out.append((leader, count))
         return out
 
+    @staticmethod
+    def _probe_many(found: list[tuple[int, int]], long: list[array], least: int) -> list[tuple[int, int]]:
+        leaders, counts = np.array(found, np.int64).T
+        for i, x in enumerate(long):
+            known = np.frombuffer(x, np.int32)
+            at = np.searchsorted(known, leaders)
+            at[at == len(known)] = 0
+            counts = counts + (known[at] == leaders)
+            if i % 32 == 31:
+                keep = counts + (len(long) - i - 1) >= least
+                leaders, counts = leaders[keep], counts[keep]
+        keep = counts >= least
+        return list(zip(leaders[keep].tolist(), counts[keep].tolist()))
+
     def add(self, tokens: np.ndarray) -> None:
         me, n = len(self.sets), len(tokens)
         self.sets.append(tokens)
@@ -163,7 +183,10 @@ class Search:
             self.balls[best[1]].append((best[0], me))
         else:
             for token in names:
-                self.lists.setdefault(token, []).append(len(self.leaders))
+                if token in self.lists:
+                    self.lists[token].append(len(self.leaders))
+                else:
+                    self.lists[token] = array("i", (len(self.leaders),))
             self.leaders.append(me)
             self.balls.append([])
         for distance, leader in apart:

@@ -100,19 +100,40 @@ def owners(starts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(starts) - 1), np.diff(starts))
 
 
-def shingles(words: Words, k: int = 5) -> list[np.ndarray]:
-    """Of each text, the sorted distinct hashes of its k-word shingles; the
-    whole sequence of a text with fewer words is its one shingle."""
+def shingle_runs(words: Words, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the k words from each word on, and whether those lie in one
+    text.  The whole sequence of a text with fewer words stands for it, at its
+    first word."""
     h = hashes(words.vocab)[words.codes]
     n, starts = len(h), words.starts
-    runs = chain([h[i:n - k + 1 + i] for i in range(k)], k) if n >= k else np.empty(0, np.uint64)
-    out = []
-    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        if b - a >= k:
-            s = np.sort(runs[a:b - k + 1])
-            out.append(s[np.append(True, s[1:] != s[:-1])])
-        elif b > a:
-            out.append(chain([h[i:i + 1] for i in range(a, b)], b - a))
-        else:
-            out.append(np.empty(0, np.uint64))
+    runs = np.zeros(n, np.uint64)
+    if n >= k:
+        runs[:n - k + 1] = chain([h[i:n - k + 1 + i] for i in range(k)], k)
+    size = np.diff(starts)
+    whole = np.arange(n) <= np.repeat(starts[1:] - k, size)
+    for i in np.flatnonzero((size > 0) & (size < k)).tolist():
+        a, b = starts[i], starts[i + 1]
+        runs[a] = chain([h[j:j + 1] for j in range(a, b)], int(b - a))[0]
+        whole[a] = True
+    return runs, whole
+
+
+def shingles(words: Words, k: int = 5, change=None) -> list[np.ndarray]:
+    """Of each text, the sorted distinct hashes of its k-word shingles, which
+    ``change`` may first turn into other numbers."""
+    runs, whole = shingle_runs(words, k)
+    if change is not None:
+        runs = change(runs)
+    size = np.diff(words.starts)
+    n = np.where(size < k, np.minimum(size, 1), size - k + 1)
+    flat, out, at = runs[whole], [], 0
+    for m in n.tolist():
+        s = np.sort(flat[at:at + m])
+        at += m
+        if m > 1:
+            new = np.empty(m, bool)
+            new[0] = True
+            np.not_equal(s[1:], s[:-1], out=new[1:])
+            s = s[new]
+        out.append(s)
     return out
