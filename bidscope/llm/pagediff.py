@@ -84,7 +84,7 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
         return [pa.array([line_hashes(lines(h or "")) for h in part.column("html").to_pylist()], pa.list_(pa.int64()))]
 
     found = with_columns(pages, "html", "lines array<long>", hashes, ["host", "path", "key"])
-    urls = found.groupBy("host", "path").agg(F.min_by("lines", F.struct("key", "lines")).alias("lines"))
+    urls = found.groupBy("host", "path").agg(F.min(F.struct("key", "lines"))["lines"].alias("lines"))
     ordered = stage(urls.repartitionByRange("host", "path").sortWithinPartitions("host", "path")
                     .withColumn("at", F.monotonically_increasing_id()), "urls")
     # One row for each partition.
