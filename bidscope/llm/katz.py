@@ -11,10 +11,11 @@ that every context keeps something for unseen words.
 
 The pairs of all texts meet once, in buckets by the word (those of a hot word
 by its context too).  A bucket knows the counts of its words and pairs: it
-gives every text its sums over tokens, tells each context what its pairs
-weigh, and passes on tokens whose pair is unseen.  Those meet the contexts'
-weights in buckets by context, where the recursion to the shorter history
-ends.  Blocks between buckets are compressed Arrow tables of whole columns.
+tells every token's text both, tells each context what its pairs weigh, and
+passes on tokens whose pair is unseen.  Those meet the contexts' weights in
+buckets by context, where the recursion to the shorter history ends, and what
+it gives goes back to the texts.  What goes between buckets are compressed
+Arrow tables of whole columns, a few bytes for each token.
 """
 
 from __future__ import annotations
@@ -39,21 +40,22 @@ from bidscope.session import scratch_path
 CUT = 5                       # counts up to it are discounted by Good and Turing
 HALF = 0.5                    # of greater counts
 HOT = 1024                    # a word with one of so many tokens, or more, is hot
-BUCKET_BYTES = 26 << 20       # of text whose tokens meet in a bucket, about
+BUCKET_BYTES = 20 << 20       # of text whose tokens meet in a bucket, about
 SLICE_BYTES = 24 << 20        # of text that a task sends in one go
+ROW_BITS = 32                 # of a row's number in its task
 FOLDS, HELD_OUT = 7, 2
 
 #: Not words: they hold a space.
 START, END = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" start", b" end"))
 BLOCK = "bucket int, kind int, first long, body binary"
-SUMS = ["n_tokens", "n_known", "base", "contexts", "many", *[f"seen{r}" for r in range(1, CUT + 1)]]
+#: Kinds of blocks: tokens to their words, texts, counts to texts, pairs and tokens to contexts, numbers of pairs, and
+#: what unseen pairs add to texts.
+TOKENS, TEXTS, COUNTS, SEEN, UNSEEN, STATS, BACK = range(7)
 
 
 def pack(**columns: np.ndarray) -> bytes:
     sink = pa.BufferOutputStream()
-    arrays = {k: pa.array(v) for k, v in columns.items()}
-    rows = {n: pa.array([a], pa.list_(a.type)) for n, a in arrays.items()}
-    table = pa.table(rows)
+    table = pa.table({k: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v)) for k, v in columns.items()})
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
@@ -121,10 +123,10 @@ def _sequences(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     distinct, place = np.unique(h, return_inverse=True)
     n_texts, n = part.num_rows, len(words.codes)
     starts = words.starts + np.arange(n_texts + 1)
-    text = np.repeat(np.arange(n_texts), np.diff(starts))
+    text = np.repeat(np.arange(n_texts, dtype=np.int32), np.diff(starts))
     last = np.zeros(n + n_texts, bool)
     last[starts[1:] - 1] = True
-    word = np.empty(n + n_texts, np.int64)
+    word = np.empty(n + n_texts, np.int32)
     word[~last] = place[:-2][words.codes]
     word[last] = place[-1]
     context = np.empty_like(word)
@@ -148,7 +150,7 @@ def unigrams(docs: DataFrame, n_buckets: int, path: str) -> Unigrams:
                 by = np.argsort(b, kind="stable")
                 h, n, b = h[by], n[by], b[by]
                 at = runs(b)
-                yield _blocks(b[at], 0, int(learned.sum()), [pack(h=gaps(x), n=narrow(y)) for x, y in zip(np.split(h, at[1:]), np.split(n, at[1:]))] if len(h) else [])
+                yield _blocks(b[at], TOKENS, 0, [pack(h=gaps(x), n=narrow(y)) for x, y in zip(np.split(h, at[1:]), np.split(n, at[1:]))] if len(h) else [])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, got = 0, []
@@ -203,171 +205,181 @@ def _order(bucket: np.ndarray, word: np.ndarray, context: np.ndarray, size: int)
     bits = size.bit_length()
     if 2 * bits + int(bucket.max(initial=0)).bit_length() > 62:
         return np.lexsort((context, word, bucket))
-    return np.argsort(bucket << 2 * bits | word << bits | context)
+    key = bucket.astype(np.int64) << bits
+    key |= word
+    key <<= bits
+    key |= context
+    return np.argsort(key)
 
 
 def _send(n_buckets: int, hot: np.ndarray) -> Callable:
     """Tokens of a slice to their buckets: for each, its word, context and
-    text.  The texts themselves (kind 1) go along to have their rows."""
+    text.  The texts themselves go along to where they are scored: the group
+    of their task, with numbers above those of the buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
+        task = TaskContext.get().partitionId()
+        row = task << ROW_BITS
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 learned = ~part.column("held_out").to_numpy(zero_copy_only=False)
                 distinct, word, context, text = _sequences(part)
                 is_hot = (_find(hot, distinct) >= 0)[word]
-                bucket = _bucket(distinct, n_buckets)[word]
+                bucket = _bucket(distinct, n_buckets).astype(np.int32)[word]
                 bucket[is_hot] = _bucket(distinct[word[is_hot]] ^ mix(distinct[context[is_hot]]), n_buckets)
                 n = np.bincount(text, minlength=part.num_rows)
                 by = _order(bucket, word, context, len(distinct))
                 word, context, text, bucket = word[by], context[by], text[by], bucket[by]
+                del by
                 cuts = np.append(runs(bucket), len(bucket))
                 bodies = []
                 for a, b in zip(cuts[:-1], cuts[1:]):
                     at = runs(word[a:b])
-                    seen, index = np.unique(context[a:b], return_inverse=True)
-                    here = np.zeros(part.num_rows, bool)
-                    here[text[a:b]] = True
-                    texts = np.flatnonzero(here)
+                    seen, index = _numbered(context[a:b], len(distinct))
+                    texts, own = _numbered(text[a:b], part.num_rows)
                     bodies.append(pack(w=gaps(distinct[word[a:b][at]]), run=narrow(np.diff(np.append(at, b - a))), h=gaps(distinct[seen]),
-                                       at=narrow(index), text=narrow((np.cumsum(here) - 1)[text[a:b]]), texts=narrow(texts), learned=learned[texts]))
-                yield _blocks(bucket[cuts[:-1]], 0, row, bodies)
-                table = pa.table({"key": part.column("key"), "held_out": part.column("held_out"), "n": n.astype(np.float64)})
+                                       at=narrow(index), text=narrow(own), texts=narrow(texts), learned=learned[texts]))
+                yield _blocks(bucket[cuts[:-1]], TOKENS, row, bodies)
+                table = pa.table({"key": part.column("key"), "held_out": part.column("held_out"), "n": n})
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, table.schema) as writer:
                     writer.write_table(table)
-                yield _blocks([n_buckets + (row >> 12) % n_buckets], 1, row, [sink.getvalue().to_pybytes()])
+                yield _blocks([n_buckets + task], TEXTS, row, [sink.getvalue().to_pybytes()])
                 row += part.num_rows
     return run
 
 
+def _numbered(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of x, which are below size, and the number of each."""
+    here = np.zeros(size, bool)
+    here[x] = True
+    return np.flatnonzero(here), (np.cumsum(here, dtype=np.int32) - 1)[x]
+
+
 def _ranked(found: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """All hashes of several ascending arrays, and each one's ranks in them."""
     every = np.unique(np.concatenate([np.empty(0, np.uint64), *found]))
     return every, [np.searchsorted(every, x) for x in found]
 
 
-class Bucket:
-    """All tokens of some words in order of word and context, their texts'
-    rows, and the counts that texts which are learned from give."""
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Scalar]]:
+    for batch in batches:
+        yield from zip(batch.column("kind").to_pylist(), batch.column("first").to_pylist(), batch.column("body"))
+
+
+def _count(model: Unigrams, n_buckets: int) -> Callable:
+    """In the bucket of some words: count their pairs in texts that are
+    learned from, and tell everyone what they ask for.  A hot context asks in
+    every bucket by context, and its tokens go to that of their text."""
+    everywhere = lambda h: (_find(model.hot, h) >= 0) | (h == START)
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], model: Unigrams):
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if key[0].as_py() >= n_buckets:                       # texts, on their way
+            for kind, first, body in _read(batches):
+                yield _blocks([key[0].as_py()], kind, first, [body.as_py()])
+            return
         got, rows, base = [], [np.empty(0, np.int64)], 0
-        for batch in batches:
-            for kind, first, body in zip(batch.column("kind").to_pylist(), batch.column("first").to_pylist(), batch.column("body")):
-                if kind == 0:
-                    x = unpack(body)
-                    rows.append(first + x["texts"].astype(np.int64))
-                    x["learned"] = x["learned"][x["text"]]
-                    x["text"] = x["text"] + np.int64(base)
-                    base += len(x["texts"])
-                    got.append(x)
+        for _, first, body in _read(batches):
+            x = unpack(body)
+            rows.append(first + x["texts"].astype(np.int64))
+            x["learned"] = x["learned"][x["text"]]
+            x["text"] = x["text"] + np.int32(base)
+            base += len(x["texts"])
+            got.append(x)
         words, w_ranks = _ranked([np.cumsum(x["w"], dtype=np.uint64) for x in got])
         contexts, h_ranks = _ranked([np.cumsum(x["h"], dtype=np.uint64) for x in got])
-        none = [np.empty(0, np.int64)]
-        key = np.concatenate(none + [np.repeat(w, x["run"]) << 32 | h[x["at"]] for x, w, h in zip(got, w_ranks, h_ranks)])
-        row = np.concatenate(none + [x["text"] for x in got])
-        learned = np.concatenate(none + [x["learned"].astype(np.int64) for x in got])
-        by = np.argsort(key)
-        key, learned = key[by], learned[by]
-        self.rows, self.row = np.concatenate(rows), row[by]
-        self.word, self.context = words[key >> 32], contexts[key & (1 << 32) - 1]
-        word_at, self.pair_at = runs(key >> 32), runs(key)
-        total = lambda at: np.add.reduceat(learned, at) if len(at) else np.empty(0, np.int64)
-        each = lambda x, at: np.repeat(x, np.diff(np.append(at, len(key))))
-        self.pair_counts, counts = total(self.pair_at), total(word_at)
+        pairs = np.concatenate([np.repeat(w, x["run"]) << 32 | h[x["at"]] for x, w, h in zip(got, w_ranks, h_ranks)])
+        text = np.concatenate([x["text"] for x in got])
+        learned = np.concatenate([x["learned"] for x in got])
+        del got
+        rows = np.concatenate(rows)
+        by = np.argsort(pairs)
+        pairs, text, learned = pairs[by], text[by], learned[by]
+        del by
+        at, word_at = runs(pairs), runs(pairs >> 32)
+        size = np.diff(np.append(at, len(pairs)))
+        pair_count = np.add.reduceat(learned, at, dtype=np.int64)
+        count = np.add.reduceat(learned, word_at, dtype=np.int64)
         if len(model.hot):
-            hot = _find(model.hot, self.word[word_at])
-            counts = np.where(hot >= 0, model.hot_counts[hot], counts)
-        self.count, self.pair = each(counts, word_at), each(self.pair_counts, self.pair_at)
-
-
-def _text_sums(model: Unigrams, key_type: pa.DataType) -> Callable:
-    """Of each text, sums over its tokens in this bucket."""
-    names = ["row", "key", "held_out", *SUMS]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = list(batches)
-        for batch in batches:
-            for kind, first, body in zip(batch.column("kind").to_pylist(), batch.column("first").to_pylist(), batch.column("body")):
-                if kind == 1:
-                    table = pa.ipc.open_stream(body.as_buffer()).read_all().combine_chunks()
-                    none = pa.array(np.zeros(table.num_rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(first + np.arange(table.num_rows)), table.column("key").combine_chunks().cast(key_type),
-                                                      *[table.column(c).combine_chunks() for c in ("held_out", "n")], *[none] * (len(SUMS) - 1)], names)
-        b = Bucket(batches, model)
-        n = len(b.rows)
-        if not n:
-            return
-        add = lambda x: np.bincount(b.row, x, n)
-        log = lambda x: np.log10(np.maximum(x, 0.1))
-        sums = [np.zeros(n), add(b.count > 0), add(np.log10(b.count + 1.0)), add(np.where((b.count > 0) & (b.word != END), log(b.count), 0)),
-                add(np.where(b.pair > CUT, log(b.pair - HALF), 0)), *[add(b.pair == r) for r in range(1, CUT + 1)]]
-        yield pa.RecordBatch.from_arrays([pa.array(b.rows), pa.nulls(n, key_type), pa.nulls(n, pa.bool_()), *[pa.array(x.astype(np.float64)) for x in sums]], names)
-    return run
-
-
-def _pair_stats(model: Unigrams) -> Callable:
-    """How many pairs have a count of 0 to CUT + 1."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.bincount(np.minimum(Bucket(batches, model).pair_counts, CUT + 2), minlength=CUT + 3)[:CUT + 2]
-        yield pa.RecordBatch.from_arrays([pa.array([n.tolist()], pa.list_(pa.int64()))], ["by_count"])
-    return run
-
-
-def _discounts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([good_turing(np.array(x)).tolist() for x in batch.column("by_count").to_pylist()], pa.list_(pa.float64()))], ["discounted"])
-
-
-def _to_contexts(model: Unigrams, n_buckets: int) -> Callable:
-    """To each context (kind 0) what its seen pairs in this bucket weigh, and
-    the tokens after it whose pair is unseen (kind 1).  What a hot context
-    weighs goes to every bucket, and its tokens to that of their text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        b = Bucket(batches, model)
-        everywhere = lambda h: (_find(model.hot, h) >= 0) | (h == START)
-        seen = np.flatnonzero(b.pair_counts > 0)
-        h, c = b.context[b.pair_at[seen]], b.pair_counts[seen]
-        share = model.probability(b.count[b.pair_at[seen]])
+            hot = _find(model.hot, words[pairs[word_at] >> 32])
+            count = np.where(hot >= 0, model.hot_counts[hot], count)
+        del learned
+        count = np.repeat(count, np.diff(np.append(np.searchsorted(at, word_at), len(at))))      # of each pair's word
+        context = contexts[pairs[at] & (1 << 32) - 1]
+        del pairs
+
+        yield _blocks([-1], STATS, 0, [pack(n=np.bincount(np.minimum(pair_count, CUT + 2), minlength=CUT + 3)[:CUT + 2])])
+        yield from _to_contexts(context, pair_count, count)
+        unseen = np.flatnonzero(np.repeat(pair_count == 0, size))
+        pair = np.searchsorted(at, unseen, "right") - 1
+        yield from _unseen(context[pair], rows[text[unseen]], count[pair])
+
+        by = np.argsort(text, kind="stable")                  # texts of one task lie together
+        pair = np.repeat(np.arange(len(at), dtype=np.int32), size)[by]
+        text = text[by]
+        task = rows >> ROW_BITS
+        cuts = np.append(runs(task), len(task))
+        ends = np.searchsorted(text, cuts)
+        for t, u, a, b in zip(cuts[:-1], cuts[1:], ends[:-1], ends[1:]):
+            first, own = int(rows[t]), rows[t:u]
+            step = np.diff(own[text[a:b] - t], prepend=first)
+            yield _blocks([n_buckets + int(task[t])], COUNTS, first, [pack(step=step if step.min() < 0 else narrow(step), n=narrow(count[pair[a:b]]), pair=narrow(pair_count[pair[a:b]]))])
+
+    def _to_contexts(h: np.ndarray, c: np.ndarray, word_count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        seen = c > 0
+        h, c, share = h[seen], c[seen], model.probability(word_count[seen])
         by = np.argsort(h)
         h, c, share = h[by], c[by], share[by]
         at = runs(h)
         add = lambda x: np.add.reduceat(x, at) if len(at) else x
-        pairs = [add((c == r).astype(np.int64)) for r in range(1, CUT + 1)] + [add((c > CUT).astype(np.int64)), add(np.where(c > CUT, c, 0))]
+        pairs = [add((c == r).astype(np.int64)) for r in range(1, CUT + 1)] + [add((c > CUT).astype(np.int64))]
         h, share = h[at], add(share)
-        own, common = _bucket(h, n_buckets), everywhere(h)
+        common = everywhere(h)
+        own = np.where(common, -1, _bucket(h, n_buckets))
         by = np.argsort(own, kind="stable")
-        cuts = np.searchsorted(own[by], np.arange(n_buckets + 1))
+        cuts = np.searchsorted(own[by], np.arange(-1, n_buckets + 1))
         for q in range(n_buckets):
-            x = by[cuts[q]:cuts[q + 1]]
-            x = np.sort(np.concatenate([x[~common[x]], np.flatnonzero(common)]))
+            x = np.sort(np.concatenate([by[:cuts[1]], by[cuts[q + 1]:cuts[q + 2]]]))
             if len(x):
-                yield _blocks([q], 0, 0, [pack(h=gaps(h[x]), share=share[x], **{f"p{i}": narrow(p[x]) if i <= CUT else p[x] for i, p in enumerate(pairs)})])
-        unseen = np.flatnonzero(b.pair == 0)
-        h, row, count = b.context[unseen], b.rows[b.row[unseen]], b.count[unseen]
+                yield _blocks([q], SEEN, 0, [pack(h=gaps(h[x]), share=share[x], **{f"p{i}": narrow(p[x]) for i, p in enumerate(pairs)})])
+
+    def _unseen(h: np.ndarray, row: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
         own = np.where(everywhere(h), _bucket(row.astype(np.uint64), n_buckets), _bucket(h, n_buckets))
         by = np.lexsort((h, own))
         h, row, count, own = h[by], row[by], count[by], own[by]
         cuts = np.append(runs(own), len(own))
         for a, z in zip(cuts[:-1], cuts[1:]):
-            yield _blocks([own[a]], 1, 0, [pack(h=gaps(h[a:z]), row=row[a:z], n=count[a:z])])
+            yield _blocks([own[a]], UNSEEN, 0, [pack(h=gaps(h[a:z]), row=row[a:z], n=narrow(count[a:z]))])
+
     return run
 
 
-def _back_off(model: Unigrams) -> Callable:
+def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The numbers of pairs by count that the buckets have told."""
+    for kind, _, body in _read(batches):
+        if kind == STATS:
+            yield pa.RecordBatch.from_arrays([pa.array([unpack(body)["n"].tolist()], pa.list_(pa.int64()))], ["n"])
+
+
+def _discounts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([good_turing(np.array(n)).tolist() for n in batch.column("n").to_pylist()], pa.list_(pa.float64()))], ["discounted"])
+
+
+def _back_off(model: Unigrams, n_buckets: int) -> Callable:
     """Of each text, what its unseen pairs here add to its score: the weight
-    of the context (and its count, which the text's sums took off) and the
+    of the context (and its count, which the text's sums take off) and the
     probability of the word alone.  After an unknown context that is all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = {"h": np.empty(0, np.uint64), "share": np.empty(0), **{f"p{i}": np.empty(0) for i in range(CUT + 2)}}
+        none = {"h": np.empty(0, np.uint64), "share": np.empty(0), **{f"p{i}": np.empty(0) for i in range(CUT + 1)}}
         contexts, tokens, discounted = [none], [], None
         for batch in batches:
             discounted = np.array(batch.column("discounted")[0].as_py())
-            for kind, body in zip(batch.column("kind").to_pylist(), batch.column("body")):
+            for kind, _, body in _read([batch]):
+                if kind not in (SEEN, UNSEEN):
+                    continue
                 x = unpack(body)
                 x["h"] = np.cumsum(x["h"], dtype=np.uint64)
-                (tokens if kind else contexts).append(x)
+                (tokens if kind == UNSEEN else contexts).append(x)
         if not tokens:
             return
         h = np.concatenate([x["h"] for x in contexts])
@@ -375,13 +387,54 @@ def _back_off(model: Unigrams) -> Callable:
         h = h[by]
         at = runs(h)
         total = lambda name: np.add.reduceat(np.concatenate([x[name].astype(np.float64) for x in contexts])[by], at) if len(at) else np.empty(0)
-        pairs, share = [total(f"p{i}") for i in range(CUT + 2)], total("share")
+        pairs = [total(f"p{i}") for i in range(CUT + 1)]
         taken = sum(p * (r + 1 - discounted[r + 1]) for r, p in enumerate(pairs[:CUT])) + pairs[CUT] * HALF
-        weight = np.append(np.log10(taken / (1 - share)), 0)          # times the context's count; the last is for unknown ones
+        weight = np.append(np.log10(taken / (1 - total("share"))), 0)     # times the context's count; the last is for unknown ones
         of, row, n = (np.concatenate([x[name] for x in tokens]) for name in ("h", "row", "n"))
-        back = np.log10(model.probability(n)) + weight[_find(h[at], of)]
+        back = np.log10(model.probability(n.astype(np.int64))) + weight[_find(h[at], of)]
         rows, index = np.unique(row, return_inverse=True)
-        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.bincount(index, back, len(rows)))], ["row", "back"])
+        back = np.bincount(index, back, len(rows))
+        task = rows >> ROW_BITS
+        cuts = np.append(runs(task), len(task))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield _blocks([n_buckets + int(task[a])], BACK, 0, [pack(row=rows[a:b], back=back[a:b])])
+    return run
+
+
+def _score(model: Unigrams, key_type: pa.DataType) -> Callable:
+    """Add up the tokens of one task's texts, as the buckets have told them."""
+    names = ["key", "held_out", "n_tokens", "n_known", "base_score", "score"]
+    fields = list(zip(names, [key_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        texts, sums = [], None
+        blocks = [x for t in (left, right) for x in _read(t.to_batches())]
+        if not any(kind == TEXTS for kind, _, _ in blocks):
+            return pa.schema(fields).empty_table()
+        discounted = np.array(left.column("discounted")[0].as_py())
+        for kind, first, body in blocks:
+            if kind == TEXTS:
+                texts.append((first, pa.ipc.open_stream(body.as_buffer()).read_all()))
+        texts.sort(key=lambda x: x[0])
+        start, size = texts[0][0], sum(t.num_rows for _, t in texts)
+        known, base, score = np.zeros(size), np.zeros(size), np.zeros(size)
+        seen_log = np.append(0.0, np.log10(discounted[1:]))
+        for kind, first, body in blocks:
+            if kind == COUNTS:
+                x = unpack(body)
+                row = np.cumsum(x["step"], dtype=np.int64) + (first - start)
+                n, pair = x["n"].astype(np.int64), x["pair"].astype(np.int64)
+                known += np.bincount(row, n > 0, size)
+                base += np.bincount(row, np.log10(n + 1.0), size)
+                score += np.bincount(row, np.where(pair > CUT, np.log10(np.maximum(pair, 1) - HALF), seen_log[np.minimum(pair, CUT)]) - np.log10(np.maximum(n, 1)), size)
+            elif kind == BACK:
+                x = unpack(body)
+                score += np.bincount(x["row"] - start, x["back"], size)
+        every = pa.concat_tables([t for _, t in texts])
+        n = every.column("n").to_numpy()
+        # Each text has one end, whose count is that of the texts learned from, as is the count of the start, its first context.
+        return pa.Table.from_arrays([every.column("key").cast(key_type), every.column("held_out"), pa.array(n), pa.array(known.astype(np.int64)),
+                                     pa.array(base - n * math.log10(model.tokens + model.types + 1)), pa.array(score)], names)
     return run
 
 
@@ -404,25 +457,13 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     model = unigrams(rows, n, scratch_path(docs.sparkSession, f"unigrams/{uuid.uuid4().hex[:12]}"))
     kind = rows.schema["key"].dataType
 
-    sent = rows.mapInArrow(_send(n, model.hot), BLOCK).groupBy("bucket")
-    sums = sent.applyInArrow(_text_sums(model, to_arrow_type(kind)),
-                             f"row long, key {kind.simpleString()}, held_out boolean, " + ", ".join(f"{s} double" for s in SUMS))
-    n_by = [F.coalesce(F.sum(F.col("by_count")[r]), F.lit(0)) for r in range(CUT + 2)]
-    discounts = sent.applyInArrow(_pair_stats(model), "by_count array<long>").agg(F.array(*n_by).alias("by_count")).mapInArrow(
-        _discounts, "discounted array<double>")                  # one row
-    blocks = sent.applyInArrow(_to_contexts(model, n), BLOCK)
-    backs = (blocks.crossJoin(F.broadcast(discounts)).groupBy("bucket").applyInArrow(_back_off(model), "row long, back double")
-             .groupBy("row").agg(F.sum("back").alias("back")))
-
-    texts = sums.groupBy("row").agg(F.first("key", ignorenulls=True).alias("key"), F.first("held_out", ignorenulls=True).alias("held_out"),
-                                    *[F.sum(s).alias(s) for s in SUMS])
-    whole = texts.join(backs, "row", "left").crossJoin(F.broadcast(discounts))
-    seen = F.lit(0.0)
-    for r in range(1, CUT + 1):
-        seen += F.col(f"seen{r}") * F.log10(F.col("discounted")[r])
-    start = math.log10(model.documents) if model.documents else 0.0
-    return whole.select(
-        F.col("key").alias(key), "held_out", F.col("n_tokens").cast("long").alias("n_tokens"), F.col("n_known").cast("long").alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") - F.col("n_tokens") * math.log10(model.tokens + model.types + 1)).alias("base_score"),
-        (seen + F.col("many") - F.col("contexts") - start + F.coalesce("back", F.lit(0.0))).alias("score"))
+    # Read three times after one shuffle: what a reader does not ask for it skips itself, as a filter would move below the
+    # shuffle and make it another one.
+    counted = rows.mapInArrow(_send(n, model.hot), BLOCK).groupBy("bucket").applyInArrow(_count(model, n), BLOCK).repartition("bucket")
+    discounts = F.broadcast(counted.mapInArrow(_stats, "n array<long>").agg(F.array(*[F.coalesce(F.sum(F.col("n")[r]), F.lit(0)) for r in range(CUT + 2)]).alias("n"))
+                            .mapInArrow(_discounts, "discounted array<double>"))      # one row
+    told = counted.crossJoin(discounts)
+    backs = told.groupBy("bucket").applyInArrow(_back_off(model, n), BLOCK)
+    scored = told.groupBy("bucket").cogroup(backs.groupBy("bucket")).applyInArrow(
+        _score(model, to_arrow_type(kind)), f"key {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select(F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
