@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from bidscope.functions.columns import dbl, parse_date, pct, prevalence_status
 from bidscope.sources.tables import COMPETITIVE_PROCEDURES, NON_COMPETITIVE_PROCEDURES
+from bidscope.session import stage
 
 # Rule names in the reference's order.
 RULES = [
@@ -100,8 +101,9 @@ def category_stats(df: DataFrame, p: RuleParams) -> DataFrame:
 
 def with_price_flags(df: DataFrame, p: RuleParams) -> DataFrame:
     """Adds ``price_inflation`` and ``price_deflation`` booleans.  The stats
-    table has one row per category; AQE broadcasts it after measuring it."""
-    st = category_stats(df, p)
+    table has one row per category and is written first: the planner then
+    knows its size and need not shuffle the rows by a hot category."""
+    st = stage(category_stats(df, p), "category-stats")
     a = F.col(p.amount)
     infl_thr = F.col("_cat_mean") + dbl(p.inflation_k) * F.col("_cat_std")
     defl_thr = F.greatest(F.col("_cat_mean") - dbl(p.deflation_k) * F.col("_cat_std"), dbl(0))
