@@ -45,7 +45,7 @@ EACH = 20                      # one shared first shingle is asked for by so man
 SLOTS = 1 << 16                # of the table of shingle counts
 SHIFT = np.uint64(48)          # of a hash to its slot
 SMALL = 500_000                # rows of at most some hundred bytes that are broadcast; more are shuffled
-HOME = 400_000                 # shingles in a home, about
+HOME = 600_000                 # shingles in a home, about
 SKIP = 0.0085                  # weight of a probe against a merge step
 HEAP, FEW = 1000, 8            # entries that a heap merges, leaders that are probed one by one
 
@@ -277,7 +277,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", like: i
     n_homes = 1 + (homes.agg(F.sum("n")).first()[0] or 0) // HOME
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("weight") / HOME))
     homes = stage(homes.join(weight, "token").select("node", F.pmod(F.xxhash64("token", salt), F.lit(n_homes)).alias("home")), "homes")
-    at = met.join(homes, "node")
+    at = met.join(known_small(homes), "node").repartition("token")        # read by both sides of the join below
     there = at.groupBy("token", "home").agg(F.min("n").alias("least"), F.max("n").alias("most")).withColumnRenamed("home", "other")
     visits = (at.join(there, "token").where((F.col("other") < F.col("home")) & (100 * F.col("n") >= like * F.col("least")) & (like * F.col("n") <= 100 * F.col("most")))
               .groupBy("node", "other").agg(F.first("n").alias("n"), F.count("*").alias("shared")).where(F.col("shared") >= _asked(F.col("n"), like))
