@@ -37,8 +37,6 @@ HEADLINE = [
     "chunk_documents",
     "vector_topk",
     "knn_topk",
-    "rf_amount_class",
-    "gmm_cluster",
 ]
 
 
