@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.llm.columns import require
-from bidscope.llm.words import ALNUM, LOWER, chain, hashes, owners, split_words
+from bidscope.llm.words import ALNUM, LOWER, chain, hashes, owners, slices, split_words
 
 CHAIN = 2                    # content words in a spot
 BUCKET_BYTES = 24 << 20      # of text in a bucket of neighbouring documents, about
@@ -193,3 +193,75 @@ def _compare(rows: pa.Table) -> pa.RecordBatch:
         pa.array([likeness(sets[i], s) for i, s in zip(own, changed_sets)], pa.float64()),
         pa.array([likeness(sets[i], sets[i + 1]) for i in own], pa.float64()),
     ], ["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+
+
+class Lengths:
+    """Sets in classes of length, each with inverted lists of first spots.
+
+    Sets with a likeness of ``least`` share one of the first n - least * n + 1
+    spots of each, in the order of the spots' hashes, and lie in one class or
+    in two neighbouring ones."""
+
+    def __init__(self, sets: list[np.ndarray], least: float):
+        self.sets, self.least = sets, least
+        self.classes: dict[int, dict[int, list[int]]] = {}
+        for i, s in enumerate(sets):
+            lists = self.classes.setdefault(length_class(len(s), least), {})
+            for spot in self._first(s):
+                lists.setdefault(spot, []).append(i)
+
+    def _first(self, s: np.ndarray) -> list[int]:
+        return s[:len(s) - math.ceil(self.least * len(s) - 1e-9) + 1].tolist()
+
+    def near(self, s: np.ndarray) -> list[tuple[int, float]]:
+        """Sets with a likeness of ``least`` or more, and the likeness."""
+        own, out = length_class(len(s), self.least), []
+        first = self._first(s)
+        for c in (own - 1, own, own + 1):
+            lists = self.classes.get(c)
+            if lists:
+                met = {i for spot in first for i in lists.get(spot, ())}
+                out += [(i, like) for i in sorted(met) if (like := likeness(s, self.sets[i], self.least)) > 0]
+        return out
+
+
+def search(docs: DataFrame, queries: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text",
+           block_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(key, query, likeness) of all texts of ``docs`` whose fingerprints are
+    like those of the stated ``queries`` by ``least`` (over 0) or more.
+
+    Queries come in blocks of bounded size, each sent to the tasks, which read
+    all of ``docs``.  Texts without spots are like nothing.  Repeated rows
+    count each."""
+    require(docs, key, text)
+    require(queries, key, text)
+    spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
+    schema, found = f"`{key}` {kind}, query {kind}, likeness double", None
+    for block in _query_blocks(queries.select(key, text), block_bytes):
+        names = pa.array([k for k, _ in block])
+        index = spark.sparkContext.broadcast((names, Lengths(spots(pa.array([t or "" for _, t in block], pa.large_string())), least)))
+
+        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            names, lengths = index.value
+            for batch in batches:
+                for part in slices(batch, text):
+                    hits = [(row, i, like) for row, s in enumerate(spots(part.column(text))) if len(s) for i, like in lengths.near(s)]
+                    rows, which, likes = zip(*hits) if hits else ((), (), ())
+                    yield pa.RecordBatch.from_arrays([part.column(key).take(pa.array(rows, pa.int64())), names.take(pa.array(which, pa.int64())).cast(part.column(key).type),
+                                                      pa.array(likes, pa.float64())], [key, "query", "likeness"])
+
+        hits = docs.select(key, text).mapInArrow(run, schema)
+        found = hits if found is None else found.union(hits)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def _query_blocks(queries: DataFrame, most: int) -> Iterator[list[tuple]]:
+    block, size = [], 0
+    for row in queries.toLocalIterator():
+        if block and size + len(row[1] or "") > most:
+            yield block
+            block, size = [], 0
+        block.append((row[0], row[1]))
+        size += len(row[1] or "")
+    if block:
+        yield block

@@ -72,3 +72,24 @@ def test_likeness_and_classes():
                 assert abs(S.length_class(len(a), least) - S.length_class(len(b), least)) <= 1
         assert (S.read_fingerprint(S.fingerprint(a)) == a).all()
     assert S.spots(pa.array([], pa.string())) == []
+
+
+@pytest.mark.parametrize("block", [1, 1 << 20])
+def test_search_against_all_pairs(spark, block):
+    import random
+    rng = random.Random(3)
+    words = ["the", "of", "and"] + [f"w{i}" for i in range(40)]
+    base = [[rng.choice(words) for _ in range(rng.randrange(5, 150))] for _ in range(12)]
+    texts = [" ".join(b) for b in base]
+    texts += [" ".join(rng.choice(words) if rng.random() < 0.02 else w for w in b) for b in base for _ in range(6)] + [texts[0], "", None, "---"]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = S.search(df, df.where("doc_id % 5 = 0"), 0.6, block_bytes=block).collect()
+    want = {}
+    for a, t in rows:
+        for b, u in rows:
+            if b % 5 == 0 and plain(t or "") and plain(u or "") and jaccard(plain(t or ""), plain(u or "")) >= 0.6 - 1e-12:
+                want[a, b] = jaccard(plain(t or ""), plain(u or ""))
+    assert {(r.doc_id, r.query) for r in got} == set(want) and len(got) == len(want) > 40
+    assert all(r.likeness == pytest.approx(want[r.doc_id, r.query]) for r in got)
+    assert S.search(df, df.limit(0)).count() == 0 and S.search(df.limit(0), df).count() == 0
