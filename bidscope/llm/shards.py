@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.llm.columns import require
+from bidscope.session import stage
 
 BUCKET_BYTES = 24 << 20       # of records in a bucket, about
 RECORD = 8                    # bytes of a record besides its text
@@ -63,9 +64,9 @@ def shuffle_into(docs: DataFrame, path: str, shards: int, seed: int = 0, text: s
      .write.mode("overwrite").parquet(path))
 
     written = docs.sparkSession.read.schema(schema).parquet(path)
-    # One row for each bucket.
-    before = written.groupBy("bucket").agg(F.count("*").alias("n")).select(
-        "bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
+    # One row for each bucket, written so that the join knows its size and moves no record where it is small.
+    before = stage(written.groupBy("bucket").agg(F.count("*").alias("n")).select(
+        "bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before")), "before")
     at = F.col("before") + F.col("place")
     shard = F.expr(f"(before + place) * {shards}L div {max(rows, 1)}L")
     first = F.expr(f"(shard * {max(rows, 1)}L + {shards - 1}L) div {shards}L")
