@@ -26,6 +26,13 @@ DETECTION_STATUS = [(2.0, "Excellent"), (1.5, "Good"), (0.8, "Weak")]
 DETECTION_DEFAULT = "Poor"
 # CPV divisions refined to level 3 by ``cpv_2_3``.
 CPV_2_3_DIVISIONS = ["45000000", "71000000"]
+# Names that reports show for features: whole names, and the start of a one-hot name by column.
+READABLE = {
+    "offres_recues_pipeline__offresRecues": "Nombre offres reçues", "other_num_pipeline__montant": "Montant (€)",
+    "other_num_pipeline__dureeMois": "Durée (mois)", "binary_pipeline__sousTraitanceDeclaree": "Sous-traitance déclarée",
+    "binary_pipeline__origineFrance": "Origine France", "binary_pipeline__marcheInnovant": "Marché innovant",
+    "binary_pipeline__idAccordCadre": "Accord cadre"}
+READABLE_LEVELS = {"procedure": "Procédure", "nature": "Nature", "formePrix": "Forme prix", "ccag": "CCAG", "codeCPV_2_3": "CPV"}
 # ---------------------------------------------------------------------------
 
 _U_SCALE = 268435456.0  # 16**7: seven hex digits of an md5 → [0, 1)
@@ -172,3 +179,14 @@ def log1p_clip_inverse(c, lo: float = 0.0, hi: float = 20.0) -> Column:
 def pct(num, den) -> Column:
     """100·num/den as double; 0 when the denominator is 0 or null."""
     return F.coalesce(F.try_divide(col_or(num).cast("double") * dbl(100), col_or(den).cast("double")), dbl(0))
+
+
+def readable_feature(name: Column) -> Column:
+    """The name that a report shows for a feature; others keep their own."""
+    out = name
+    for column, shown in READABLE_LEVELS.items():
+        start = f"cat_pipeline__{column}_"
+        out = F.when(name.startswith(start), F.concat(F.lit(f"{shown}: "), F.substring(name, len(start) + 1, 1_000_000))).otherwise(out)
+    for whole, shown in READABLE.items():
+        out = F.when(name == whole, F.lit(shown)).otherwise(out)
+    return out

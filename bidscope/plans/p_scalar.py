@@ -55,17 +55,20 @@ def str_functions(spark, sf):
 @plan("feature_label", with_contracts("""
 SELECT DISTINCT name, regexp_extract(name, '^([a-z_]+)__([A-Za-z]+)_(.*)$', 1) AS step,
        regexp_extract(name, '^([a-z_]+)__([A-Za-z]+)_(.*)$', 2) AS feature,
-       regexp_extract(name, '^([a-z_]+)__([A-Za-z]+)_(.*)$', 3) AS level
-FROM (SELECT 'cat_pipeline__formePrix_' || formePrix AS name FROM contracts
-      UNION ALL SELECT 'cat_pipeline__ccag_' || ccag FROM contracts) t"""), "2.8")
+       regexp_extract(name, '^([a-z_]+)__([A-Za-z]+)_(.*)$', 3) AS level, readable
+FROM (SELECT 'cat_pipeline__formePrix_' || formePrix AS name, 'Forme prix: ' || formePrix AS readable FROM contracts
+      UNION ALL SELECT 'cat_pipeline__ccag_' || ccag, 'CCAG: ' || ccag FROM contracts
+      UNION ALL SELECT 'cat_pipeline__nature_' || nature, 'Nature: ' || nature FROM contracts
+      UNION ALL SELECT 'cat_pipeline__typeGroupementOperateurs_' || typeGroupementOperateurs,
+                       'cat_pipeline__typeGroupementOperateurs_' || typeGroupementOperateurs FROM contracts) t"""), "2.8")
 def feature_label(spark, sf):
     c = contracts(spark, sf)
-    names = c.select(F.concat(F.lit("cat_pipeline__formePrix_"), "formePrix").alias("name")) \
-             .union(c.select(F.concat(F.lit("cat_pipeline__ccag_"), "ccag").alias("name"))).distinct()
+    columns = ["formePrix", "ccag", "nature", "typeGroupementOperateurs"]
+    names = c.select(F.explode(F.array(*[F.concat(F.lit(f"cat_pipeline__{x}_"), x) for x in columns])).alias("name")).filter("name IS NOT NULL").distinct()
     pat = r"^([a-z_]+)__([A-Za-z]+)_(.*)$"
     return names.select("name", F.regexp_extract("name", pat, 1).alias("step"),
                         F.regexp_extract("name", pat, 2).alias("feature"),
-                        F.regexp_extract("name", pat, 3).alias("level"))
+                        F.regexp_extract("name", pat, 3).alias("level"), FN.readable_feature(F.col("name")).alias("readable"))
 
 
 @plan("cast_string", with_contracts("""
@@ -127,6 +130,18 @@ def bin_log_equal(spark, sf):
     return j.select("uid", F.greatest(b - 1, F.lit(0)).cast("int").alias("amount_class"), b.alias("bin9"))
 
 
+@plan("bin_log_100", with_contracts("""
+SELECT uid, CAST(least(greatest(CAST(ceil((y - lo) / ((hi - lo) / CAST(100 AS DOUBLE))) AS BIGINT) - 1, 0), 99) AS INTEGER) AS bin100
+FROM (SELECT uid, ln(1 + montant) AS y FROM contracts WHERE montant <= 999999) a,
+     (SELECT min(ln(1 + montant)) AS lo, max(ln(1 + montant)) AS hi FROM contracts WHERE montant <= 999999) b"""), "2.8")
+def bin_log_100(spark, sf):
+    """log1p amounts up to 999,999 in 100 bins of equal width."""
+    c = contracts(spark, sf).filter("montant <= 999999").select("uid", F.log1p("montant").alias("y"))
+    mm = c.agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
+    j = c.crossJoin(F.broadcast(mm))  # one row
+    return j.select("uid", FN.bin_equal_width("y", F.col("lo"), F.col("hi"), 100).cast("int").alias("bin100"))
+
+
 @plan("bin_quantile", with_contracts("""
 SELECT c.uid, CAST((c.montant > q.q1)::INT + (c.montant > q.q2)::INT + (c.montant > q.q3)::INT
      + (c.montant > q.q4)::INT + (c.montant > q.q5)::INT + (c.montant > q.q6)::INT + (c.montant > q.q7)::INT

@@ -65,3 +65,10 @@ def test_parse_date_guards_years(spark):
     df = spark.createDataFrame([("2021-03-04",), ("0204-04-24",), ("garbage",)], "d string")
     got = [r[0] for r in df.select(FN.parse_date("d")).collect()]
     assert str(got[0]) == "2021-03-04" and got[1] is None and got[2] is None
+
+
+def test_readable_names(spark):
+    from bidscope.functions.columns import readable_feature
+    rows = {"other_num_pipeline__montant": "Montant (€)", "cat_pipeline__codeCPV_2_3_45": "CPV: 45", "cat_pipeline__nature_a_b": "Nature: a_b", "else": "else"}
+    df = spark.createDataFrame([(k,) for k in rows], "n string")
+    assert {r.n: r.s for r in df.select("n", readable_feature(F.col("n")).alias("s")).collect()} == rows
