@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidscope.llm.words import slices
@@ -17,12 +18,21 @@ def require(df: DataFrame, *names: str) -> None:
         raise ValueError(f"no column {', '.join(missing)} in {', '.join(df.columns)}")
 
 
+#: Rows of some hundred bytes that are broadcast; more are shuffled.
+SMALL = 500_000
+
+
+def known_small(df: DataFrame, rows: int = SMALL) -> DataFrame:
+    """For a join: broadcast a written table if its count says it is small."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def with_columns(df: DataFrame, text: str, added: str, make: Callable[[pa.RecordBatch], list],
-                 keep: list[str] | None = None) -> DataFrame:
+                 keep: list[str] | None = None, done: Callable[[], None] = lambda: None) -> DataFrame:
     """``df`` (or its columns ``keep``) with the columns ``added`` (a DDL
     schema), which ``make`` returns for a slice of a few megabytes of
     ``text``.  A column of ``df`` that has the name of an added one is
-    replaced.  One pass, no shuffle."""
+    replaced.  ``done`` is called when a task ends.  One pass, no shuffle."""
     new = T.StructType.fromDDL(added)
     names = [f.name for f in new]
     stay = [c for c in (df.columns if keep is None else keep) if c not in names]
@@ -33,6 +43,7 @@ def with_columns(df: DataFrame, text: str, added: str, make: Callable[[pa.Record
             for part in slices(batch, text):
                 columns = [part.column(c) for c in stay] + [x if isinstance(x, pa.Array) else pa.array(x) for x in make(part)]
                 yield pa.RecordBatch.from_arrays(columns, stay + names)
+        done()
 
     need = list(dict.fromkeys([*stay, text]))
     return df.select(*need).mapInArrow(run, schema)

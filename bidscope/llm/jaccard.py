@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.llm import sums
-from bidscope.llm.columns import require, with_columns
+from bidscope.llm.columns import known_small, require, with_columns
 from bidscope.llm.words import shingle_runs, shingles, slices, split_words
 from bidscope.session import stage
 
@@ -44,7 +44,6 @@ LIKE = 80                      # hundredths of the union that two sets share
 EACH = 20                      # one shared first shingle is asked for by so many of a set
 SLOTS = 1 << 16                # of the table of shingle counts
 SHIFT = np.uint64(48)          # of a hash to its slot
-SMALL = 500_000                # rows of at most some hundred bytes that are broadcast; more are shuffled
 HOME = 600_000                 # shingles in a home, about
 SKIP = 0.0085                  # weight of a probe against a merge step
 HEAP, FEW = 1000, 8            # entries that a heap merges, leaders that are probed one by one
@@ -89,11 +88,6 @@ def _asked(n: Column, like: int) -> Column:
     return F.ceil(F.ceil(n * like / 100) / EACH)
 
 
-def known_small(df: DataFrame) -> DataFrame:
-    """For a join: broadcast a written table if it is known to be small."""
-    return F.broadcast(df) if df.count() <= SMALL else df
-
-
 def _digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 

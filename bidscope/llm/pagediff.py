@@ -19,11 +19,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidscope.llm.columns import require, with_columns
+from bidscope.llm.columns import known_small, require, with_columns
 from bidscope.llm.markup import ASIDE, MAIN, OPEN, lines
 from bidscope.session import stage
 
 
+SMALL_URLS = 100_000          # whose lines' hashes, some hundred bytes each, are broadcast
+
+
 def line_hashes(found: list[tuple[str, int]]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(line) - (1 << 63) for line, _ in found]
 
@@ -87,9 +90,9 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
     urls = found.groupBy("host", "path").agg(F.min(F.struct("key", "lines"))["lines"].alias("lines"))
     ordered = stage(urls.repartitionByRange("host", "path").sortWithinPartitions("host", "path")
                     .withColumn("at", F.monotonically_increasing_id()), "urls")
-    # One row for each partition.
-    before = ordered.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n")).select(
-        "part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    # One row for each partition, written so that the join knows its size.
+    before = stage(ordered.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n")).select(
+        "part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before")), "before")
     numbered = ordered.join(before, F.shiftright("at", 33) == F.col("part")).select(
         (F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("number"), "host", "path", "lines")
     beside = lambda step, name: numbered.select((F.col("number") + step).alias("number"), F.struct("host", "path", "lines").alias(name))
@@ -111,12 +114,13 @@ def extract(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """For each row of ``pages``: its key, ``url``, ``text`` and ``n_chars``
     (code points).  Null pages have an empty text; a null URL is a host and a
     path of its own; equal pages of one URL have equal texts.  Pages are read
-    whole; one shuffle of them by URL, to where the nearest lines are."""
+    whole.  The nearest lines of up to ``SMALL_URLS`` URLs go to the pages;
+    those of more meet them in one shuffle of the pages by URL."""
     require(pages, key, "url", "html")
     url = F.coalesce("url", F.lit(""))
     split = pages.select(F.col(key).alias("key"), "url", "html", F.lower(F.regexp_extract(url, r"^[^:/?#]+://([^/?#]*)", 1)).alias("host"),
                          F.regexp_replace(url, r"^[^:/?#]+://[^/?#]*", "").alias("path"))
-    near = nearest_pages(split.drop("url"))
+    near = known_small(stage(nearest_pages(split.drop("url")), "nearest"), SMALL_URLS)
     joined = split.join(near, ["host", "path"], "left").select("key", "url", "html", "nearest")
 
     def make(part: pa.RecordBatch) -> list:

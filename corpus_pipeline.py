@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidscope.llm import bpe, fmindex, jaccard, quality
+from bidscope.llm.columns import known_small
 from bidscope.session import scratch_path, stage, tune
 
 
@@ -31,7 +32,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     one with the smallest doc_id; of rows that are wholly equal, one."""
     found = jaccard.components(docs)
     others = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    others = jaccard.known_small(stage(others.withColumnRenamed("doc_id", "_other"), "others"))
+    others = known_small(stage(others.withColumnRenamed("doc_id", "_other"), "others"))
     if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
         docs = docs.dropDuplicates()
     return docs.join(others, F.col("doc_id").eqNullSafe(F.col("_other")), "left_anti")
@@ -42,7 +43,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     texts = docs.select(F.md5("text").alias("doc_id"), "text")
     index = stage(fmindex.build_index(texts), "fm-index")
     hit = fmindex.contamination(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated")
-    hit = jaccard.known_small(stage(hit.select(F.col("doc_id").alias("_hit")).distinct(), "hit"))
+    hit = known_small(stage(hit.select(F.col("doc_id").alias("_hit")).distinct(), "hit"))
     return docs.join(hit, F.md5("text") == F.col("_hit"), "left_anti")
 
 
