@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from bidscope.llm.columns import require, with_columns
 
-#: Encodings of strings that a worker may carry to its next slice of texts; it saves time and changes no result.
+#: Encodings of strings that a task may carry to its next slice of texts; it saves time and changes no result.
 REMEMBERED = 250_000
 _NONE = 1 << 60
 _TOKEN = -1
@@ -99,7 +99,7 @@ class Vocabulary:
     def apart(self, a: int, b: int) -> bool:
         found = self.known.get((a, b))
         if found is None:
-            if len(self.known) > 4 * REMEMBERED:
+            if len(self.known) > REMEMBERED:
                 self.known.clear()
             found = self.known[a, b] = self._apart(a, b)
         return found
@@ -179,7 +179,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
         self.pieces: dict[str, tuple[int, ...]] = {}
-        self.segments: dict[str, tuple[int, ...]] = {}
+        self.segments: dict[str, tuple[int, ...]] = {}       # by their text after the space
         self.names = list(map(str, range(len(vocabulary.bytes_of))))
 
     def _learn_pieces(self, pieces: set[str]) -> None:
@@ -189,7 +189,8 @@ class Encoder:
         last: list[int] = []
         whole: list[tuple[int, ...]] = [()]
         before = b""
-        for raw, piece in sorted((p.encode(), p) for p in pieces):
+        for piece in sorted(pieces):            # code points sort as their bytes do
+            raw = piece.encode()
             direct = ranks.get(raw)
             if direct is not None:
                 self.pieces[piece] = (direct,)
@@ -218,14 +219,14 @@ class Encoder:
                 whole.append((*whole[at], token))
             self.pieces[piece] = whole[-1]
 
-    def _learn(self, segments: set[str]) -> None:
+    def _learn(self, segments: set[str], pieces: set[str]) -> None:
         if len(self.segments) > REMEMBERED:
             self.segments.clear()
         if len(self.pieces) > REMEMBERED:
             self.pieces.clear()
-        segments = [s for s in segments if s not in self.segments]
-        cut = list(map(self.find, segments))
-        self._learn_pieces(set(chain.from_iterable(cut)).difference(self.pieces))
+        segments = segments.difference(self.segments)
+        cut = [self.find(" " + s) for s in segments]
+        self._learn_pieces(pieces.union(*cut).difference(self.pieces))
         get = self.pieces.__getitem__
         self.segments.update((s, get(p[0]) if len(p) == 1 else tuple(chain.from_iterable(map(get, p))))
                              for s, p in zip(segments, cut))
@@ -241,13 +242,21 @@ class Encoder:
                 gc.enable()
 
     def _encode_all(self, texts: list[str]) -> list[list[int]]:
-        parts = []
-        for text in texts:
-            cut = self._cut.split(text) if self._uneven.search(text) else text.split(" ")
-            parts.append([cut[0], *[" " + x for x in cut[1:]]])
-        self._learn(set(chain.from_iterable(parts)))
-        get = self.segments.__getitem__
-        return [list(chain.from_iterable(map(get, p))) for p in parts]
+        parts = [self._cut.split(text) if self._uneven.search(text) else text.split(" ") for text in texts]
+        first = [self.find(p[0]) for p in parts]
+        for p in parts:
+            p[0] = ""                            # the text's start has no space before it
+        segments = set().union(*parts)
+        segments.discard("")
+        self._learn(segments, set(chain.from_iterable(first)))
+        self.segments[""] = ()
+        get, piece = self.segments.__getitem__, self.pieces.__getitem__
+        return [list(chain(chain.from_iterable(map(piece, f)), chain.from_iterable(map(get, p)))) for f, p in zip(first, parts)]
+
+    def forget(self) -> None:
+        """Give back the memory of encodings; the worker may do other work next."""
+        self.pieces, self.segments = {}, {}
+        self.vocabulary.known.clear()
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
@@ -293,7 +302,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
         return out
 
     added = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return with_columns(docs, text, added, make, keep)
+    return with_columns(docs, text, added, make, keep, lambda: encoder(path, pattern).forget())
 
 
 def _cumulated(n: list[int]) -> list[int]:

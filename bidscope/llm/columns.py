@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -27,6 +29,16 @@ def known_small(df: DataFrame, rows: int = SMALL) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def give_back() -> None:
+    """Free memory goes back to the system at the end of a task: the worker
+    lives on, and the next task may be another operator's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def with_columns(df: DataFrame, text: str, added: str, make: Callable[[pa.RecordBatch], list],
                  keep: list[str] | None = None, done: Callable[[], None] = lambda: None) -> DataFrame:
     """``df`` (or its columns ``keep``) with the columns ``added`` (a DDL
@@ -44,6 +56,7 @@ def with_columns(df: DataFrame, text: str, added: str, make: Callable[[pa.Record
                 columns = [part.column(c) for c in stay] + [x if isinstance(x, pa.Array) else pa.array(x) for x in make(part)]
                 yield pa.RecordBatch.from_arrays(columns, stay + names)
         done()
+        give_back()
 
     need = list(dict.fromkeys([*stay, text]))
     return df.select(*need).mapInArrow(run, schema)
