@@ -25,10 +25,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.llm.columns import require
+from bidscope.llm.columns import give_back, require
 from bidscope.llm.words import ALNUM, LOWER, slices, split_words
 
-SHARD_BYTES = 8 << 20         # of text in a shard; a longer text is a shard of its own
+SHARD_BYTES = 6 << 20         # of text in a shard; a longer text is a shard of its own
 SAMPLED = 16                  # every 16th position has its suffix marked, and each text's first
 WINDOW = 10                   # words in a test phrase
 BLOCK_WORDS = 1_000_000       # of test items searched at a time
@@ -227,6 +227,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                     pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(key)),
                     pa.array([np.diff(index.starts) - 1], pa.list_(pa.int64()))], ["shard", "payload", "keys", "n_words"])
                 k += 1
+        give_back()
 
     return docs.select(key, text).mapInArrow(run, f"shard string, payload binary, keys array<{kind}>, n_words array<long>")
 
@@ -309,6 +310,7 @@ def search_index(index: DataFrame, items: DataFrame, key: str = "item_id", text:
                         pa.array([shard] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.int32()),
                         pa.array([[{"begin": a, "end": b} for a, b in r[1]] for r in rows], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
                         pa.array([r[2] for r in rows], pa.list_(pa.string()))], ["shard", "number", "spans", "items"])
+            give_back()
 
         hits = index.select("shard", "payload").mapInArrow(
             run, "shard string, number int, spans array<struct<begin:long,end:long>>, items array<string>")

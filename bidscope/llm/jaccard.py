@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidscope.llm import sums
-from bidscope.llm.columns import known_small, require, with_columns
+from bidscope.llm.columns import give_back, known_small, require, with_columns
 from bidscope.llm.words import shingle_runs, shingles, slices, split_words
 from bidscope.session import stage
 
@@ -60,6 +60,7 @@ def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             runs, whole = shingle_runs(split_words(part.column("text")), WORDS)
             total += np.bincount((runs[whole] >> SHIFT).astype(np.int64), minlength=SLOTS)
     yield sums.parts(total, SLOTS // 16)
+    give_back()
 
 
 def slot_ranks(docs: DataFrame) -> np.ndarray:
@@ -213,6 +214,8 @@ def _search_home(like: int):
         for i, x in enumerate(nodes):
             groups.setdefault(search.find(i), []).append(x)
         pairs = [(x, min(g)) for g in groups.values() if len(g) > 1 for x in g]
+        del search, rows
+        give_back()
         return pa.table({"node": pa.array([a for a, _ in pairs], pa.int64()), "root": pa.array([b for _, b in pairs], pa.int64())})
     return run
 

@@ -22,15 +22,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidscope.llm import sums
-from bidscope.llm.columns import require, with_columns
+from bidscope.llm.columns import give_back, require, with_columns
 from bidscope.llm.words import KEEP, hashes, mix, owners, slices, split_words, text_buffers, Words
 
 WORD_SLOTS, SHAPE_SLOTS, BLOCK = 4096, 512, 512
 DIMS, ONES = 32, 4                   # of a vector; of them not 0 in a fixed vector
 TRAINED_ON = 20_000                  # labelled rows at most, by the smallest hash of doc_id
 HIDDEN, EPOCHS, RATE, DECAY, SEED = 32, 60, 0.01, 1e-4, 7
-#: words and shapes: mean of each, and the share of non-empty texts' words
-FEATURES = 2 * DIMS
+PRIOR = 6                            # words of an average text that every text is taken to have besides its own
+FEATURES = 2 * DIMS                  # of words and of shapes; one more number is how many words there are
 
 
 def fixed_vectors() -> np.ndarray:
@@ -88,6 +88,7 @@ def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     for k in range(ONES):
                         total += np.bincount(to * DIMS + where[of, k], value[of, k], len(total)).astype(np.int64)
     yield sums.parts(total, BLOCK * DIMS)
+    give_back()
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
@@ -101,10 +102,12 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
 
 def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """FEATURES numbers for each text; zeros where it has no words."""
+    """FEATURES numbers for each text, zeros where it has no words, and its
+    number of words."""
     words, a, b = slots(texts)
     n = np.diff(words.starts)
-    out = np.zeros((len(n), FEATURES), np.float32)
+    out = np.zeros((len(n), FEATURES + 1), np.float32)
+    out[:, -1] = n
     full = np.flatnonzero(n)
     step = 1 << 18                    # words in one gather
     for at, stream in ((0, a), (DIMS, b)):
@@ -131,25 +134,31 @@ class Network(NamedTuple):
     temperature: float
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
+        return np.tanh(_inputs(x, self.mean, self.scale) @ self.w1 + self.b1) @ self.w2 + self.b2
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(x.astype(np.float64)) / self.temperature, -500, 500)))
 
 
+def _inputs(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Deviations from the average text; few words say less than many."""
+    n = x[:, -1:]
+    return (x[:, :-1] - mean) / scale * (n / (n + PRIOR))
+
+
 def train(x: np.ndarray, y: np.ndarray, kept: np.ndarray) -> Network:
     """Adam on the log loss of the rows that are not ``kept``; the kept ones
     choose the temperature.  Without both classes the score is constant."""
     rng = np.random.default_rng(SEED)
     x = x.astype(np.float64)
-    mean = x.mean(0) if len(x) else np.zeros(FEATURES)
-    scale = x.std(0) + 1e-6 if len(x) else np.ones(FEATURES)
+    mean = x[:, :-1].mean(0) if len(x) else np.zeros(FEATURES)
+    scale = x[:, :-1].std(0) + 1e-6 if len(x) else np.ones(FEATURES)
     w = [rng.normal(0, 1 / math.sqrt(FEATURES), (FEATURES, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.1, HIDDEN), np.zeros(())]
     share = (y.sum() + 1) / (len(y) + 2)
     if y.size == 0 or y.min() == y.max():
         return Network(mean, scale, w[0], w[1], np.zeros(HIDDEN), math.log(share / (1 - share)), 1.0)
     fit = ~kept if (~kept).any() and np.unique(y[~kept]).size == 2 else np.ones(len(y), bool)
-    xs, ys = ((x - mean) / scale)[fit], y[fit]
+    xs, ys = _inputs(x, mean, scale)[fit], y[fit]
     m, v, step = [np.zeros_like(p) for p in w], [np.zeros_like(p) for p in w], 0
     for epoch in range(EPOCHS):
         order = rng.permutation(len(ys))
@@ -192,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", most: int =
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
     make = lambda part: [_rows(pooled(part.column("text"), shared.value))]
     got = sorted(with_columns(rows, "text", "features array<float>", make, ["doc_id", "label"]).collect())
-    x = np.array([r.features for r in got], np.float32).reshape(len(got), FEATURES)
+    x = np.array([r.features for r in got], np.float32).reshape(len(got), FEATURES + 1)
     y = np.array([r.label for r in got], np.float64)
     kept = mix(np.array([r.doc_id for r in got], np.int64).astype(np.uint64)) % np.uint64(5) == 0
     return vectors, train(x, y, kept)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.llm.columns import require
+from bidscope.llm.columns import give_back, require
 from bidscope.llm.words import ALNUM, LOWER, chain, hashes, owners, slices, split_words
 
 CHAIN = 2                    # content words in a spot
@@ -172,6 +172,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
                 if held.num_rows > 1:
                     yield _compare(held)
                     held = held.slice(held.num_rows - 1)
+        give_back()
 
     return rows.mapInArrow(run, f"key {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
                                 "near_edited double, near_next double").withColumnRenamed("key", key)

@@ -53,7 +53,7 @@ def test_contexts_equal_a_plain_count(spark):
 
 def test_temperature_and_classes():
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(400, Q.FEATURES))
+    x = np.hstack([rng.normal(size=(400, Q.FEATURES)), np.full((400, 1), 1000.0)])
     y = (x[:, 0] + rng.normal(0, 1, 400) > 0).astype(float)
     kept = np.arange(400) % 4 == 0
     net = Q.train(x, y, kept)
