@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from bidscope.llm.columns import require, with_columns
+from bidscope.llm.words import SLICE_BYTES
 
 #: Encodings of strings that a task may carry to its next slice of texts; it saves time and changes no result.
 REMEMBERED = 250_000
@@ -176,8 +177,8 @@ class Encoder:
     _cut = re.compile(r"(?<=\S) (?=\S)")
     _uneven = re.compile(r"^ |\s |  | \s| $")
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str):
-        self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
+    def __init__(self, vocabulary: Vocabulary, pattern: str, remembered: int = REMEMBERED):
+        self.vocabulary, self.find, self.remembered = vocabulary, regex.compile(pattern).findall, remembered
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.segments: dict[str, tuple[int, ...]] = {}       # by their text after the space
         self.names = list(map(str, range(len(vocabulary.bytes_of))))
@@ -220,9 +221,9 @@ class Encoder:
             self.pieces[piece] = whole[-1]
 
     def _learn(self, segments: set[str], pieces: set[str]) -> None:
-        if len(self.segments) > REMEMBERED:
+        if len(self.segments) > self.remembered:
             self.segments.clear()
-        if len(self.pieces) > REMEMBERED:
+        if len(self.pieces) > self.remembered:
             self.pieces.clear()
         segments = segments.difference(self.segments)
         cut = [self.find(" " + s) for s in segments]
@@ -269,13 +270,14 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, pattern: str) -> Encoder:
+def encoder(path: str, pattern: str, remembered: int = REMEMBERED) -> Encoder:
     """Of this worker; built when first asked for."""
-    return Encoder(Vocabulary.load(path), pattern)
+    return Encoder(Vocabulary.load(path), pattern, remembered)
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text",
-                     keep: list[str] | None = None, with_ids: bool = True) -> DataFrame:
+                     keep: list[str] | None = None, with_ids: bool = True, remembered: int = REMEMBERED,
+                     slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids_sha256`` (of the decimal ids, joined
     by one space), ``decoded_sha256`` (of the bytes that the ids decode to)
     and, unless ``with_ids`` is false, ``ids``.
@@ -283,11 +285,12 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     ``path`` is a file of base64 tokens and ranks that every machine has, as
     the tokenizer package installs it.  Null and empty texts have no ids.
     Texts of any length are encoded whole, equal rows alike, columns with
-    clashing names are replaced.  One pass over the table, no shuffle."""
+    clashing names are replaced.  One pass over the table, no shuffle.  Less
+    ``remembered`` and smaller slices take less memory and more time."""
     require(docs, text)
 
     def make(part: pa.RecordBatch) -> list:
-        e = encoder(path, pattern)
+        e = encoder(path, pattern, remembered)
         n, ids_sha, decoded_sha, all_ids = [], [], [], []
         for ids in e.encode_all([t or "" for t in part.column(text).to_pylist()]):
             n.append(len(ids))
@@ -302,7 +305,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
         return out
 
     added = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return with_columns(docs, text, added, make, keep, lambda: encoder(path, pattern).forget())
+    return with_columns(docs, text, added, make, keep, lambda: encoder(path, pattern, remembered).forget(), slice_bytes)
 
 
 def _cumulated(n: list[int]) -> list[int]:

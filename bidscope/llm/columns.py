@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidscope.llm.words import slices
+from bidscope.llm.words import SLICE_BYTES, slices
 
 
 def require(df: DataFrame, *names: str) -> None:
@@ -40,9 +40,9 @@ def give_back() -> None:
 
 
 def with_columns(df: DataFrame, text: str, added: str, make: Callable[[pa.RecordBatch], list],
-                 keep: list[str] | None = None, done: Callable[[], None] = lambda: None) -> DataFrame:
+                 keep: list[str] | None = None, done: Callable[[], None] = lambda: None, most: int = SLICE_BYTES) -> DataFrame:
     """``df`` (or its columns ``keep``) with the columns ``added`` (a DDL
-    schema), which ``make`` returns for a slice of a few megabytes of
+    schema), which ``make`` returns for a slice of at most ``most`` bytes of
     ``text``.  A column of ``df`` that has the name of an added one is
     replaced.  ``done`` is called when a task ends.  One pass, no shuffle."""
     new = T.StructType.fromDDL(added)
@@ -52,7 +52,7 @@ def with_columns(df: DataFrame, text: str, added: str, make: Callable[[pa.Record
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, most):
                 columns = [part.column(c) for c in stay] + [x if isinstance(x, pa.Array) else pa.array(x) for x in make(part)]
                 yield pa.RecordBatch.from_arrays(columns, stay + names)
         done()

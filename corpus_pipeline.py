@@ -19,10 +19,22 @@ from bidscope.llm.columns import known_small
 from bidscope.session import scratch_path, stage, tune
 
 
+#: Rows in an Arrow batch: whole texts are long, and several stages share an executor's memory.
+BATCH_ROWS = 2000
+
+
+def lean(spark: SparkSession) -> SparkSession:
+    """Smaller Arrow batches, unless the session asks for other than Spark's."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH_ROWS)
+    return spark
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts, learned from this stage's own
     documents and the labels."""
-    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = quality.fit(docs, lean(spark).read.parquet(f"{sf_dir}/labels.parquet"))
     kept = quality.score(docs.withColumnsRenamed({"score": "_score", "predicted": "_predicted"}), model).where("predicted = 1")
     return kept.drop("score", "predicted").withColumnsRenamed({"_score": "score", "_predicted": "predicted"}).select(docs.columns)
 
@@ -30,6 +42,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by four fifths of their five-word shingles, the
     one with the smallest doc_id; of rows that are wholly equal, one."""
+    lean(spark)
     found = jaccard.components(docs)
     others = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     others = known_small(stage(others.withColumnRenamed("doc_id", "_other"), "others"))
@@ -40,6 +53,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten words in a row of a benchmark item."""
+    lean(spark)
     texts = docs.select(F.md5("text").alias("doc_id"), "text")
     index = stage(fmindex.build_index(texts), "fm-index")
     hit = fmindex.contamination(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated")
@@ -49,8 +63,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids, counts and digests of every document that is left."""
+    lean(spark)
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
-                                keep=["doc_id", "lang", "source", "n_chars"])
+                                keep=["doc_id", "lang", "source", "n_chars"], remembered=50_000, slice_bytes=3 << 20)
 
 
 STAGES = [
