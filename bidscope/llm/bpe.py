@@ -286,7 +286,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     the tokenizer package installs it.  Null and empty texts have no ids.
     Texts of any length are encoded whole, equal rows alike, columns with
     clashing names are replaced.  One pass over the table, no shuffle.  Less
-    ``remembered`` and smaller slices take less memory and more time."""
+    ``remembered`` and smaller slices take less memory and more time; below
+    ``REMEMBERED`` a task gives the vocabulary back as well."""
     require(docs, text)
 
     def make(part: pa.RecordBatch) -> list:
@@ -304,8 +305,13 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
             out.append(pa.ListArray.from_arrays(pa.array([0, *_cumulated(n)], pa.int32()), flat))
         return out
 
+    def done() -> None:
+        encoder(path, pattern, remembered).forget()
+        if remembered < REMEMBERED:
+            encoder.cache_clear()
+
     added = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return with_columns(docs, text, added, make, keep, lambda: encoder(path, pattern, remembered).forget(), slice_bytes)
+    return with_columns(docs, text, added, make, keep, done, slice_bytes)
 
 
 def _cumulated(n: list[int]) -> list[int]:

@@ -210,7 +210,7 @@ def _dump_vocab(vocab: pa.Array) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row for each shard: ``shard``, ``payload`` and, in the order of its
     texts, ``keys`` and ``n_words``.  One pass, no shuffle; the caller writes
     it.  Null texts have no words; keys may be null or repeat."""
@@ -220,7 +220,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, k = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in slices(batch, text, SHARD_BYTES):
+            for part in slices(batch, text, shard_bytes):
                 index = Index.build(part.column(text))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([f"{task}-{k}"]), pa.array([index.dump()], pa.binary()),

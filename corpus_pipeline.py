@@ -55,7 +55,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents without any ten words in a row of a benchmark item."""
     lean(spark)
     texts = docs.select(F.md5("text").alias("doc_id"), "text")
-    index = stage(fmindex.build_index(texts), "fm-index")
+    index = stage(fmindex.build_index(texts, shard_bytes=2 << 20), "fm-index")
     hit = fmindex.contamination(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated")
     hit = known_small(stage(hit.select(F.col("doc_id").alias("_hit")).distinct(), "hit"))
     return docs.join(hit, F.md5("text") == F.col("_hit"), "left_anti")
@@ -65,7 +65,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids, counts and digests of every document that is left."""
     lean(spark)
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
-                                keep=["doc_id", "lang", "source", "n_chars"], remembered=50_000, slice_bytes=3 << 20)
+                                keep=["doc_id", "lang", "source", "n_chars"], remembered=30_000, slice_bytes=2 << 20)
 
 
 STAGES = [
