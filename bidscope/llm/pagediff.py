@@ -3,9 +3,10 @@
 Pages of a host are paired by URL path: the nearest page is the neighbour in
 path order with the longer common start.  The lines of both are aligned by
 their longest common subsequence, and the lines that they share, the site's
-template, are deleted.  What marks itself as surroundings (menus, footers,
-adverts, forms, comments) is deleted whether shared or not, and lines inside
-an article element stay even if shared, because articles are copied too.
+template, are deleted; this decides every line that no element marks, on pages
+with an article element as on those without.  What marks itself as surroundings
+(menus, footers, adverts, forms, comments) is deleted whether shared or not, and
+lines inside an article element stay even if shared: there zones decide.
 """
 
 from __future__ import annotations
@@ -65,12 +66,12 @@ def shared_lines(a: list[int], b: list[int]) -> set[int]:
 
 
 def main_text(found: list[tuple[str, int]], nearest: list[int] | None) -> str:
-    """Lines of the article element; in a page without one, the unmarked
-    lines that the nearest page does not share.  A page all of whose unmarked
+    """Lines of the article element, and the unmarked lines that the nearest
+    page does not share.  A page without an article all of whose unmarked
     lines are shared is a copy, from which nothing is deleted."""
     shared = shared_lines(line_hashes(found), nearest) if nearest else set()
     if any(zone == MAIN for _, zone in found):
-        shared = {i for i in shared if found[i][1] != MAIN} | {i for i, (_, zone) in enumerate(found) if zone == OPEN}
+        shared = {i for i in shared if found[i][1] != MAIN}
     elif shared.issuperset(i for i, (_, zone) in enumerate(found) if zone == OPEN):
         shared = set()
     return "\n".join(line for i, (line, zone) in enumerate(found) if zone != ASIDE and i not in shared)

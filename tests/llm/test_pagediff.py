@@ -90,3 +90,10 @@ def test_nearest_and_deleted_lines(spark):
     assert sorted(str(tuple(r)) for r in got.collect()) == sorted(map(str, want))
     assert any("home" not in w[2] and "home" in r[2] for w, r in zip(want, rows) if r[2])
     assert P.extract(df.limit(0)).count() == 0
+
+
+def test_lines_beside_an_article_are_decided_by_the_nearest_page():
+    page = "<div>menu</div><p>one</p><article><p>teaser</p></article><p>two</p><div>imprint</div>"
+    other = "<div>menu</div><p>else</p><article><p>teaser</p></article><div>imprint</div>"
+    assert P.main_text(M.lines(page), P.line_hashes(M.lines(other))) == "one\nteaser\ntwo"
+    assert P.main_text(M.lines(page), None) == "menu\none\nteaser\ntwo\nimprint"
