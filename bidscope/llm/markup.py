@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator
 
 OPEN, MAIN, ASIDE = 0, 1, 2           # zones: unmarked, the article, what stands around it
+NAMED, CLOSED, CARD = 3, 4, 5         # while reading: around it by its whole name, without an article in it, an article in a named one
 
 #: Elements whose content is not text, elements that end a line, elements that nest, zones by element,
 #: by role, and by a part of a class or id.
@@ -52,28 +53,45 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         yield "text", "", page[at:]
 
 
+def _marked(a: dict[str, str]) -> int:
+    """How attributes mark surroundings: 3 by role or as hidden, 2 by a whole
+    class or id, 1 by a part of one (as in no-sidebar) or as a form, 0 not."""
+    role, names = a.get("role", "").lower(), f"{a.get('class', '')} {a.get('id', '')}".lower()
+    if role in ASIDE_ROLES and role != "form" or "hidden" in a or a.get("aria-hidden") == "true":
+        return 3
+    if any(name in ASIDE_NAMES for name in names.split()):
+        return 2
+    return int(role == "form" or any(part in ASIDE_NAMES for part in _PART.split(names)))
+
+
 def _zone_of(name: str, attrs: str, outer: int) -> int:
-    if outer == ASIDE:
-        return ASIDE
-    if name in ("article", "main"):
-        return MAIN
-    if name in ASIDE_ELEMENTS or name == "header" and outer == OPEN:
-        return ASIDE
-    if attrs:
-        a = attributes(attrs)
-        role = a.get("role", "").lower()
-        if role in ("main", "article"):
-            return MAIN
-        if role in ASIDE_ROLES or "hidden" in a or a.get("aria-hidden") == "true":
-            return ASIDE
-        if any(part in ASIDE_NAMES for part in _PART.split(f"{a.get('class', '')} {a.get('id', '')}".lower())):
-            return ASIDE
-    return outer
+    if outer == CLOSED:
+        return CLOSED
+    inside = outer in (MAIN, CARD)
+    a = attributes(attrs) if attrs else {}
+    marked = _marked(a)
+    if name in ("article", "main") or a.get("role", "").lower() in ("main", "article"):
+        if outer == ASIDE and marked > 1 or outer == NAMED and marked and name != "main":
+            return outer
+        return CARD if outer in (NAMED, CARD) and name != "main" else MAIN
+    if name in ASIDE_ELEMENTS and name != "form" or name == "header" and not inside or marked == 3:
+        return CLOSED
+    marked = max(marked, int(name == "form"))
+    if not marked:
+        return outer
+    if inside:
+        return CLOSED
+    return NAMED if marked == 2 or outer == NAMED else ASIDE
 
 
 def lines(page: str, break_ends_line: bool = False) -> list[tuple[str, int]]:
     """The text of each block that has any, white space as one space, and its
-    zone.  Markup that is cut off or left open ends with the page."""
+    zone.  Markup that is cut off or left open ends with the page.
+
+    An article or main element opens the article's zone also inside a form or
+    what a part of its class marks as surroundings; inside what its whole class
+    or id marks so, an article does if the page has no other.  Inside menus,
+    footers and the like, and inside an article's own surroundings, none does."""
     out: list[tuple[str, int]] = []
     stack: list[tuple[str, int]] = []
     text: list[str] = []
@@ -111,4 +129,5 @@ def lines(page: str, break_ends_line: bool = False) -> list[tuple[str, int]]:
                                 break
                         zone = stack[-1][1] if stack else OPEN
     flush()
-    return out
+    card = ASIDE if any(z == MAIN for _, z in out) else MAIN
+    return [(line, z if z <= ASIDE else card if z == CARD else ASIDE) for line, z in out]

@@ -1,9 +1,10 @@
 """Main text of pages by differencing with the nearest page of the host.
 
 Pages of a host are paired by URL path: the nearest page is the neighbour in
-path order with the longer common start.  The lines of both are aligned by
-their longest common subsequence, and the lines that they share, the site's
-template, are deleted; this decides every line that no element marks, on pages
+path order with the longer common start.  Of its lines only those count that
+further pages of the host confirm as the site's template, for neighbours may be
+near copies.  The lines of both are aligned by their longest common
+subsequence, and those that they share are deleted; this decides every line that no element marks, on pages
 with an article element as on those without.  What marks itself as surroundings
 (menus, footers, adverts, forms, comments) is deleted whether shared or not, and
 lines inside an article element stay even if shared: there zones decide.
@@ -26,13 +27,14 @@ from bidscope.session import stage
 
 
 SMALL_URLS = 100_000          # whose lines' hashes, some hundred bytes each, are broadcast
+TEMPLATE_URLS = 3             # a line of the template is on as many URLs of the host at least, and on half of them
 
 
 def line_hashes(found: list[tuple[str, int]]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(line) - (1 << 63) for line, _ in found]
 
 
-def shared_lines(a: list[int], b: list[int]) -> set[int]:
+def shared_lines(a: list[int], b: list[int | None]) -> set[int]:
     """Indexes of a's lines in a longest common subsequence of both.
 
     Equal ends first; of the rest, pairs of equal lines in order, each put
@@ -65,7 +67,7 @@ def shared_lines(a: list[int], b: list[int]) -> set[int]:
     return shared
 
 
-def main_text(found: list[tuple[str, int]], nearest: list[int] | None) -> str:
+def main_text(found: list[tuple[str, int]], nearest: list[int | None] | None) -> str:
     """Lines of the article element, and the unmarked lines that the nearest
     page does not share.  A page without an article all of whose unmarked
     lines are shared is a copy, from which nothing is deleted."""
@@ -77,10 +79,23 @@ def main_text(found: list[tuple[str, int]], nearest: list[int] | None) -> str:
     return "\n".join(line for i, (line, zone) in enumerate(found) if zone != ASIDE and i not in shared)
 
 
+def template_lines(urls: DataFrame) -> DataFrame:
+    """(host, template): the line hashes that at least half of the host's URLs
+    have, and TEMPLATE_URLS of them at least; hosts without any are left out.
+    Counted by partial aggregation; a host has at most twice as many such
+    lines as its average page has lines."""
+    sizes = urls.groupBy("host").agg(F.count("*").alias("urls")).where(F.col("urls") >= TEMPLATE_URLS)
+    counts = urls.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    often = counts.where(F.col("n") >= TEMPLATE_URLS).join(sizes, "host").where(2 * F.col("n") >= F.col("urls"))
+    return often.groupBy("host").agg(F.collect_list("line").alias("template"))
+
+
 def nearest_pages(pages: DataFrame) -> DataFrame:
     """(host, path, nearest): the line hashes of the nearest other URL of the
-    host, null if it has none.  ``pages`` has host, path, key and html; of
-    several pages of a URL the one with the smallest key stands for it.
+    host, null in place of lines that are not of the host's template; null if
+    there is no other URL.
+    ``pages`` has host, path, key and html; of several pages of a URL the one
+    with the smallest key stands for it.
 
     All URLs are range-partitioned and numbered in order, so a large host is
     spread over tasks; neighbours meet in a join on the number."""
@@ -98,17 +113,19 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
         (F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("number"), "host", "path", "lines")
     beside = lambda step, name: numbered.select((F.col("number") + step).alias("number"), F.struct("host", "path", "lines").alias(name))
     both = numbered.drop("lines").join(beside(1, "before"), "number", "left").join(beside(-1, "after"), "number", "left")
+    both = both.join(known_small(stage(template_lines(ordered), "templates"), SMALL_URLS), "host", "left")
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for host, path, before, after in zip(*(batch.column(c).to_pylist() for c in ("host", "path", "before", "after"))):
+            for host, path, before, after, template in zip(*(batch.column(c).to_pylist() for c in ("host", "path", "before", "after", "template"))):
                 near = [x for x in (before, after) if x and x["host"] == host]
                 near.sort(key=lambda x: -len(commonprefix([path, x["path"]])))       # the one before, if alike
-                out.append(near[0]["lines"] if near else None)
+                confirmed = set(template or ())
+                out.append([x if x in confirmed else None for x in near[0]["lines"]] if near else None)
             yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("path"), pa.array(out, pa.list_(pa.int64()))], ["host", "path", "nearest"])
 
-    return both.select("host", "path", "before", "after").mapInArrow(choose, "host string, path string, nearest array<long>")
+    return both.select("host", "path", "before", "after", "template").mapInArrow(choose, "host string, path string, nearest array<long>")
 
 
 def extract(pages: DataFrame, key: str = "page_id") -> DataFrame:

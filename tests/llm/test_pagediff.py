@@ -97,3 +97,21 @@ def test_lines_beside_an_article_are_decided_by_the_nearest_page():
     other = "<div>menu</div><p>else</p><article><p>teaser</p></article><div>imprint</div>"
     assert P.main_text(M.lines(page), P.line_hashes(M.lines(other))) == "one\nteaser\ntwo"
     assert P.main_text(M.lines(page), None) == "menu\none\nteaser\ntwo\nimprint"
+
+
+def test_near_copies_of_a_host_keep_their_text(spark):
+    menu, foot = "<div>menu</div>", "<div>imprint</div>"
+    copy = lambda x: f"{menu}<h2>title</h2><p>first</p><p>{x}</p><p>last</p>{foot}"
+    bodies = [copy("changed"), copy("as it was"), copy("mended")] + [f"{menu}<p>own {i}</p>{foot}" for i in range(5)]
+    rows = [(i, f"https://h.org/a/{i}", b) for i, b in enumerate(bodies)] + [(90 + i, f"https://two.org/{i}", copy(i)) for i in range(2)]
+    got = {r.page_id: r.text for r in P.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(4)] == ["title\nfirst\nchanged\nlast", "title\nfirst\nas it was\nlast", "title\nfirst\nmended\nlast", "own 0"]
+    assert got[90] == "menu\ntitle\nfirst\n0\nlast\nimprint"          # no third page confirms a template
+
+
+def test_an_article_inside_marked_containers():
+    main = lambda page: [x for x, z in M.lines(page) if z == M.MAIN]
+    assert main('<div class="content-sidebar-wrap"><article><p>a</article><section class="related"><article>card</article></section></div>') == ["a"]
+    assert main('<div class="page no-sidebar"><article>a<div class="comments"><article>c</article></div></article></div>') == ["a"]
+    assert main('<form id="aspnetForm"><div><article>a</article></div><div class="sidebar"><main>b</main></div></form>') == ["a", "b"]
+    assert main('<article>a</article><aside><article>b</article></aside><footer><main>c</main></footer><div hidden><article>d</article></div>') == ["a"]
