@@ -182,13 +182,14 @@ class Encoder:
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.segments: dict[str, tuple[int, ...]] = {}       # by their text after the space
         self.names = list(map(str, range(len(vocabulary.bytes_of))))
+        self.sizes = list(map(len, vocabulary.bytes_of))
 
     def _learn_pieces(self, pieces: set[str]) -> None:
         """Encode new pieces in byte order: ``last`` holds the last token of
-        each prefix of the present one, ``whole`` each prefix's encoding."""
+        each prefix of the present one, from which it is walked back."""
         ranks, tails, known, apart = (self.vocabulary.ranks, self.vocabulary.tails, self.vocabulary.known, self.vocabulary.apart)
+        size = self.sizes
         last: list[int] = []
-        whole: list[tuple[int, ...]] = [()]
         before = b""
         for piece in sorted(pieces):            # code points sort as their bytes do
             raw = piece.encode()
@@ -201,7 +202,7 @@ class Encoder:
                 if a != b:
                     break
                 same += 1
-            del last[same:], whole[same + 1:]
+            del last[same:]
             before = raw
             for at in range(same + 1, len(raw) + 1):
                 node = tails
@@ -217,8 +218,12 @@ class Encoder:
                         if fits or fits is None and apart(*pair):
                             break
                 last.append(token)
-                whole.append((*whole[at], token))
-            self.pieces[piece] = whole[-1]
+            at, ids = len(raw), []
+            while at:
+                token = last[at - 1]
+                ids.append(token)
+                at -= size[token]
+            self.pieces[piece] = tuple(ids[::-1])
 
     def _learn(self, segments: set[str], pieces: set[str]) -> None:
         if len(self.segments) > self.remembered:

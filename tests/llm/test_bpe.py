@@ -2,6 +2,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -67,3 +68,14 @@ def test_table_edge_cases(spark, library):
     assert bpe.encode_documents(df.limit(0), PATH, PATTERN).count() == 0
     with pytest.raises(ValueError):
         bpe.encode_documents(df, PATH, PATTERN, text="absent")
+
+
+def test_a_long_piece_takes_memory_by_its_length():
+    e = bpe.encoder(PATH, PATTERN)
+    for piece in ("x" * 20_000, "=" * 200_000):
+        tracemalloc.start()
+        ids = e.encode(piece)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert ids == bpe.Prefixes(e.vocabulary, piece.encode()).ids() and e.decode(ids) == piece.encode()
+        assert peak < 100 * len(piece) + 2_000_000
