@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidscope.llm import bpe, fmindex, jaccard, quality
@@ -39,16 +39,26 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return kept.drop("score", "predicted").withColumnsRenamed({"_score": "score", "_predicted": "predicted"}).select(docs.columns)
 
 
+def row_identity(docs: DataFrame) -> Column:
+    """What sets a row apart from all that differ in any column; in order of
+    doc_id, null ones last."""
+    columns = [F.col(c) for c in docs.columns]
+    return F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.unhex(F.md5("text")).alias("text"),
+                    F.xxhash64(*[c.isNull() for c in columns], *columns).alias("row"))
+
+
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by four fifths of their five-word shingles, the
-    one with the smallest doc_id; of rows that are wholly equal, one."""
+    one with the smallest doc_id; of rows that are wholly equal, one.  Rows
+    are told apart by all their columns: a doc_id may be null or repeat."""
     lean(spark)
-    found = jaccard.components(docs)
-    others = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    others = known_small(stage(others.withColumnRenamed("doc_id", "_other"), "others"))
     if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        docs = docs.dropDuplicates()
-    return docs.join(others, F.col("doc_id").eqNullSafe(F.col("_other")), "left_anti")
+        docs = stage(docs.dropDuplicates(), "distinct")
+    own = row_identity(docs)
+    found = jaccard.components(docs.select(own.alias("row"), "text"), key="row")
+    others = found.where(~F.col("row").eqNullSafe(F.col("component_id"))).select(F.col("row").alias("_other"))
+    others = known_small(stage(others, "others"))
+    return docs.withColumn("_own", own).join(others, F.col("_own").eqNullSafe(F.col("_other")), "left_anti").drop("_own")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,3 +56,17 @@ def test_edges(spark):
         assert apply(spark, docs.limit(0), D).count() == 0
     clash = docs.withColumn("score", docs.n_chars)
     assert C.keep_quality(spark, clash, D).schema["score"].dataType.simpleString() == "bigint"
+
+
+def test_doc_ids_that_repeat_or_are_null(spark):
+    near = [" ".join(f"w{i}" for i in range(100)) + f" end{k}" for k in range(4)]
+    own = [" ".join(f"v{k}x{i}" for i in range(20)) for k in range(6)]
+    rows = [(1, near[0], "en", "s", 0), (None, near[1], "en", "s", 0), (None, own[0], "en", "s", 0), (None, own[1], "en", "s", 0),
+            (7, near[2], "en", "s", 0), (7, own[2], "en", "s", 0),                      # a near copy's id on a clean text
+            (None, "a b c d e f", "en", "s", 0), (None, "A b c d e f", "en", "s", 0),   # one group without ids
+            (8, own[3], "en", "s", 0), (8, own[3] + " ", "en", "s", 0), (8, own[3], "en", None, 0), (8, own[3], None, "en", 0),   # one id
+            (9, "", "en", "s", 0), (9, "", "fr", "s", 0), (9, None, "fr", "s", 0)]
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{D}/documents.parquet").schema)
+    kept = [(r.doc_id, (r.text or "").lower().strip()) for r in C.keep_one_of_each_group(spark, docs, D).collect()]
+    want = [(1, near[0]), (None, own[0]), (None, own[1]), (7, own[2]), (None, "a b c d e f"), (8, own[3]), (9, ""), (9, ""), (9, "")]
+    assert sorted(map(str, kept)) == sorted(map(str, want))
