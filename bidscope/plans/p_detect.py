@@ -98,7 +98,7 @@ def detector_sink(spark, sf):
 def anomalous_communities(spark, sf):
     """Density clusters of the flagged entities and their neighbours."""
     graph, flagged = _nodes(spark, sf)
-    return D.communities(graph, flagged.select("id", "features"), flagged.filter("is_anomaly").select("id"), 0.5, 3)
+    return D.communities(graph, flagged.select("id", "features"), flagged.filter("is_anomaly").select("id"), 0.5, 2)
 
 
 def _plane(spark, sf):

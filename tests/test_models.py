@@ -134,3 +134,12 @@ def test_replace_rows_keeps_to_known_keys(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "uid string, v int")
     new = spark.createDataFrame([("b", 5), ("z", 9)], "uid string, v int")
     assert sorted(tuple(r) for r in S.replace_rows(df, new).collect()) == [("a", 1), ("b", 5)]
+
+
+def test_communities_have_the_references_settings(spark, monkeypatch):
+    """Two entities are a community, on up to three components."""
+    from bidscope.operators import density
+    asked, run = [], density.dbscan
+    monkeypatch.setattr(density, "dbscan", lambda df, cols, eps, n, **more: asked.append((len(cols), eps, n)) or run(df, cols, eps, n, **more))
+    found = build(spark, "anomalous_communities").toPandas()
+    assert asked == [(3, 0.5, 2)] and found.id.is_unique and len(found)
