@@ -20,6 +20,15 @@ def require(df: DataFrame, *names: str) -> None:
         raise ValueError(f"no column {', '.join(missing)} in {', '.join(df.columns)}")
 
 
+ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of simple columns and arrays of them."""
+    fields = (c.split() for c in ddl.split(", "))
+    return pa.schema([(n, pa.list_(ARROW[t[6:-1]]) if t.startswith("array<") else ARROW[t]) for n, t in fields])
+
+
 #: Rows of some hundred bytes that are broadcast; more are shuffled.
 SMALL = 500_000
 

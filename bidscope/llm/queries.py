@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidscope.llm import bpe, fmindex, jaccard, katz, pagediff, quality, rotation, shards, spotsigs, warc
+from bidscope.llm import bpe, fmindex, jaccard, katz, pagediff, quality, repair, rotation, shards, spotsigs, warc
 from bidscope.session import scratch_path, stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,4 +100,11 @@ def op9_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["begin"], s["end"])), " ").alias("mask"))
 
 
+@query
+def op11_run_length_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of every damaged conversation."""
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.digest(conversations, *repair.repair(repair.damage(conversations)))
+
+
 ORACLES["op9_rotation"] = rotation.ORACLE
