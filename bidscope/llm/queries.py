@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidscope.llm import bpe, fmindex, jaccard, katz, pagediff, prefixtrie, quality, repair, rotation, shards, spotsigs, warc
+from bidscope.llm import bpe, fmindex, jaccard, katz, pagediff, prefixtrie, quality, repair, rotation, shards, spotsigs, toxicity, warc
 from bidscope.session import scratch_path, stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,12 @@ def op11_run_length_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digest(conversations, *repair.repair(repair.damage(conversations)))
 
 
+@query
+def op12_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labelled rows."""
+    return toxicity.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("spans")
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of rebuilt conversations."""
