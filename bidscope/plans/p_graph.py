@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from bidscope.functions.columns import cpv_level
 from bidscope.operators import flags as FL
 from bidscope.operators import graph as G
+from bidscope.operators import states as S
 from bidscope.plans.oracle import cpv_level_sql, with_contracts
 from bidscope.plans.registry import plan
 from bidscope.session import scratch_path
@@ -103,12 +104,13 @@ def _h_sql(prev: str, cur: str) -> str:
             f"USING (id, pos))")
 
 
-@plan("message_pass", with_contracts("SELECT id, pos, round(value, 6) AS value FROM h3", ",\n  ".join([
+@plan("message_pass_sum", with_contracts("SELECT id, pos, round(value, 6) AS value FROM h3", ",\n  ".join([
     NODES, NF,
     """h0 AS (SELECT n.id, 0 AS pos, ln(1 + nf.nc) AS value FROM nf JOIN nodes n USING (entity, node_type)
           UNION ALL SELECT n.id, 1, ln(1 + nf.np) FROM nf JOIN nodes n USING (entity, node_type))""",
     _h_sql("h0", "h1"), _h_sql("h1", "h2"), _h_sql("h2", "h3")])), "2.12")
-def message_pass(spark, sf):
+def message_pass_sum(spark, sf):
+    """States of nodes only, added up."""
     c, nodes, edges = _graph(spark, sf)
     nf = G.node_features(c, [], []).join(nodes, ["entity", "node_type"])
     h0 = nf.select("id", F.array(F.log1p("num_contracts"), F.log1p("num_partners")).alias("h"))
@@ -116,6 +118,37 @@ def message_pass(spark, sf):
     return out.select("id", "pos", F.round("value", 6).alias("value"))
 
 
+def _round_sql(k: int, n: int, e: int) -> str:
+    """Round k from node states of width n and edge states of width e."""
+    width = n + e + 2 * n
+    return f"""e{k} AS (SELECT e.uid, e.src, e.dst, list_concat(list_concat(e.h, s.h), d.h) AS h, s.h AS sent
+          FROM e{k - 1} e JOIN n{k - 1} s ON e.src = s.id JOIN n{k - 1} d ON e.dst = d.id),
+  m{k} AS (SELECT dst AS id, list(v ORDER BY pos) AS got FROM (
+             SELECT dst, pos, sum(v) AS v FROM (
+               SELECT dst, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM (SELECT dst, list_concat(sent, h) AS x FROM e{k}) a) b
+             GROUP BY 1, 2) c GROUP BY 1),
+  n{k} AS (SELECT n.id, list_concat(n.h, coalesce(m.got, [0.0::DOUBLE for i in range({width})])) AS h FROM n{k - 1} n LEFT JOIN m{k} m USING (id))"""
+
+
+@plan("message_pass", with_contracts("""
+SELECT id, CAST(pos - 1 AS INTEGER) AS pos, round(sign(v) * ln(1 + abs(v)), 6) AS value FROM (
+  SELECT id, unnest(h) AS v, generate_subscripts(h, 1) AS pos FROM n3) t""", ",\n  ".join([
+    NODES, NF,
+    "n0 AS (SELECT n.id, [ln(1 + nf.nc)] AS h FROM nf JOIN nodes n USING (entity, node_type))",
+    "e0 AS (SELECT e.uid, e.src, e.dst, [ln(1 + coalesce(c.montant, 0))] AS h FROM edges e JOIN contracts c USING (uid))",
+    _round_sql(1, 1, 1), _round_sql(2, 5, 3), _round_sql(3, 23, 13)])), "2.12")
+def message_pass(spark, sf):
+    """Three rounds of states of contracts and entities, own states kept
+    beside the messages, not projected; by sign and logarithm."""
+    c, nodes, edges = _graph(spark, sf)
+    counts = G.node_features(c, [], []).join(nodes, ["entity", "node_type"])
+    start = counts.select("id", F.array(F.log1p(F.col("num_contracts").cast("double"))).alias("h"))
+    amounts = c.select("uid", F.array(F.log1p(F.coalesce("montant", F.lit(0.0)))).alias("h"))
+    out = S.state_rounds(start, edges.select("uid", "src", "dst").join(amounts, "uid"))[0]
+    value = F.signum("value") * F.log1p(F.abs(F.col("value")))
+    return out.select("id", F.posexplode("h").alias("pos", "value")).select("id", "pos", F.round(value, 6).alias("value"))
+
+
 def _edge_scores(c):
     st = c.groupBy("categorie").agg(F.avg("montant").alias("_m"), F.stddev_samp("montant").alias("_sd"))
     return c.join(st, "categorie").withColumn("z", F.abs(F.col("montant") - F.col("_m")) / F.col("_sd"))
