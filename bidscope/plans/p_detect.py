@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from bidscope.functions.columns import cpv_level
@@ -15,6 +16,7 @@ from bidscope.operators import evaluate as EV
 from bidscope.operators import features as FE
 from bidscope.operators import graph as G
 from bidscope.operators import inject as IJ
+from bidscope.operators import neighbors as NB
 from bidscope.plans import p_inject as PI
 from bidscope.plans.registry import plan
 from bidscope.session import cut_lineage, scratch_path
@@ -107,14 +109,31 @@ def _plane(spark, sf):
                                        F.log1p(F.coalesce("dureeMois", F.lit(0.0))).alias("y"))
 
 
+@plan("dbscan_plane", None, "2.13")
+def dbscan_plane(spark, sf):
+    return DN.dbscan(_plane(spark, sf), ["x", "y"], 0.05, 20)
+
+
+@plan("density_plane", None, "2.13")
+def density_plane(spark, sf):
+    return DN.density_cluster(_plane(spark, sf), ["x", "y"], 50, 20, 0.05)
+
+
+def _projected(spark, sf):
+    """All contracts on the components of the similarity features."""
+    from bidscope.plans.p_models import _pca
+    return _pca(spark, sf)[0].select("uid", vector_to_array("pca").alias("v"))
+
+
 @plan("dbscan", None, "2.13")
 def dbscan(spark, sf):
-    return DN.dbscan(_plane(spark, sf), ["x", "y"], 0.05, 20)
+    """Projected features, all components, exact distances."""
+    return NB.dbscan(_projected(spark, sf), "v", 0.5, 5)
 
 
 @plan("density_cluster", None, "2.13")
 def density_cluster(spark, sf):
-    return DN.density_cluster(_plane(spark, sf), ["x", "y"], 50, 20, 0.05)
+    return NB.density_cluster(_projected(spark, sf), "v", 55, 20, 0.3)
 
 
 @plan("density_counts", None, "2.13")
