@@ -6,11 +6,18 @@ each, so only those first shingles meet in a shuffle.  Sets that share fewer
 there link with nothing and are done.
 
 Each other set gets a home, by its first shared shingle; homes have a bounded
-weight, and a hot shingle is salted over several.  A set also visits every
-other home that holds as many of its shared first shingles, so any two sets
-that can link meet in a home.  A home is searched with inverted lists: the few
-longest lists are only probed, the others are merged by a heap, and a set
-that reaches the required overlap is checked exactly (DivideSkip).
+weight, and a hot shingle is salted over several.  Every home is searched for
+itself.  Where a shingle has several homes their leaders alone are dealt out
+again, to the fewer homes that they fill, until that lessens them no more: a
+group of near copies is one component then.  Last, a set visits every other
+home of smaller number that holds as many of its shared first shingles in sets
+of other components, so any two sets that can link have met or are connected.
+Visitors come in blocks of a home's weight, each with the home's residents in
+a task of its own.
+
+A home is searched with inverted lists: the few longest lists are only probed,
+the others are merged by a heap, and a set that reaches the required overlap
+is checked exactly (DivideSkip).
 
 A home's lists hold leaders only.  A set that links to a leader joins its
 ball.  1 - Jaccard is a metric, so a set that links to a member of a ball is
@@ -96,13 +103,15 @@ def _digest(s: np.ndarray) -> bytes:
 class Search:
     """The sets of one home; ``add`` them in ascending order of their size."""
 
-    def __init__(self, like: int = LIKE):
+    def __init__(self, like: int = LIKE, known: list[int] | None = None):
+        """``known``: what component each set that will be added is of."""
         self.like, self.far = like, max(1, 2 * like - 100)
         self.lists: dict[int, array] = {}
         self.sets: list[np.ndarray] = []
         self.parent: list[int] = []
         self.leaders: list[int] = []                    # sets that lists number 0, 1, ...
         self.balls: list[list[tuple[float, int]]] = []  # their members with their distance
+        self.known, self.first_of = known, {}
 
     def find(self, x: int) -> int:
         while self.parent[x] != x:
@@ -163,7 +172,7 @@ class Search:
     def add(self, tokens: np.ndarray) -> None:
         me, n = len(self.sets), len(tokens)
         self.sets.append(tokens)
-        self.parent.append(me)
+        self.parent.append(me if self.known is None else self.first_of.setdefault(self.known[me], me))
         names = tokens.tolist()
         best, apart = None, []
         for leader, shared in self.overlapping(names, max(1, -(-self.far * n // 100))):
@@ -201,22 +210,29 @@ class Search:
         return _links(int((b[at] == a).sum()), len(a), len(b), self.like)
 
 
+FOUND = "node long, root long, leader boolean"
+
+
 def _search_home(like: int):
+    """Of each set that is linked or a leader: the smallest set that it is
+    connected to in this home, and whether it is a leader."""
     def run(table: pa.Table) -> pa.Table:
         rows = {}
         for node, raw in zip(table.column("node").to_pylist(), table.column("tokens")):
             rows[node] = np.frombuffer(raw.as_buffer(), np.uint64)
+        component = dict(zip(table.column("node").to_pylist(), table.column("component").to_pylist()))
         nodes = sorted(rows, key=lambda x: (len(rows[x]), x))
-        search = Search(like)
+        search = Search(like, [component[x] for x in nodes])
         for x in nodes:
             search.add(rows[x])
         groups: dict[int, list[int]] = {}
         for i, x in enumerate(nodes):
             groups.setdefault(search.find(i), []).append(x)
-        pairs = [(x, min(g)) for g in groups.values() if len(g) > 1 for x in g]
+        leaders = {nodes[i] for i in search.leaders}
+        found = [(x, min(g), x in leaders) for g in groups.values() for x in g if len(g) > 1 or x in leaders]
         del search, rows
         give_back()
-        return pa.table({"node": pa.array([a for a, _ in pairs], pa.int64()), "root": pa.array([b for _, b in pairs], pa.int64())})
+        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*found)) or [(), (), ()], (pa.int64(), pa.int64(), pa.bool_()))], ["node", "root", "leader"])
     return run
 
 
@@ -224,6 +240,7 @@ def linked_components(edges: DataFrame) -> DataFrame:
     """(node, label) of the nodes of ``edges`` (node, root): the smallest node
     of the component.  Labels go along edges and then to the label of the
     label, until none changes; each round is written to the shared folder."""
+    edges = edges.where("node != root")
     both = edges.union(edges.select("root", "node")).toDF("node", "next").distinct()
     both = stage(both, "edges")
     labels = stage(both.groupBy("node").agg(F.least(F.min("next"), F.col("node")).alias("label")), "labels")
@@ -270,27 +287,67 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", like: i
 
     homes = met.groupBy("node").agg(F.min("token").alias("token"), F.first("n").alias("n"), F.count("*").alias("shared"))
     homes = stage(homes.where(F.col("shared") >= _asked(F.col("n"), like)).drop("shared"), "alive")
-    weight = homes.groupBy("token").agg(F.sum("n").alias("weight"))
-    n_homes = 1 + (homes.agg(F.sum("n")).first()[0] or 0) // HOME
-    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("weight") / HOME))
-    homes = stage(homes.join(weight, "token").select("node", F.pmod(F.xxhash64("token", salt), F.lit(n_homes)).alias("home")), "homes")
-    at = met.join(known_small(homes), "node").repartition("token")        # read by both sides of the join below
-    there = at.groupBy("token", "home").agg(F.min("n").alias("least"), F.max("n").alias("most")).withColumnRenamed("home", "other")
-    visits = (at.join(there, "token").where((F.col("other") < F.col("home")) & (100 * F.col("n") >= like * F.col("least")) & (like * F.col("n") <= 100 * F.col("most")))
-              .groupBy("node", "other").agg(F.first("n").alias("n"), F.count("*").alias("shared")).where(F.col("shared") >= _asked(F.col("n"), like))
-              .select("node", F.col("other").alias("home")))
-    stays = homes.union(visits).distinct().groupBy("node").agg(F.collect_list("home").alias("homes"))
-    wanted = known_small(stage(stays.join(nodes, "node").select("node", "homes", "digest", "least"), "wanted"))
-
     def whole(part: pa.RecordBatch) -> list:
         found = ordered_sets(part.column("text"), ranks)
         return [pa.array([s.tobytes() if _digest(s) == d else None for s, d in zip(found, part.column("digest").to_pylist())], pa.binary())]
 
-    texts = docs.join(wanted, docs.key.eqNullSafe(wanted.least)).select("text", "node", "homes", "digest")
-    placed = (with_columns(texts, "text", "tokens binary", whole, ["node", "homes", "digest"]).where("tokens is not null")
-              .select("node", "tokens", F.explode("homes").alias("home")))
-    edges = placed.groupBy("home").applyInArrow(_search_home(like), "node long, root long")
-    labels = linked_components(stage(edges, "links"))
+    def searched(tasks: DataFrame, name: str) -> DataFrame:
+        """(node, root, leader) of ``tasks`` (node, component, home, block)."""
+        asked = tasks.groupBy("node").agg(F.first("component").alias("component"), F.collect_list(F.struct("home", "block")).alias("tasks"))
+        wanted = known_small(stage(asked.join(nodes.select("node", "digest", "least"), "node"), "wanted"))
+        texts = docs.join(wanted, docs.key.eqNullSafe(wanted.least)).select("text", "node", "component", "tasks", "digest")
+        placed = (with_columns(texts, "text", "tokens binary", whole, ["node", "component", "tasks", "digest"]).where("tokens is not null")
+                  .select("node", "component", "tokens", F.explode("tasks").alias("task")))
+        return stage(placed.groupBy("task.home", "task.block").applyInArrow(_search_home(like), FOUND), name)
+
+    def dealt(sets: DataFrame, count: int) -> DataFrame:
+        """``sets`` (node, token, n) with a home, and how many their token has."""
+        weight = sets.groupBy("token").agg(F.ceil(F.sum("n") / HOME).alias("spread"))
+        return sets.join(weight, "token").withColumn("home", F.pmod(F.xxhash64("token", F.pmod(F.xxhash64("node"), "spread")), F.lit(count)))
+
+    n_homes = 1 + (homes.agg(F.sum("n")).first()[0] or 0) // HOME
+    homes = stage(dealt(homes, n_homes), "homes")
+    alone = [F.col("node").alias("component"), F.lit(0).alias("block")]
+    links = searched(homes.select("node", *alone, "home"), "links")
+    crowded, leaders = homes.where("spread > 1").select("node", "token", "n"), links
+    left = crowded.count()
+    while left:
+        crowded = stage(crowded.join(leaders.where("leader").select("node").distinct(), "node", "left_semi"), "leaders")
+        if 2 * crowded.count() > left:
+            break
+        left = crowded.count()
+        leaders = searched(dealt(crowded, n_homes).select("node", *alone, "home"), "links")
+        links = links.unionByName(leaders)
+        crowded = dealt(crowded, n_homes).where("spread > 1").select("node", "token", "n")
+        left = min(left, crowded.count())
+    near = linked_components(links.select("node", "root"))
+
+    component = F.coalesce("label", "node").alias("component")
+    homes = stage(homes.join(near, "node", "left").select("node", "n", "home", component), "homes")
+    at = met.join(known_small(homes.drop("n")), "node")
+    there = stage(at.groupBy("token", "home", "component").agg(F.min("n").alias("least"), F.max("n").alias("most")), "there")
+    main = there.groupBy("token", "component").count().groupBy("token").agg(
+        F.max(F.struct("count", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    # Sets of a token's main component look for the others only: most of its sets are connected.
+    here = at.join(main, "token").withColumn("sought", F.explode(F.when(F.col("component") == F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
+    there = there.join(main, "token").select("token", F.col("home").alias("other"), F.col("component").alias("theirs"), "least", "most",
+                                             (F.col("component") == F.col("main")).alias("sought"))
+    visits = (here.join(there, ["token", "sought"])
+              .where((F.col("other") < F.col("home")) & (F.col("component") != F.col("theirs"))
+                     & (100 * F.col("n") >= like * F.col("least")) & (like * F.col("n") <= 100 * F.col("most")))
+              .groupBy("node", "component", "other").agg(F.first("n").alias("n"), F.count_distinct("token").alias("shared"))
+              .where(F.col("shared") >= _asked(F.col("n"), like)))
+    visits = stage(visits.select("node", "component", "n", F.col("other").alias("home")), "visits")
+    blocks = visits.groupBy("home").agg(F.ceil(F.sum("n") / HOME).alias("blocks"))
+    guests = visits.join(blocks, "home").select("node", "component", "home", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
+    hosts = homes.join(blocks, "home").select("node", "component", "home", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("block"))
+    late = searched(guests.unionByName(hosts), "late-links").select("node", "root")
+    named = near.toDF("node", "a")
+    joined = late.join(named, "node", "left").select(F.coalesce("a", "node").alias("node"), "root").join(
+        named.toDF("root", "b"), "root", "left").select("node", F.coalesce("b", "root").alias("root"))
+    top = linked_components(stage(joined.where("node != root").distinct(), "late-links"))
+    every = near.unionByName(top.select("node", F.col("node").alias("label"))).distinct().toDF("node", "label")
+    labels = every.join(top.toDF("label", "top"), "label", "left").select("node", F.coalesce("top", "label").alias("label")).distinct()
 
     named = labels.join(nodes.select("node", "least"), "node")
     smallest = named.groupBy("label").agg(F.min("least").alias("component"))
