@@ -7,7 +7,7 @@ import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,13 +29,24 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, pa.list_(ARROW[t[6:-1]]) if t.startswith("array<") else ARROW[t]) for n, t in fields])
 
 
-#: Rows of some hundred bytes that are broadcast; more are shuffled.
-SMALL = 500_000
+#: Bytes that are broadcast; more are shuffled.
+SMALL = 64 << 20
 
 
-def known_small(df: DataFrame, rows: int = SMALL) -> DataFrame:
-    """For a join: broadcast a written table if its count says it is small."""
-    return F.broadcast(df) if df.count() <= rows else df
+def _bytes(field: T.StructField) -> Column:
+    column, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        return 32 * F.greatest(F.coalesce(F.size(column), F.lit(0)), F.lit(0))
+    return F.lit(64 if isinstance(kind, T.StructType) else 8)
+
+
+def known_small(df: DataFrame, most: int = SMALL) -> DataFrame:
+    """For a join: broadcast a written table if its bytes, summed over all
+    rows and 24 more for each, are few."""
+    size = df.agg(F.sum(sum((_bytes(f) for f in df.schema), F.lit(24)).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
 
 
 def give_back() -> None:

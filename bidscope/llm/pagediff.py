@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidscope.llm.columns import known_small, require, with_columns
+from bidscope.llm.columns import require, with_columns
 from bidscope.llm.markup import ASIDE, MAIN, OPEN, lines
 from bidscope.session import stage
 
@@ -90,6 +90,11 @@ def template_lines(urls: DataFrame) -> DataFrame:
     return often.groupBy("host").agg(F.collect_list("line").alias("template"))
 
 
+def few_rows(df: DataFrame) -> DataFrame:
+    """For a join: broadcast a written table of at most ``SMALL_URLS`` rows."""
+    return F.broadcast(df) if df.count() <= SMALL_URLS else df
+
+
 def nearest_pages(pages: DataFrame) -> DataFrame:
     """(host, path, nearest): the line hashes of the nearest other URL of the
     host, null in place of lines that are not of the host's template; null if
@@ -113,7 +118,7 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
         (F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("number"), "host", "path", "lines")
     beside = lambda step, name: numbered.select((F.col("number") + step).alias("number"), F.struct("host", "path", "lines").alias(name))
     both = numbered.drop("lines").join(beside(1, "before"), "number", "left").join(beside(-1, "after"), "number", "left")
-    both = both.join(known_small(stage(template_lines(ordered), "templates"), SMALL_URLS), "host", "left")
+    both = both.join(few_rows(stage(template_lines(ordered), "templates")), "host", "left")
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +143,7 @@ def extract(pages: DataFrame, key: str = "page_id") -> DataFrame:
     url = F.coalesce("url", F.lit(""))
     split = pages.select(F.col(key).alias("key"), "url", "html", F.lower(F.regexp_extract(url, r"^[^:/?#]+://([^/?#]*)", 1)).alias("host"),
                          F.regexp_replace(url, r"^[^:/?#]+://[^/?#]*", "").alias("path"))
-    near = known_small(stage(nearest_pages(split.drop("url")), "nearest"), SMALL_URLS)
+    near = few_rows(stage(nearest_pages(split.drop("url")), "nearest"))
     joined = split.join(near, ["host", "path"], "left").select("key", "url", "html", "nearest")
 
     def make(part: pa.RecordBatch) -> list:

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,38 +110,38 @@ def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
 def _neighbours(docs: DataFrame) -> DataFrame:
     """(bucket, ahead, key, text): documents in buckets of neighbouring keys.
     The first document of a bucket is once more in the one before it, as
-    ``ahead``, and that of the first bucket in the last one."""
-    size, rows = docs.agg(F.sum(F.octet_length("text")), F.count("key")).first()
+    ``ahead``, and that of the first bucket in the last one.
+
+    Buckets begin at the first rows of range partitions of (key, hash of
+    text), about 24 MB each; three numbers a bucket reach the driver."""
+    spark, kind = docs.sparkSession, docs.schema["key"].dataType.simpleString()
+    size, rows = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     n = int(min(max(rows, 1), (size or 0) // BUCKET_BYTES + 1))
-    asked = [i / n for i in range(1, n)]
-    cuts = np.unique(np.array(docs.agg(F.percentile_approx("key", asked, 20 * n)).first()[0] or [], np.int64)) if asked else np.empty(0, np.int64)
-    spark = docs.sparkSession
+    docs = docs.withColumn("hash", F.xxhash64("text"))
+    ranged = docs.select("key", "hash").repartitionByRange(n, F.asc_nulls_first("key"), "hash")
+    first = F.min(F.struct(F.col("key").isNotNull().alias("known"), F.col("key"), F.col("hash"))).alias("first")
+    cuts = sorted((r.first.known, r.first.key or 0, r.first.hash) for r in ranged.groupBy(F.spark_partition_id()).agg(first).select("first").collect())
     shared = spark.sparkContext.broadcast(cuts)
 
-    @F.pandas_udf("int")
-    def bucket(key: pd.Series) -> pd.Series:
-        at = np.searchsorted(shared.value, key.fillna(0).to_numpy(np.int64), "right")
-        return pd.Series(np.where(key.isna(), 0, at)).astype("int32")
-
-    # One row for each bucket, whose number is chosen above.
-    heads = sorted((r.bucket, r.least) for r in docs.select(bucket("key").alias("bucket"), "key").groupBy("bucket").agg(
-        F.when(F.count("key") == F.count("*"), F.min("key")).alias("least")).collect())
-    before = {b: heads[i - 1][0] for i, (b, _) in enumerate(heads)}
-    known = spark.sparkContext.broadcast({b: (least, before[b]) for b, least in heads})
-
-    @F.pandas_udf("array<struct<bucket:int,ahead:int>>")
-    def places(key: pd.Series) -> pd.Series:
-        out = []
-        for k, b in zip(key, np.searchsorted(shared.value, key.fillna(0).to_numpy(np.int64), "right").tolist()):
-            none = k is None or k != k or k is pd.NA
-            b = 0 if none else b
-            least, last = known.value[b]
-            first = none if least is None else not none and int(k) == least
-            out.append([{"bucket": b, "ahead": 0}] + [{"bucket": last, "ahead": 1}] * first)
-        return pd.Series(out)
-
-    return (docs.withColumn("place", F.explode(places("key"))).select("place.bucket", "place.ahead", "key", "text")
-            .repartition(n, "bucket").sortWithinPartitions("bucket", "ahead", F.asc_nulls_first("key"), "text"))
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts = shared.value
+        for batch in batches:
+            rows, bucket, ahead = [], [], []
+            for i, (key, own) in enumerate(zip(batch.column("key").to_pylist(), batch.column("hash").to_pylist())):
+                row = (key is not None, key or 0, own)
+                b = bisect_right(cuts, row) - 1
+                rows.append(i)
+                bucket.append(b)
+                ahead.append(0)
+                if cuts[b] == row:
+                    rows.append(i)
+                    bucket.append((b - 1) % len(cuts))
+                    ahead.append(1)
+            took = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(ahead, pa.int32()), *took.columns], ["bucket", "ahead", *took.schema.names])
+
+    return (docs.mapInArrow(place, f"bucket int, ahead int, key {kind}, text string, hash long")
+            .repartition(n, "bucket").sortWithinPartitions("bucket", "ahead", F.asc_nulls_first("key"), "hash", "text").drop("hash"))
 
 
 def edited(text: str, after: str) -> str:
@@ -157,7 +157,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
 
     The next document is the one with the next key (an integer), after the
     last the first; null keys come before all others, rows with one key in
-    the order of their texts.  Null texts are empty.  Every text is read
+    the order of their texts' hashes.  Null texts are empty.  Every text is read
     whole.  One shuffle of the table, in buckets of bounded size."""
     require(docs, key, text)
     kind = docs.schema[key].dataType.simpleString()

@@ -54,6 +54,13 @@ def test_edges(spark):
     assert C.drop_benchmark(spark, docs, D).count() == 5
     for _, apply in C.STAGES:
         assert apply(spark, docs.limit(0), D).count() == 0
+    long = spark.createDataFrame([(10, "long text " * 200_000, "en", "s", 0), (11, "one two three four five six seven", "en", "s", 0)], docs.schema)
+    odd = docs.unionByName(long).selectExpr("*", "1 as _own", "2 as _other", "3 as _hit", "4 as __own", "5 as _score", "6 as predicted")
+    for _, apply in C.STAGES[1:3]:
+        kept = apply(spark, odd, D)
+        assert kept.columns == odd.columns and {(r._own, r._other, r._hit) for r in kept.collect()} == {(1, 2, 3)}
+    assert C.keep_quality(spark, odd, D).columns == odd.columns
+    assert {r.doc_id: r.n_tokens for r in C.encode(spark, odd, D).collect()}[10] > 200_000
     clash = docs.withColumn("score", docs.n_chars)
     assert C.keep_quality(spark, clash, D).schema["score"].dataType.simpleString() == "bigint"
 

@@ -60,6 +60,21 @@ def test_repeated_and_null_keys(spark):
     assert S.fingerprints(df.where("doc_id = 1").limit(1)).first().near_next == 1.0
 
 
+def test_no_row_is_lost(spark, monkeypatch):
+    """Keys beyond 2 ** 53 next to each other, nulls among them, and one key
+    with many texts, in buckets of few rows."""
+    monkeypatch.setattr(S, "BUCKET_BYTES", 40)
+    rows = [(2 ** 60 + i, f"the w{i} x{i}") for i in range(60)] + [(None, f"of n{i} m{i}") for i in range(9)] + [(7, f"to a{i} b") for i in range(30)]
+    rows += [(2 ** 60 + 3, "the w3 x3")] * 2
+    got = S.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.n_chars) for r in got) == sorted((str(k), len(t)) for k, t in rows)
+    known = {k: t for k, t in rows}
+    for r in got:
+        if r.doc_id is not None and r.doc_id >= 2 ** 60 + 4:
+            new = S.edited(known[r.doc_id], known.get(r.doc_id + 1, ""))
+            assert r.doc_id == 2 ** 60 + 59 or r.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+
+
 def test_likeness_and_classes():
     rng = np.random.default_rng(1)
     for _ in range(300):
