@@ -19,24 +19,33 @@ from bidscope.llm.columns import known_small
 from bidscope.session import scratch_path, stage, tune
 
 
-#: Rows in an Arrow batch: whole texts are long, and several stages share an executor's memory.
-BATCH_ROWS = 2000
+#: Of an Arrow batch: whole texts are long, and several stages share an executor's memory.
+LEAN = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+        "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", str(8 << 20))}
 
 
 def lean(spark: SparkSession) -> SparkSession:
     """Smaller Arrow batches, unless the session asks for other than Spark's."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, BATCH_ROWS)
+    for name, (usual, small) in LEAN.items():
+        if spark.conf.get(name, None) == usual:
+            spark.conf.set(name, small)
     return spark
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts, learned from this stage's own
     documents and the labels."""
     model = quality.fit(docs, lean(spark).read.parquet(f"{sf_dir}/labels.parquet"))
-    kept = quality.score(docs.withColumnsRenamed({"score": "_score", "predicted": "_predicted"}), model).where("predicted = 1")
-    return kept.drop("score", "predicted").withColumnsRenamed({"_score": "score", "_predicted": "predicted"}).select(docs.columns)
+    own = {c: free(docs, f"_{c}") for c in ("score", "predicted")}
+    kept = quality.score(docs.withColumnsRenamed(own), model).where("predicted = 1")
+    return kept.drop(*own).withColumnsRenamed({v: k for k, v in own.items()}).select(docs.columns)
 
 
 def row_identity(docs: DataFrame) -> Column:
@@ -56,9 +65,10 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         docs = stage(docs.dropDuplicates(), "distinct")
     own = row_identity(docs)
     found = jaccard.components(docs.select(own.alias("row"), "text"), key="row")
-    others = found.where(~F.col("row").eqNullSafe(F.col("component_id"))).select(F.col("row").alias("_other"))
+    mine, other = free(docs, "_own"), free(docs, "_other")
+    others = found.where(~F.col("row").eqNullSafe(F.col("component_id"))).select(F.col("row").alias(other))
     others = known_small(stage(others, "others"))
-    return docs.withColumn("_own", own).join(others, F.col("_own").eqNullSafe(F.col("_other")), "left_anti").drop("_own")
+    return docs.withColumn(mine, own).join(others, F.col(mine).eqNullSafe(F.col(other)), "left_anti").drop(mine)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,8 +77,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     texts = docs.select(F.md5("text").alias("doc_id"), "text")
     index = stage(fmindex.build_index(texts, shard_bytes=2 << 20), "fm-index")
     hit = fmindex.contamination(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated")
-    hit = known_small(stage(hit.select(F.col("doc_id").alias("_hit")).distinct(), "hit"))
-    return docs.join(hit, F.md5("text") == F.col("_hit"), "left_anti")
+    name = free(docs, "_hit")
+    hit = known_small(stage(hit.select(F.col("doc_id").alias(name)).distinct(), "hit"))
+    return docs.join(hit, F.md5("text") == F.col(name), "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -92,8 +103,14 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
     own = uuid.uuid4().hex[:12]
-    for number, (_, apply) in enumerate(STAGES):
-        path = scratch_path(spark, f"pipeline/{own}/{number}")
-        apply(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    before = {name: spark.conf.get(name, None) for name in LEAN}
+    try:
+        for number, (_, apply) in enumerate(STAGES):
+            path = scratch_path(spark, f"pipeline/{own}/{number}")
+            apply(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+    finally:
+        for name, value in before.items():
+            if value is not None:
+                spark.conf.set(name, value)
     return docs
