@@ -325,15 +325,15 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", like: i
     component = F.coalesce("label", "node").alias("component")
     homes = stage(homes.join(near, "node", "left").select("node", "n", "home", component), "homes")
     at = met.join(known_small(homes.drop("n")), "node")
-    there = stage(at.groupBy("token", "home", "component").agg(F.min("n").alias("least"), F.max("n").alias("most")), "there")
-    main = there.groupBy("token", "component").count().groupBy("token").agg(
-        F.max(F.struct("count", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    parts = at.groupBy("token", "component").agg(F.count_distinct("home").alias("count"))
+    main = parts.groupBy("token").agg(F.max(F.struct("count", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
     # Sets of a token's main component look for the others only: most of its sets are connected.
-    here = at.join(main, "token").withColumn("sought", F.explode(F.when(F.col("component") == F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
-    there = there.join(main, "token").select("token", F.col("home").alias("other"), F.col("component").alias("theirs"), "least", "most",
-                                             (F.col("component") == F.col("main")).alias("sought"))
+    told = at.join(main, "token").withColumn("is_main", F.col("component") == F.col("main"))
+    here = told.withColumn("sought", F.explode(F.when(F.col("is_main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
+    there = told.groupBy("token", F.col("is_main").alias("sought"), F.col("home").alias("other")).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("component").alias("first"), F.max("component").alias("last"))
     visits = (here.join(there, ["token", "sought"])
-              .where((F.col("other") < F.col("home")) & (F.col("component") != F.col("theirs"))
+              .where((F.col("other") < F.col("home")) & ((F.col("component") != F.col("first")) | (F.col("component") != F.col("last")))
                      & (100 * F.col("n") >= like * F.col("least")) & (like * F.col("n") <= 100 * F.col("most")))
               .groupBy("node", "component", "other").agg(F.first("n").alias("n"), F.count_distinct("token").alias("shared"))
               .where(F.col("shared") >= _asked(F.col("n"), like)))
