@@ -75,7 +75,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents without any ten words in a row of a benchmark item."""
     lean(spark)
     texts = docs.select(F.md5("text").alias("doc_id"), "text")
-    index = stage(fmindex.build_index(texts, shard_bytes=2 << 20), "fm-index")
+    index = stage(fmindex.build_index(texts, shard_bytes=1 << 20), "fm-index")
     hit = fmindex.contamination(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated")
     name = free(docs, "_hit")
     hit = known_small(stage(hit.select(F.col("doc_id").alias(name)).distinct(), "hit"))
