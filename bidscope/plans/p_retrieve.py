@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bidscope.operators import clean as C
 from bidscope.operators import retrieve as RT
+from bidscope.operators import vectorindex as VI
 from bidscope.plans.oracle import md5_sql, with_contracts
 from bidscope.plans.registry import plan
+from bidscope.session import scratch_path
 from bidscope.sources.tables import contracts, read_table
 
 QUESTION_SQL = ("SELECT procedure, count(*) AS n_contracts, round(avg(montant), 2) AS avg_amount "
@@ -106,3 +110,32 @@ def vector_topk(spark, sf):
     q = RT.label_centroids(emb).withColumnRenamed("label", "query_id")     # one row per label
     out = RT.vector_topk(emb, q, 10)
     return out.select("query_id", "vec_id", "rank", F.round("similarity", 6).alias("similarity"))
+
+
+def _search(spark, sf, probes):
+    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
+    path = scratch_path(spark, f"vector-index/{uuid.uuid4().hex[:12]}")
+    VI.build(emb, path)
+    asked = emb.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    return VI.search(spark, path, asked, 10, probes).select(
+        F.col("query").alias("query_id"), F.col("key").alias("vec_id"), "rank", F.round("similarity", 6).alias("similarity"))
+
+
+@plan("vector_search", None, "2.13")
+def vector_search(spark, sf):
+    """The 10 most similar vectors of every twentieth one, from the lists of
+    the stored index that are nearest to it."""
+    return _search(spark, sf, 24)
+
+
+@plan("vector_search_exact", """
+WITH e AS (SELECT vec_id, CAST(v AS DOUBLE) AS v, i FROM (
+             SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) a),
+n AS (SELECT vec_id, sqrt(sum(v * v)) AS n FROM e GROUP BY 1),
+u AS (SELECT e.vec_id, e.i, e.v / n.n AS v FROM e JOIN n USING (vec_id)),
+s AS (SELECT q.vec_id AS query_id, p.vec_id, sum(q.v * p.v) AS sim FROM u q JOIN u p USING (i) WHERE q.vec_id % 20 = 0 GROUP BY 1, 2)
+SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(sim, 6) AS similarity FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY -sim, vec_id) AS rank FROM s) t WHERE rank <= 10""", "2.13")
+def vector_search_exact(spark, sf):
+    """The same from all lists of the index."""
+    return _search(spark, sf, None)
