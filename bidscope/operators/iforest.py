@@ -81,8 +81,7 @@ def fit(df: DataFrame, features: Sequence[str], n_trees: int = 100, max_samples:
     return trees.toPandas()   # ≤ n_trees · (2ψ − 1) rows: a fixed bound
 
 
-def score(df: DataFrame, trees: pd.DataFrame, features: Sequence[str], max_samples: int = 256,
-          key: str = "uid") -> DataFrame:
+def score(df: DataFrame, trees: pd.DataFrame, features: Sequence[str], key: str = "uid") -> DataFrame:
     spark = df.sparkSession
     packed = {}
     for t, g in trees.groupby("tree_id"):
@@ -91,7 +90,8 @@ def score(df: DataFrame, trees: pd.DataFrame, features: Sequence[str], max_sampl
         packed[int(t)] = (g["feature"].to_numpy(), g["threshold"].to_numpy(), g["left"].to_numpy(),
                           g["right"].to_numpy(), leaf_adj)
     b = spark.sparkContext.broadcast(packed)
-    cpsi = _c(max_samples)
+    # trees of a small table hold fewer than max_samples rows: what each really had
+    cpsi = max(float(np.mean([_c(n) for n in trees.loc[trees["node"] == 0, "size"]])), 1e-12)
 
     @F.pandas_udf(T.DoubleType())
     def _score(v: pd.Series) -> pd.Series:
@@ -119,7 +119,7 @@ def isolation_forest(df: DataFrame, features: Sequence[str], contamination: floa
     """(key, anomaly_score, is_anomaly, prediction) with prediction −1 for
     anomalies and 1 otherwise."""
     trees = fit(df, features, n_trees, max_samples, seed, key)
-    s = score(df.select(key, *features), trees, features, max_samples, key)
+    s = score(df.select(key, *features), trees, features, key)
     flagged = threshold_flag(s, "anomaly_score", contamination * 100.0)
     return flagged.select(key, "anomaly_score", "is_anomaly",
                           F.when(F.col("is_anomaly"), F.lit(-1)).otherwise(F.lit(1)).alias("prediction"))
