@@ -21,7 +21,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -245,3 +245,22 @@ def assign_cluster(new: DataFrame, cents: DataFrame, features: str = "pca", clus
     x = x.withColumn("_d", ds).withColumn("_best", F.array_min("_d"))
     near = F.aggregate("_d", dbl(0), lambda acc, d: acc + F.exp((F.col("_best.distance") - d["distance"]) / 2))
     return x.select(key, F.col("_best.cluster").alias(cluster), F.col("_best.distance").alias("distance"), (dbl(1) / near).alias("probability"))
+
+
+def exemplars(members: DataFrame, order: Column, per: int = 10, cluster: str = "cluster", key: str = "uid", vector: str = "v") -> DataFrame:
+    """(cluster, exemplar): the first ``per`` rows of each cluster by
+    ``order`` (ties by key), such as the densest ones; noise has none."""
+    first = Window.partitionBy(cluster).orderBy(order, key)
+    known = members.where(F.col(cluster).isNotNull() & (F.col(cluster).cast("string") != "-1"))
+    return known.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= per).select(cluster, F.col(vector).alias("exemplar"))
+
+
+def assign_exemplar(new: DataFrame, chosen: DataFrame, cluster: str = "cluster", key: str = "uid", vector: str = "v") -> DataFrame:
+    """The cluster of each row's nearest exemplar (ties to the smaller
+    cluster) and its distance.  Exemplars are a bounded number per cluster, and
+    travel as one array; without any the cluster is null."""
+    every = chosen.agg(F.collect_list(F.struct(F.col(cluster).alias("cluster"), "exemplar")).alias("_ex"))
+    far = lambda e: F.sqrt(F.aggregate(F.zip_with(vector, e, lambda a, b: (a - b) * (a - b)), dbl(0), lambda acc, y: acc + y))
+    near = F.array_min(F.transform("_ex", lambda e: F.struct(far(e["exemplar"]).alias("distance"), e["cluster"].alias("cluster"))))
+    x = new.select(key, vector).crossJoin(F.broadcast(every)).withColumn("_best", near)
+    return x.select(key, F.col("_best.cluster").alias(cluster), F.col("_best.distance").alias("distance"))

@@ -6,7 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from bidscope.functions.columns import md5_key
 from bidscope.operators import clean as C
+from bidscope.operators import models as M
 from bidscope.operators import retrieve as RT
 from bidscope.operators import vectorindex as VI
 from bidscope.plans.oracle import md5_sql, with_contracts
@@ -139,3 +141,24 @@ SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank, round(sim, 6) AS similar
 def vector_search_exact(spark, sf):
     """The same from all lists of the index."""
     return _search(spark, sf, None)
+
+
+PLACE = "log10(greatest(montant, 1.0)) AS x1, ln(1 + coalesce(dureeMois, 0)) AS x2, CAST(coalesce(offresRecues, 0) AS DOUBLE) AS x3"
+
+
+@plan("assign_exemplar", with_contracts("""
+SELECT uid, arg_min(cluster, struct_pack(d := d, c := cluster)) AS cluster, round(sqrt(min(d)), 6) AS distance FROM (
+  SELECT p.uid, ex.categorie AS cluster,
+         (p.x1 - ex.x1) * (p.x1 - ex.x1) + (p.x2 - ex.x2) * (p.x2 - ex.x2) + (p.x3 - ex.x3) * (p.x3 - ex.x3) AS d
+  FROM p, ex) t GROUP BY uid""", f"""p AS (SELECT uid, categorie, {PLACE} FROM contracts WHERE montant IS NOT NULL),
+  ex AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY categorie ORDER BY {md5_sql('uid', seed=11)}, uid) AS r
+         FROM p WHERE categorie IS NOT NULL) a WHERE r <= 10)"""), "2.13")
+def assign_exemplar(spark, sf):
+    """Every contract to the nearest of ten stated exemplars of each
+    category (amount, duration, bids)."""
+    rows = contracts(spark, sf).where("montant IS NOT NULL").select(
+        "uid", F.col("categorie").alias("cluster"), F.array(
+            F.log10(F.greatest("montant", F.lit(1.0))), F.log1p(F.coalesce("dureeMois", F.lit(0)).cast("double")),
+            F.coalesce("offresRecues", F.lit(0)).cast("double")).alias("v"))
+    out = M.assign_exemplar(rows, M.exemplars(rows, md5_key("uid", seed=11)))
+    return out.select("uid", "cluster", F.round("distance", 6).alias("distance"))

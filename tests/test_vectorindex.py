@@ -38,3 +38,22 @@ def test_recall_of_the_registered_search(spark):
     exact = {(r.query_id, r.vec_id) for r in plans["vector_search_exact"].build(spark, d).collect()}
     found = {(r.query_id, r.vec_id) for r in plans["vector_search"].build(spark, d).collect()}
     assert len(exact) == 1000 and len(exact & found) / len(exact) >= 0.9
+
+
+def test_exemplars_and_noise(spark):
+    from pyspark.sql import functions as F
+
+    from bidscope.operators import models as M
+    rng = np.random.default_rng(1)
+    points = np.concatenate([rng.normal(0, 0.1, (30, 3)), rng.normal(4, 0.1, (20, 3)), [[0.5, 0, 0], [3.0, 3, 3], [9.0, 9, 9]]])
+    label = [0] * 30 + [1] * 20 + [-1] * 3
+    core = rng.random(len(points))
+    df = spark.createDataFrame([(i, c, v.tolist(), float(d)) for i, (c, v, d) in enumerate(zip(label, points, core))], "uid long, cluster int, v array<double>, core double")
+    chosen = M.exemplars(df, F.col("core"), 5)
+    picked = {c: sorted((i for i in range(53) if label[i] == c), key=lambda i: (core[i], i))[:5] for c in (0, 1)}
+    assert sorted((r.cluster, tuple(r.exemplar)) for r in chosen.collect()) == sorted((c, tuple(points[i])) for c, own in picked.items() for i in own)
+    got = {r.uid: r for r in M.assign_exemplar(df.where("cluster = -1"), chosen).collect()}
+    for i in (50, 51, 52):                          # noise rows go to the nearest exemplar's cluster
+        far, cluster = min((float(np.linalg.norm(points[i] - points[j])), c) for c, own in picked.items() for j in own)
+        assert got[i].cluster == cluster and abs(got[i].distance - far) < 1e-9
+    assert M.assign_exemplar(df, chosen.limit(0)).where("cluster IS NOT NULL").count() == 0
