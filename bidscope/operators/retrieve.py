@@ -31,7 +31,8 @@ def _reads_only(spark: SparkSession, text: str) -> bool:
 
 
 def run_sql(spark: SparkSession, text: str, top_k: int = 10) -> DataFrame:
-    """Execute a statement that only reads, as its parsed plan says, capped
+    """Execute a statement that only reads, as its parsed plan says (which
+    needs a session in this process, not one over Spark Connect), capped
     at ``top_k`` rows (the cap is the feature: an answer preview).  Errors
     propagate as exceptions."""
     if not _reads_only(spark, text):
