@@ -12,8 +12,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassificationModel,
+                                       MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, VectorSlicer
@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from bidscope.functions.columns import dbl, log1p_clip_inverse
+from bidscope.operators.clean import split_random
 from bidscope.operators.quantiles import exact_quantiles
 from bidscope.operators.stats import dense_ids
+from bidscope.session import cut_lineage
 
 
 def class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
@@ -55,6 +57,39 @@ def mlp_amount_class(train: DataFrame, test: DataFrame, n_features: int, n_class
     return model.transform(test), model
 
 
+class EarlyStopped(NamedTuple):
+    model: MultilayerPerceptronClassificationModel
+    losses: list[float]           # on the held rows, a round each
+    best: int                     # the round whose weights were kept
+
+
+def mlp_early_stop(train: DataFrame, n_features: int, n_classes: int, hidden: Sequence[int] = (1028, 512, 256),
+                   rounds: int = 30, per_round: int = 5, patience: int = 2, share: float = 0.2,
+                   seed: int = 42, key: str = "uid") -> EarlyStopped:
+    """A network fitted in rounds of ``per_round`` iterations, each from the
+    weights of the one before.  After a round the cross-entropy of the held
+    ``share`` of the rows is taken; ``patience`` rounds without a lower one end
+    the fit, and the weights of the lowest are kept.  Without a held row (few
+    rows) the loss is that of the fitted ones."""
+    rows = cut_lineage(split_random(train.select(key, "label", "features"), share, seed + 1))
+    fitted, held = rows.filter("split = 'train'"), rows.filter("split = 'test'")
+    if held.isEmpty():
+        held = fitted
+    of_label = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
+    best, losses, weights = None, [], None
+    for number in range(rounds):
+        net = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", layers=[n_features, *hidden, n_classes],
+                                             maxIter=per_round, seed=seed, initialWeights=weights)
+        model = net.fit(fitted)
+        weights = model.weights
+        losses.append(float(model.transform(held).agg(F.avg(-F.log(F.greatest(of_label, dbl(1e-12))))).first()[0]))
+        if best is None or losses[-1] < losses[best[0]]:
+            best = (number, model)
+        elif number - best[0] >= patience:
+            break
+    return EarlyStopped(best[1], losses, best[0])
+
+
 def predict_distribution(pred: DataFrame) -> DataFrame:
     """(uid, class, probability) rows from a probability vector."""
     return pred.select("uid", F.posexplode(vector_to_array("probability")).alias("class", "probability"))

@@ -77,6 +77,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, through Spark's file system layer."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def _remove_run(spark: SparkSession, root: str) -> None:
     try:
         remove_path(spark, root)

@@ -35,7 +35,7 @@ def test_forest(spark, test_uids):
 def test_distribution(spark, test_uids):
     got = build(spark, "predict_distribution").groupBy("uid").agg(F.sum("probability").alias("s"), F.count("class").alias("n")).collect()
     # a few uids of the smallest table are there twice
-    assert sorted(r.uid for r in got) == sorted(set(test_uids)) and all(abs(r.s - r.n / 5) < 1e-6 and r.n % 5 == 0 for r in got)
+    assert sorted(r.uid for r in got) == sorted(set(test_uids)) and all(abs(r.s - r.n / 8) < 1e-6 and r.n % 8 == 0 for r in got)
 
 
 def test_boosting_learns_a_signal_and_keeps_the_split(spark, test_uids):
