@@ -18,7 +18,7 @@ from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
@@ -155,6 +155,39 @@ def grid_search(train: DataFrame, ranked: Sequence[int], counts: Sequence[int],
     return spark.createDataFrame(out, "n_features int, max_depth int, n_trees int, mdape double").orderBy("mdape", "n_features", "max_depth", "n_trees")
 
 
+class Boosted(NamedTuple):
+    model: object
+    used: list[int]               # numbers of the features it was fitted on, best first
+    trees: int                    # grown until the held rows gained no more
+
+
+def boosted_early_stop(train: DataFrame, trees: int = 500, depth: int = 30, step: float = 0.05, share: float = 0.2,
+                       seed: int = 42, features: str = "features", key: str = "uid") -> GBTRegressionModel:
+    """Boosted trees of log1p(amount), ended when the error of a held
+    ``share`` of the rows falls no more (Spark's ``validationIndicatorCol``)."""
+    rows = split_random(train.drop("split").withColumn("y", F.log1p("montant")), share, seed + 1, key)
+    return GBTRegressor(featuresCol=features, labelCol="y", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed,
+                        validationIndicatorCol="_held").fit(rows.withColumn("_held", F.col("split") == "test"))
+
+
+def refit_top_features(train: DataFrame, k: int = 27, trees: int = 500, depth: int = 30, base_trees: int = 100,
+                       base_depth: int = 6, step: float = 0.05, seed: int = 42) -> Boosted:
+    """A base model on all features ranks them; the final one is fitted on the
+    ``k`` that lower the error most (ties to the smaller number), or all if
+    there are fewer."""
+    base = boosted_early_stop(train, base_trees, base_depth, step, seed=seed)
+    weight = base.featureImportances.toArray()
+    used = sorted(range(len(weight)), key=lambda i: (-weight[i], i))[:k]
+    cut = VectorSlicer(inputCol="features", outputCol="_cut", indices=used).transform(train)
+    model = boosted_early_stop(cut, trees, depth, step, seed=seed, features="_cut")
+    return Boosted(model, used, model.getNumTrees)
+
+
+def predict_top_features(df: DataFrame, fitted: Boosted) -> DataFrame:
+    cut = VectorSlicer(inputCol="features", outputCol="_cut", indices=fitted.used).transform(df)
+    return fitted.model.transform(cut).withColumn("pred_montant", log1p_clip_inverse("prediction"))
+
+
 def permutation_importance(model, test: DataFrame, names: Sequence[str], label: str = "label", seed: int = 42) -> DataFrame:
     """Loss of accuracy on ``test`` when one feature is shuffled among the
     rows.  The shuffle joins two numberings of the rows by hashed order; all

@@ -127,6 +127,14 @@ def feature_importance(spark, sf):
         M.permutation_importance(model, te, fm.feature_names()), "feature")
 
 
+@plan("refit_top_features", None, "2.13")
+def refit_top_features(spark, sf):
+    """Amounts by boosted trees on the 27 features that a base model ranks
+    first; both stop early."""
+    tr, te, _ = _data(spark, sf)
+    return M.predict_top_features(te, M.refit_top_features(tr, depth=10)).select("uid", "montant", "pred_montant")
+
+
 def _pca(spark, sf):
     """Components fitted on the training rows; all rows on them."""
     tr, te, fm = _data(spark, sf, preset="marche_sim")

@@ -143,3 +143,16 @@ def test_communities_have_the_references_settings(spark, monkeypatch):
     monkeypatch.setattr(density, "dbscan", lambda df, cols, eps, n, **more: asked.append((len(cols), eps, n)) or run(df, cols, eps, n, **more))
     found = build(spark, "anomalous_communities").toPandas()
     assert asked == [(3, 0.5, 2)] and found.id.is_unique and len(found)
+
+
+def test_refit_uses_the_features_that_matter_and_stops_early(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 6))
+    rows = [(str(i), v.tolist(), float(np.exp(8 + 2 * v[4] - v[1] + rng.normal(0, 0.1)))) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "uid string, f array<double>, montant double").withColumn("features", array_to_vector("f"))
+    train, test = df.filter("int(uid) < 400"), df.filter("int(uid) >= 400")
+    fitted = M.refit_top_features(train, k=2, trees=60, depth=5, base_trees=10, base_depth=3, step=0.3)
+    assert fitted.used == [4, 1] and 1 <= fitted.trees < 60
+    out = M.predict_top_features(test, fitted).toPandas()
+    y, pred = np.log1p(out.montant), np.log1p(out.pred_montant)
+    assert len(out) == 100 and ((pred - y) ** 2).mean() < 0.2 * ((y.median() - y) ** 2).mean()
