@@ -48,15 +48,6 @@ def rf_amount_class(train: DataFrame, test: DataFrame, trees: int = 100, seed: i
                                         vector_to_array("probability").alias("probability")), model
 
 
-def mlp_amount_class(train: DataFrame, test: DataFrame, n_features: int, n_classes: int,
-                     hidden: Sequence[int] = (1028, 512, 256), max_iter: int = 150, seed: int = 42):
-    """Reference widths 1028-512-256 (sigmoid units in Spark's MLP, L-BFGS)."""
-    mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label",
-                                         layers=[n_features, *hidden, n_classes], maxIter=max_iter, seed=seed)
-    model = mlp.fit(train)
-    return model.transform(test), model
-
-
 class EarlyStopped(NamedTuple):
     model: MultilayerPerceptronClassificationModel
     losses: list[float]           # on the held rows, a round each
@@ -69,7 +60,8 @@ def mlp_early_stop(train: DataFrame, n_features: int, n_classes: int, hidden: Se
     """A network fitted in rounds of ``per_round`` iterations, each from the
     weights of the one before.  After a round the cross-entropy of the held
     ``share`` of the rows is taken; ``patience`` rounds without a lower one end
-    the fit, and the weights of the lowest are kept.  Without a held row (few
+    the fit, and the weights of the lowest are kept.  Sigmoid units, L-BFGS; the
+    widths are the reference's.  Without a held row (few
     rows) the loss is that of the fitted ones."""
     rows = cut_lineage(split_random(train.select(key, "label", "features"), share, seed + 1))
     fitted, held = rows.filter("split = 'train'"), rows.filter("split = 'test'")
