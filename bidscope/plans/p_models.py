@@ -135,6 +135,12 @@ def refit_top_features(spark, sf):
     return M.predict_top_features(te, M.refit_top_features(tr, depth=10)).select("uid", "montant", "pred_montant")
 
 
+@plan("random_search", None, "2.13")
+def random_search(spark, sf):
+    """Twenty draws of boosted trees over three folds."""
+    return M.random_search(_data(spark, sf)[0])
+
+
 def _pca(spark, sf):
     """Components fitted on the training rows; all rows on them."""
     tr, te, fm = _data(spark, sf, preset="marche_sim")

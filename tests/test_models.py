@@ -156,3 +156,15 @@ def test_refit_uses_the_features_that_matter_and_stops_early(spark):
     out = M.predict_top_features(test, fitted).toPandas()
     y, pred = np.log1p(out.montant), np.log1p(out.pred_montant)
     assert len(out) == 100 and ((pred - y) ** 2).mean() < 0.2 * ((y.median() - y) ** 2).mean()
+
+
+def test_random_search_ranks_what_it_drew(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(240, 2))
+    rows = [(str(i), v.tolist(), float(np.exp(5 + v[0]))) for i, v in enumerate(x)] + [("none", [0.0, 0.0], None)]
+    df = spark.createDataFrame(rows, "uid string, f array<double>, montant double").withColumn("features", array_to_vector("f"))
+    over = {"trees": (1, 12), "depth": (1, 4), "step": (0.3,)}
+    got = M.random_search(df, draws=20, folds=2, searched=over).toPandas()
+    assert len(got) == 4 and sorted(got.draw) == [0, 1, 2, 3] and got.mae.is_monotonic_increasing
+    assert (got.grown <= got.trees).all() and (got.iloc[0].trees, got.iloc[0].depth) == (12, 4)
+    assert set(zip(got.trees, got.depth)) == {(1, 1), (1, 4), (12, 1), (12, 4)}
