@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from bidscope.functions.columns import dbl, md5_key, md5_uniform, parse_date
 from bidscope.operators.flags import RULES
-from bidscope.operators.quantiles import hash_rank_value, k_smallest_per_group, take_smallest
+from bidscope.operators.quantiles import HASHES, hash_bound, hash_rank_value, k_smallest_per_group, take_smallest
+from bidscope.session import stage
 from bidscope.sources.tables import COMPETITIVE_PROCEDURES, NON_COMPETITIVE_PROCEDURES
 
 TYPES = list(RULES)                      # fixed code table: 1-based position
@@ -76,29 +77,32 @@ def _cat_stats(df: DataFrame, p: InjectParams) -> DataFrame:
 
 
 # ---------------------------------------------------------------- row types
-# Each row type is (eligible rows, new values).  All requested row types are
-# stacked into one table keyed by type and selected with a single grouped
-# ``take_smallest`` (one order-statistics pass for all of them).
-def _eligible(df: DataFrame, t: str, p: InjectParams) -> DataFrame:
+# A row type is a condition and new values.  Two passes serve all requested
+# types: one counts the eligible rows of each, which bounds the hash of the
+# rows it can take; the next keeps only (row, type) pairs below their bound.
+# What is left, little more than the rows taken, is cut exactly.
+def _conditions(p: InjectParams) -> dict[str, Column]:
+    """Per type whether a row is eligible; ``_cm`` and ``_cs`` are its category's."""
     a, d = F.col(p.amount), F.col(p.duration)
-    nul = F.lit(None).cast("double")
-    if t == "single_bid_competitive":
-        e = df.filter(F.col("procedure").isin(*COMPETITIVE_PROCEDURES) & (F.col("offresRecues") > 1))
-        return e.select(p.key, a, d, nul.alias("_thr"), nul.alias("_cm"))
-    if t in ("price_inflation", "price_deflation"):
-        e = df.filter(a.isNotNull() & (a > 0)).join(_cat_stats(df, p), p.category)
-        if t == "price_inflation":
-            thr = F.col("_cm") + dbl(3) * F.col("_cs")
-            e = e.filter(a < thr)
-        else:
-            thr = F.greatest(F.col("_cm") - dbl(3) * F.col("_cs"), dbl(0))
-            e = e.filter(a > thr)
-        return e.select(p.key, a, d, thr.alias("_thr"), F.col("_cm"))
-    cond = {"procedure_manipulation": F.col("procedure").isin(*COMPETITIVE_PROCEDURES),
-            "suspicious_modifications": (d > 0) & (d < 36),
-            "excessive_subcontracting": F.col("sousTraitanceDeclaree") == 0,
-            "short_contract_duration": d > 1}[t]
-    return df.filter(cond).select(p.key, a, d, nul.alias("_thr"), nul.alias("_cm"))
+    competitive = F.col("procedure").isin(*COMPETITIVE_PROCEDURES)
+    conditions = {
+        "single_bid_competitive": competitive & (F.col("offresRecues") > 1),
+        "price_inflation": (a > 0) & (a < _threshold("price_inflation")),
+        "price_deflation": (a > 0) & (a > _threshold("price_deflation")),
+        "procedure_manipulation": competitive,
+        "suspicious_modifications": (d > 0) & (d < 36),
+        "excessive_subcontracting": F.col("sousTraitanceDeclaree") == 0,
+        "short_contract_duration": d > 1,
+    }
+    return {t: F.coalesce(c, F.lit(False)) for t, c in conditions.items()}
+
+
+def _threshold(t: str) -> Column:
+    if t == "price_inflation":
+        return F.col("_cm") + dbl(3) * F.col("_cs")
+    if t == "price_deflation":          # no value (not 0) without statistics
+        return F.when(F.col("_cm").isNotNull(), F.greatest(F.col("_cm") - dbl(3) * F.col("_cs"), dbl(0)))
+    return F.lit(None).cast("double")
 
 
 ROW_TYPES = ["single_bid_competitive", "price_inflation", "price_deflation", "procedure_manipulation",
@@ -129,12 +133,29 @@ def _row_new_values(p: InjectParams) -> dict[str, Column]:
 
 
 def row_candidates(df: DataFrame, n: DataFrame, p: InjectParams, types: Sequence[str]) -> DataFrame:
-    frames = [_eligible(df, t, p).withColumn("anomaly_type", F.lit(t))
-                                 .withColumn("_h", _h(p.key, p=p, salt=t)) for t in types]
-    stacked = frames[0]
-    for f in frames[1:]:
-        stacked = stacked.unionByName(f)
-    sel = take_smallest(stacked.crossJoin(F.broadcast(n)), "_h", F.col("_n"), ["anomaly_type"], hashes=True)  # n: one row
+    if {"price_inflation", "price_deflation"} & set(types):
+        d = df.join(_cat_stats(df, p), p.category, "left")
+    else:
+        d = df.withColumns({"_cm": F.lit(None).cast("double"), "_cs": F.lit(None).cast("double")})
+    eligible = _conditions(p)
+    sizes = d.agg(*[F.count_if(eligible[t]).alias(f"_size_{t}") for t in types]).crossJoin(F.broadcast(n))
+    bounds = stage(sizes.select("_n", *[c for t in types for c in (
+        F.col(f"_size_{t}"), hash_bound(F.col("_n"), F.col(f"_size_{t}")).alias(f"_bound_{t}"))]), "bounds")
+    pairs = []
+    for t in types:
+        h = _h(p.key, p=p, salt=t)
+        pairs.append(F.when(eligible[t] & (h <= F.col(f"_bound_{t}")), F.struct(
+            F.lit(t).alias("anomaly_type"), (h * (HASHES / F.least(F.col(f"_bound_{t}"), F.lit(HASHES)))).alias("_h"),
+            _threshold(t).alias("_thr"),
+            F.least("_n", f"_size_{t}").alias("_want"))))
+    near = d.crossJoin(F.broadcast(bounds)).select(          # bounds: one row
+        p.key, p.amount, p.duration, "_cm", F.explode(F.array_compact(F.array(*pairs))).alias("_p"))
+    near = stage(near.select(p.key, p.amount, p.duration, "_cm", "_p.*"), "near")
+    short = near.groupBy("anomaly_type").agg(F.count(F.lit(1)).alias("_near"), F.first("_want").alias("_want"))
+    if short.filter("_near < _want").first():
+        raise RuntimeError("fewer rows below a hash bound than are to be taken")
+    # stretched by its bound, a hash is uniform again
+    sel = take_smallest(near, "_h", F.col("_want"), ["anomaly_type"], hashes=True)
     codes = F.create_map(*[x for t in types for x in (F.lit(t), F.lit(TYPE_CODE[t]))])
     newv = _row_new_values(p)
     cols = [F.col(p.key), F.col("anomaly_type"), codes[F.col("anomaly_type")].alias("type_code"),
@@ -254,7 +275,6 @@ def materialize(df: DataFrame) -> DataFrame:
     input some thirty times; writing it once (and cutting the lineage, so a
     lost executor re-reads files instead of recomputing the joins) is cheaper
     than recomputing the contract view for each read."""
-    from bidscope.session import stage
     return stage(df, "inject")
 
 

@@ -122,14 +122,25 @@ def order_statistics(values: DataFrame, x: str, targets: DataFrame, group_cols:
     return order_statistics(inside, "_x", closer, [*g, "_g"], accuracy, grid).select(*g, F.col("_g").alias("_t"), "value")
 
 
+def _hash_share(pos: Column, n: Column) -> tuple[Column, Column]:
+    share = (pos + 0.5) / n
+    return share, DEVIATIONS * F.sqrt(share * (1 - share) / n) + 4 * DEVIATIONS / n
+
+
+def hash_bound(k: Column, n: Column) -> Column:
+    """A value that the ``k`` smallest of ``n`` hashes do not exceed, but for
+    a chance near 1e-15; infinite if all are wanted."""
+    share, width = _hash_share(k - 1, n)
+    return F.when(k < n, (share + width) * HASHES).otherwise(F.lit(float("inf")))
+
+
 def hash_statistics(values: DataFrame, h: str, targets: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """``order_statistics`` of uniform hashes (``hash_rank_value``) at whole
     positions: ``targets`` are rows (group_cols..., _t, _pos, _n) with the
     group's row count ``_n``.  No sketch: a rank is as many deviations from
     its mean as ``DEVIATIONS`` at most, with a chance of failure near 1e-15."""
     g = list(group_cols)
-    share = (F.col("_pos") + 0.5) / F.col("_n")
-    width = DEVIATIONS * F.sqrt(share * (1 - share) / F.col("_n")) + 4 * DEVIATIONS / F.col("_n")
+    share, width = _hash_share(F.col("_pos"), F.col("_n"))
     t = _ranks(targets.select(*g, "_t", "_pos", ((share - width) * HASHES).alias("_lo"), ((share + width) * HASHES).alias("_hi")))
     return _pick(values.select(*g, F.col(h).cast("double").alias("_x")), stage(t.drop("_pos"), "brackets"), g)
 
