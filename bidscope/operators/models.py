@@ -16,6 +16,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassificationModel,
                                        MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.clustering import GaussianMixture, KMeans
@@ -31,6 +32,7 @@ from pyspark.sql.types import DoubleType
 
 from bidscope.functions.columns import dbl, log1p_clip_inverse
 from bidscope.operators.clean import split_random
+from bidscope.operators.mlstages import ContractPipeline
 from bidscope.operators.quantiles import exact_quantiles
 from bidscope.operators.stats import dense_ids
 from bidscope.session import cut_lineage
@@ -114,12 +116,14 @@ def linear_amount_reg(train: DataFrame, test: DataFrame, reg: float = 0.8, elast
     return model.transform(test), model
 
 
-def cross_validate(train: DataFrame, folds: int = 5, seed: int = 42, parallelism: int = 4):
-    """Grid over regParam × elasticNetParam, k-fold CV on RMSE of log1p(amount)."""
-    tr = train.withColumn("y", F.log1p("montant"))
-    lr = LinearRegression(featuresCol="features", labelCol="y")
+def cross_validate(train: DataFrame, features: Estimator, folds: int = 5, seed: int = 42, parallelism: int = 4):
+    """Grid over regParam × elasticNetParam, k-fold CV on RMSE of log1p(amount)
+    for rows that have an amount.  ``features`` is fitted on the training rows
+    of each fold, so that no held row tells a median, scale or level."""
+    tr = cut_lineage(train.withColumn("y", F.log1p("montant")).where("y IS NOT NULL"))
+    lr = LinearRegression(featuresCol=features.getOutputCol(), labelCol="y")
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1, 0.8]).addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=folds, seed=seed, parallelism=parallelism,
+    cv = CrossValidator(estimator=ContractPipeline(stages=[features, lr]), estimatorParamMaps=grid, numFolds=folds, seed=seed, parallelism=parallelism,
                         evaluator=RegressionEvaluator(labelCol="y", metricName="rmse"))
     m = cv.fit(tr)
     rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(v))

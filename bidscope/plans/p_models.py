@@ -14,6 +14,7 @@ from bidscope.operators import clean as C
 from bidscope.operators import features as FE
 from bidscope.operators import models as M
 from bidscope.operators import stats as ST
+from bidscope.operators.mlstages import ContractFeatures
 from bidscope.operators.quantiles import exact_quantiles, k_smallest_per_group
 from bidscope.functions.columns import md5_key
 from bidscope.operators.quantiles import hash_rank_value
@@ -104,8 +105,9 @@ def linear_amount_elastic(spark, sf):
 
 @plan("cross_validate", None, "2.13")
 def cross_validate(spark, sf):
-    tr, _, _ = _data(spark, sf)
-    return M.cross_validate(tr, folds=5)[0]
+    """Contracts go in raw: every fold fits its own features."""
+    tr = C.split_random(FE.prepare(contracts(spark, sf)), 0.2, 42).filter("split = 'train'")
+    return M.cross_validate(tr, ContractFeatures.preset("pred_montant"), folds=5)[0]
 
 
 @plan("grid_search", None, "2.13")
