@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bidscope.session import stage
+
+
 def cpv_anti(df: DataFrame, cpv: DataFrame, col: str = "codeCPV") -> DataFrame:
     """Distinct codes of ``df`` absent from the list."""
     codes = df.select(col).filter(F.col(col).isNotNull()).distinct()
@@ -19,13 +22,17 @@ def cpv_semi(df: DataFrame, cpv: DataFrame, col: str = "codeCPV") -> DataFrame:
     return codes.join(cpv.select(F.col("CODE").alias(col)), col, "left_semi")
 
 
-def code_prefixes(cpv: DataFrame, order: str = "CODE") -> DataFrame:
+def code_prefixes(cpv: DataFrame, order: str = "CODE", lengths: DataFrame | None = None) -> DataFrame:
     """(prefix, CODE, place) for every prefix of every list code: turns the
     ``startswith`` theta join into an equi join on ``prefix``.  ``place`` is
-    the code's place in the list, by the column ``order``."""
-    lens = F.sequence(F.lit(1), F.length("CODE"))
-    return cpv.filter(F.length("CODE") > 0).select("CODE", F.col(order).alias("place"), F.explode(lens).alias("_len")) \
-              .select(F.expr("substring(CODE, 1, _len)").alias("prefix"), "CODE", "place")
+    the code's place in the list, by the column ``order``; ``lengths`` (rows
+    _len) keeps to prefixes of these lengths."""
+    listed = cpv.filter(F.length("CODE") > 0).select("CODE", F.col(order).alias("place"))
+    if lengths is None:
+        made = listed.withColumn("_len", F.explode(F.sequence(F.lit(1), F.length("CODE"))))
+    else:
+        made = listed.crossJoin(F.broadcast(lengths)).filter((F.col("_len") > 0) & (F.col("_len") <= F.length("CODE")))
+    return made.select(F.expr("substring(CODE, 1, _len)").alias("prefix"), "CODE", "place")
 
 
 def cpv_prefix_match(missing: DataFrame, cpv: DataFrame, col: str = "codeCPV", order: str = "CODE") -> DataFrame:
@@ -33,20 +40,32 @@ def cpv_prefix_match(missing: DataFrame, cpv: DataFrame, col: str = "codeCPV", o
     (``new_CPV``, null when none) and how many list codes start with it
     (``count_similar``).  ``order`` is the column that says a code's place in
     the list: a list read from a file carries its line number, a list that is
-    kept in code order needs none."""
-    pref = code_prefixes(cpv, order)
-    j = missing.select(col).distinct().join(pref, F.col(col) == F.col("prefix"), "left")
-    return j.groupBy(col).agg(F.count("CODE").alias("count_similar"), F.min_by("CODE", F.struct("place", "CODE")).alias("new_CPV"))
+    kept in code order needs none.
+
+    Only prefixes as long as some missing code are made, and they are counted
+    before the join: one row per prefix, of a size that is known by then."""
+    missing = missing.select(col).distinct()
+    lengths = missing.select(F.length(col).alias("_len")).distinct()        # at most as many as a code has characters
+    pref = code_prefixes(cpv, order, lengths).groupBy("prefix").agg(
+        F.count("CODE").alias("count_similar"), F.min_by("CODE", F.struct("place", "CODE")).alias("new_CPV"))
+    j = missing.join(pref, F.col(col) == F.col("prefix"), "left")
+    return j.select(col, F.coalesce("count_similar", F.lit(0).cast("long")).alias("count_similar"), "new_CPV")
 
 
 def cpv_mapping(df: DataFrame, cpv: DataFrame, col: str = "codeCPV", order: str = "CODE") -> DataFrame:
     """code → description: exact matches ∪ prefix matches of missing codes.
-    A code that the list has twice keeps its first description."""
+    A code that the list has twice keeps its first description.
+
+    ``df`` is read once, for its distinct codes.  Codes and list may both have
+    a row per article: the joins' lookup sides come out of a shuffle, so that
+    they are broadcast by their measured size, not by that of a packed file."""
     cpv = cpv.groupBy("CODE").agg(F.min(F.struct(F.col(order).alias("place"), "FR")).alias("_first")) \
              .select("CODE", F.col("_first.place").alias("place"), F.col("_first.FR").alias("FR"))
-    exact = cpv_semi(df, cpv, col).join(cpv.select(F.col("CODE").alias(col), "FR"), col) \
-        .select(col, F.col("FR").alias("codeCPV_FR"))
-    pm = cpv_prefix_match(cpv_anti(df, cpv, col), cpv, col, "place")
+    codes = df.select(col).filter(F.col(col).isNotNull()).distinct()
+    known = cpv.select(F.col("CODE").alias(col), "FR", F.lit(True).alias("_known"))
+    told = stage(codes.join(known, col, "left"), "codes")
+    exact = told.filter("_known").select(col, F.col("FR").alias("codeCPV_FR"))
+    pm = cpv_prefix_match(told.filter("_known IS NULL"), cpv, col, "place")
     prefix = pm.join(cpv.select(F.col("CODE").alias("new_CPV"), "FR"), "new_CPV", "left") \
         .select(col, F.col("FR").alias("codeCPV_FR"))
     return exact.unionByName(prefix)
@@ -54,7 +73,8 @@ def cpv_mapping(df: DataFrame, cpv: DataFrame, col: str = "codeCPV", order: str
 
 def cpv_description(df: DataFrame, cpv: DataFrame, col: str = "codeCPV", order: str = "CODE") -> DataFrame:
     """Adds ``codeCPV_FR`` (left join: rows without a code keep a null)."""
-    return df.join(cpv_mapping(df, cpv, col, order), col, "left")
+    mapping = cpv_mapping(df, cpv, col, order).repartition(col)      # measured before it may be broadcast
+    return df.join(mapping, col, "left")
 
 
 def enrich_registry(df: DataFrame, registry: DataFrame, buyer_key: str = "acheteur_siren",

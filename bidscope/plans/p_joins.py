@@ -9,6 +9,7 @@ from bidscope.operators import flags as FL
 from bidscope.operators import stats as ST
 from bidscope.plans.oracle import CPV_CODES_SELECT, REGISTRY_SELECT, with_contracts
 from bidscope.plans.registry import plan
+from bidscope.session import stage
 from bidscope.sources.tables import contracts, cpv_codes, registry
 
 # Contract codes as they arrive in the raw table: codes with check digit 3 are
@@ -64,7 +65,8 @@ def union_mappings(spark, sf):
     "SELECT d.uid, d.codeCPV, mapping.codeCPV_FR FROM dirty d LEFT JOIN mapping USING (codeCPV)",
     CPV_CTES + ",\n" + PREFIX_SQL + ",\n" + MAPPING_SQL), "2.3")
 def cpv_description(spark, sf):
-    return E.cpv_description(dirty_codes(spark, sf), cpv_codes(spark, sf))
+    # read for its codes and for its rows: written once
+    return E.cpv_description(stage(dirty_codes(spark, sf), "codes"), cpv_codes(spark, sf))
 
 
 @plan("enrich_registry", with_contracts("""
