@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from bidscope.functions.columns import dbl
 from bidscope.operators.quantiles import exact_quantile_row
 from bidscope.operators.stats import dense_ids
-from bidscope.session import cut_lineage
+from bidscope.session import cut_lineage, stage
 
 BUYER, SUPPLIER = 0, 1
 
@@ -140,9 +140,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ scores
-def threshold_flag(scores: DataFrame, col: str, p: float) -> DataFrame:
+def threshold_flag(scores: DataFrame, col: str, p: float, written: bool = False) -> DataFrame:
     """threshold = exact percentile(col, 100 − p); flag = value > threshold.
-    NaN/null scores are excluded from the percentile and never flagged."""
+    NaN/null scores are excluded from the percentile and never flagged.
+
+    The percentile takes two passes and the flag a third.  A score that comes
+    out of a sum may end in another digit each time it is made, so scores are
+    written first, unless the caller says that they are ``written`` values or
+    row-by-row functions of such."""
+    if not written:
+        scores = stage(scores, "scores")
     x = F.col(col)
     valid = scores.filter(x.isNotNull() & ~F.isnan(x))
     thr = exact_quantile_row(valid, col, [(100.0 - p) / 100.0], ["threshold"])

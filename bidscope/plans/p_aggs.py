@@ -9,7 +9,8 @@ from bidscope.operators import flags as FL
 from bidscope.operators import stats as ST
 from bidscope.plans.oracle import cpv_level_sql, with_contracts
 from bidscope.plans.registry import plan
-from bidscope.sources.tables import contracts
+from bidscope.session import stage
+from bidscope.sources.tables import contracts, contracts_staged
 
 NUMS = ["montant", "dureeMois", "offresRecues", "tauxAvance"]
 
@@ -112,7 +113,7 @@ def percentile_exact(spark, sf):
     "2.4")
 def median_exact(spark, sf):
     from bidscope.operators.quantiles import exact_quantile_row
-    c = contracts(spark, sf)
+    c = contracts_staged(spark, sf, ["montant", "dureeMois"])        # two passes for each column
     a = exact_quantile_row(c, "montant", [0.5], ["median_montant"])
     b = exact_quantile_row(c, "dureeMois", [0.5], ["median_duree"])
     return a.crossJoin(b).select(F.round("median_montant", 6).alias("median_montant"),
@@ -220,8 +221,9 @@ CLUSTER_CTE = ("cl AS (SELECT " + cpv_level_sql("codeCPV", 2) + " AS cluster, "
 
 
 def _profile(spark, sf):
-    c = contracts(spark, sf).select(cpv_level("codeCPV", 2).alias("cluster"), cpv_level("codeCPV", 4).alias("cpv4"),
-                                    "montant", "dureeMois")
+    # every figure of the profile is a pass of its own
+    c = stage(contracts(spark, sf).select(cpv_level("codeCPV", 2).alias("cluster"), cpv_level("codeCPV", 4).alias("cpv4"),
+                                          "montant", "dureeMois"), "profile")
     p = ST.cluster_profile(c, "cluster", "cpv4", "montant", "dureeMois", 20)
     r = F.round
     return p.select("cluster", "size", r("pct_total", 6).alias("pct_total"), "top_cpv",

@@ -14,6 +14,7 @@ from bidscope.operators.quantiles import exact_quantile_row, exact_quantiles
 from bidscope.plans import p_inject as PI
 from bidscope.plans.oracle import with_contracts
 from bidscope.plans.registry import plan
+from bidscope.session import stage
 from bidscope.sources.tables import contracts, contracts_staged
 
 U42 = "(CAST(('0x' || substr(md5(uid || ':' || '42'), 1, 7)) AS BIGINT) / CAST(268435456 AS DOUBLE))"
@@ -126,13 +127,14 @@ ZSQL = """st AS (SELECT categorie, avg(montant) AS m, stddev_samp(montant) AS sd
 
 
 def _scored(spark, sf):
-    c = contracts(spark, sf)
-    st = c.filter(F.col("montant").isNotNull()).groupBy("categorie").agg(
-        F.avg("montant").alias("_m"), F.stddev_samp("montant").alias("_sd"), F.count(F.lit(1)).alias("_n"))
+    c = contracts_staged(spark, sf, ["categorie", "montant"])
+    # written: a score is the same at every pass over it
+    st = stage(c.filter(F.col("montant").isNotNull()).groupBy("categorie").agg(
+        F.avg("montant").alias("_m"), F.stddev_samp("montant").alias("_sd"), F.count(F.lit(1)).alias("_n")), "category-stats")
     j = c.join(st, "categorie")
     lab = F.coalesce((F.col("_n") >= 200) & (F.col("_sd") > 0) & (F.col("montant") > F.col("_m") + 3 * F.col("_sd")),
                      F.lit(False)).cast("int")
-    return j.select("uid", (F.abs(F.col("montant") - F.col("_m")) / F.col("_sd")).alias("z"), lab.alias("label"))
+    return j.select((F.abs(F.col("montant") - F.col("_m")) / F.col("_sd")).alias("z"), lab.alias("label"))
 
 
 @plan("roc_auc", with_contracts("""

@@ -12,7 +12,7 @@ from bidscope.operators import graph as G
 from bidscope.operators import states as S
 from bidscope.plans.oracle import cpv_level_sql, with_contracts
 from bidscope.plans.registry import plan
-from bidscope.session import scratch_path
+from bidscope.session import scratch_path, stage
 from bidscope.sources.tables import contracts, contracts_staged
 
 FEATS = ["montant", "dureeMois", "offresRecues"]
@@ -53,8 +53,8 @@ def _c(spark, sf):
     return contracts(spark, sf)
 
 
-def _graph(spark, sf):
-    c = contracts_staged(spark, sf)
+def _graph(spark, sf, columns=()):
+    c = contracts_staged(spark, sf, ["uid", "acheteur_id", "titulaire_id", *columns])
     nodes, edges = G.build_graph(c)
     return c, nodes, edges
 
@@ -140,7 +140,7 @@ SELECT id, CAST(pos - 1 AS INTEGER) AS pos, round(sign(v) * ln(1 + abs(v)), 6) A
 def message_pass(spark, sf):
     """Three rounds of states of contracts and entities, own states kept
     beside the messages, not projected; by sign and logarithm."""
-    c, nodes, edges = _graph(spark, sf)
+    c, nodes, edges = _graph(spark, sf, ["montant"])
     counts = G.node_features(c, [], []).join(nodes, ["entity", "node_type"])
     start = counts.select("id", F.array(F.log1p(F.col("num_contracts").cast("double"))).alias("h"))
     amounts = c.select("uid", F.array(F.log1p(F.coalesce("montant", F.lit(0.0)))).alias("h"))
@@ -150,7 +150,8 @@ def message_pass(spark, sf):
 
 
 def _edge_scores(c):
-    st = c.groupBy("categorie").agg(F.avg("montant").alias("_m"), F.stddev_samp("montant").alias("_sd"))
+    """Functions of a row and of written statistics: the same at every pass."""
+    st = stage(c.groupBy("categorie").agg(F.avg("montant").alias("_m"), F.stddev_samp("montant").alias("_sd")), "category-stats")
     return c.join(st, "categorie").withColumn("z", F.abs(F.col("montant") - F.col("_m")) / F.col("_sd"))
 
 
@@ -166,7 +167,8 @@ SELECT uid, round(z, 6) AS error, round(t.thr, 6) AS threshold, coalesce(z > t.t
 FROM ez, (SELECT quantile_cont(z, 0.95) AS thr FROM ez WHERE z IS NOT NULL AND NOT isnan(z)) t""", EDGE_SCORE),
     "2.12")
 def threshold_flag(spark, sf):
-    s = G.threshold_flag(_edge_scores(_c(spark, sf)), "z", 5.0)
+    c = contracts_staged(spark, sf, ["uid", "categorie", "montant"])
+    s = G.threshold_flag(_edge_scores(c), "z", 5.0, written=True)
     return s.select("uid", F.round("z", 6).alias("error"), F.round("threshold", 6).alias("threshold"), "is_anomaly")
 
 
@@ -176,7 +178,7 @@ SELECT count(*) AS n, count(*) FILTER (WHERE isnan(z)) AS n_nan, count(*) FILTER
        round(max(z) FILTER (WHERE isfinite(z)), 6) AS max, round(avg(z) FILTER (WHERE isfinite(z)), 6) AS mean,
        round(stddev_pop(z) FILTER (WHERE isfinite(z)), 6) AS std FROM ez""", EDGE_SCORE), "2.12")
 def score_diagnostics(spark, sf):
-    d = G.score_diagnostics(_edge_scores(_c(spark, sf)), "z")
+    d = G.score_diagnostics(_edge_scores(contracts_staged(spark, sf, ["categorie", "montant"])), "z")
     return d.select("n", "n_nan", "n_inf", "n_finite", *[F.round(c, 6).alias(c) for c in ("min", "max", "mean", "std")])
 
 
@@ -211,8 +213,9 @@ SELECT c.uid, round(z, 6) AS error, coalesce(z > t.thr, false) AS is_anomaly, c.
        c.montant, {cpv_level_sql('c.codeCPV', 3)} AS codeCPV_3, c.procedure, c.dateNotification
 FROM contracts c JOIN ez USING (uid), (SELECT quantile_cont(z, 0.95) AS thr FROM ez) t""", EDGE_SCORE), "2.12")
 def edge_results(spark, sf):
-    c = _c(spark, sf)
-    s = G.threshold_flag(_edge_scores(c), "z", 5.0)
+    c = contracts_staged(spark, sf, ["uid", "categorie", "acheteur_id", "titulaire_id", "montant", "codeCPV", "procedure",
+                                     "dateNotification"])
+    s = G.threshold_flag(_edge_scores(c), "z", 5.0, written=True)
     return s.select("uid", F.round("z", 6).alias("error"), "is_anomaly", "acheteur_id", "titulaire_id", "montant",
                     cpv_level("codeCPV", 3).alias("codeCPV_3"), "procedure", "dateNotification")
 

@@ -1,6 +1,11 @@
 """Queries read what they share once, from a written table."""
 
+import time
+
+from pyspark.sql import functions as F
+
 from bidscope.operators import enrich as E
+from bidscope.operators import graph as G
 
 
 def test_mapping_reads_its_rows_once_and_makes_needed_prefixes_only(spark, tmp_path):
@@ -16,3 +21,14 @@ def test_mapping_reads_its_rows_once_and_makes_needed_prefixes_only(spark, tmp_p
     assert sorted(r.prefix for r in E.code_prefixes(cpv, lengths=lengths).collect()) == ["45", "45", "45000000-7", "45001111-1", "46"]
     described = sorted(E.cpv_description(df, cpv).collect(), key=str)
     assert len(described) == 5 and sum(r.codeCPV_FR == "a" for r in described) == 3
+
+
+def test_scores_are_made_once_for_threshold_and_flag(spark):
+    """A score that is another one at every pass: the flag is still the one of its own threshold."""
+    @F.udf("double")
+    def now(_):
+        return time.time()
+    scores = spark.range(400, numPartitions=2).withColumn("err", now.asNondeterministic()("id"))
+    flagged = G.threshold_flag(scores, "err", 5.0).toPandas()
+    assert (flagged.is_anomaly == (flagged.err > flagged.threshold)).all()
+    assert 1 <= flagged.is_anomaly.sum() <= 20
