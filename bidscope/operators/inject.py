@@ -183,8 +183,9 @@ short_contract_duration = _row_generator("short_contract_duration")
 
 # ---------------------------------------------------------------- group types
 def _take_groups(groups: DataFrame, keys: Sequence[str], t: str, n_groups: Column, p: InjectParams) -> DataFrame:
-    g = groups.withColumn("_gh", _h(*keys, p=p, salt=t + ":g")).withColumn("_gn", n_groups)
-    return take_smallest(g, "_gh", F.col("_gn"), hashes=True).drop("_gh", "_gn")
+    # the eligible groups are read three times, the taken ones by every step that follows
+    g = stage(groups.withColumn("_gh", _h(*keys, p=p, salt=t + ":g")).withColumn("_gn", n_groups), "groups")
+    return stage(take_smallest(g, "_gh", F.col("_gn"), hashes=True).drop("_gh", "_gn"), "taken-groups")
 
 
 def _take_in_group(rows: DataFrame, keys: Sequence[str], t: str, k: int, p: InjectParams) -> DataFrame:
@@ -203,12 +204,11 @@ def high_market_concentration(df, n, p):
     grp = base.groupBy(b, c).agg(F.count(F.lit(1)).alias("_gsize"), F.count_distinct(s).alias("_gsup")) \
               .filter((F.col("_gsize") >= 3) & (F.col("_gsup") > 1))
     chosen = _take_groups(grp.crossJoin(F.broadcast(n)), [b, c], t, (F.col("_n") / 3).cast("bigint"), p)
+    rows = stage(base.select(p.key, b, c, s).join(chosen.select(b, c), [b, c], "left_semi"), "rows-of-groups")
     # dominant supplier: the group's supplier with the smallest hash
-    sup = base.select(b, c, s).filter(F.col(s).isNotNull()).distinct() \
-              .join(chosen.select(b, c), [b, c], "left_semi") \
+    sup = rows.select(b, c, s).filter(F.col(s).isNotNull()).distinct() \
               .withColumn("_sh", _h(b, c, s, p=p, salt=t + ":s")) \
               .groupBy(b, c).agg(F.min_by(s, "_sh").alias("_dominant"))
-    rows = base.join(chosen.select(b, c), [b, c], "left_semi")
     top = _take_in_group(rows, [b, c], t, 3, p).join(sup, [b, c])
     return _shape(top, t, p, titulaire_id=F.col("_dominant"))
 
@@ -223,7 +223,7 @@ def temporal_clustering(df, n, p):
     grp = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gsize")).filter(F.col("_gsize") >= 2)
     chosen = _take_groups(grp.crossJoin(F.broadcast(n)), keys, t,
                           F.greatest(F.lit(1), (F.col("_n") / 4).cast("bigint")), p)
-    rows = base.join(chosen.select(*keys, "_gsize"), keys)
+    rows = base.select(p.key, *keys).join(chosen.select(*keys, "_gsize"), keys)
     top = _take_in_group(rows, keys, t, 4, p)
     # slots 0..3 cycle over the (≤ 4) templates: slot s uses rank s % size
     m = F.least(F.col("_gsize"), F.lit(4))
@@ -240,8 +240,8 @@ def temporal_clustering(df, n, p):
 def suspicious_buyer_supplier_pairs(df, n, p):
     t = "suspicious_buyer_supplier_pairs"
     b, s, a = p.buyer, p.supplier, p.amount
-    pt = df.filter(F.col(b).isNotNull() & F.col(s).isNotNull()).groupBy(b, s).agg(
-        F.coalesce(F.sum(a), dbl(0)).alias("_psum"), F.count(a).alias("_pcnt"))
+    pt = stage(df.filter(F.col(b).isNotNull() & F.col(s).isNotNull()).groupBy(b, s).agg(
+        F.coalesce(F.sum(a), dbl(0)).alias("_psum"), F.count(a).alias("_pcnt")), "pairs")
     st = pt.agg(F.avg("_psum").alias("_pm"), F.stddev_samp("_psum").alias("_ps"))   # one row
     thr = F.col("_pm") + dbl(2) * F.col("_ps")
     elig = pt.crossJoin(F.broadcast(st)).filter(
@@ -250,7 +250,7 @@ def suspicious_buyer_supplier_pairs(df, n, p):
     chosen = _take_groups(elig.crossJoin(F.broadcast(n)), [b, s], t, (F.col("_n") / 2).cast("bigint"), p)
     factor = F.col("_thr") * (dbl(1.1) + _u(b, s, p=p, salt=t + ":f") * dbl(0.3)) / F.col("_psum")
     chosen = chosen.select(b, s, factor.alias("_factor"))
-    rows = df.join(chosen, [b, s])
+    rows = df.select(p.key, b, s, a).join(chosen, [b, s])
     top = _take_in_group(rows, [b, s], t, 2, p)
     amt = F.col(a)
     return _shape(top, t, p, montant=F.when(amt.isNotNull() & (amt > 0), amt * F.col("_factor")))
@@ -302,8 +302,14 @@ def _resolve(cands: DataFrame, types: Sequence[str], p: InjectParams) -> DataFra
             .select(p.key, "_w.*")
 
 
+def inputs(p: InjectParams = InjectParams()) -> list[str]:
+    """The columns that the types read or change."""
+    return list(dict.fromkeys([p.key, p.buyer, p.supplier, p.category, p.amount, p.duration, p.date, *NEW_COLS]))
+
+
 def inject_replace(df: DataFrame, types: Sequence[str] = TYPES, p: InjectParams = InjectParams()) -> DataFrame:
-    """Same rows; templates overwritten in place; labels added."""
+    """Same rows; templates overwritten in place; labels added.  Who reads the
+    result more than once writes the columns that it reads."""
     df = materialize(df)
     win = _resolve(candidates(df, types, p, materialized=True), types, p)
     j = df.join(win, p.key, "left")
@@ -311,9 +317,7 @@ def inject_replace(df: DataFrame, types: Sequence[str] = TYPES, p: InjectParams
                 .otherwise(F.col(k)) for k in NEW_COLS if k in df.columns}
     out = j.withColumns(sets).withColumn("is_synthetic_anomaly", F.coalesce("type_code", F.lit(0))) \
            .drop("type_code", *[f"new_{k}" for k in NEW_COLS])
-    # the labelled table feeds several consumers (detector statistics,
-    # thresholds, evaluation): write it once instead of re-deriving it
-    return materialize(out)
+    return out
 
 
 def inject_append(df: DataFrame, types: Sequence[str] = TYPES, p: InjectParams = InjectParams()) -> DataFrame:
@@ -334,6 +338,7 @@ def inject_append(df: DataFrame, types: Sequence[str] = TYPES, p: InjectParams =
 def injection_summary(labelled: DataFrame) -> DataFrame:
     """Count and % per injected type (code ↔ name from the fixed table)."""
     from bidscope.functions.columns import pct
+    labelled = stage(labelled.select("is_synthetic_anomaly"), "labels")
     codes = labelled.sparkSession.createDataFrame([(i + 1, t) for i, t in enumerate(TYPES)],
                                                   "is_synthetic_anomaly int, anomaly_name string")
     tot = labelled.agg(F.count(F.lit(1)).alias("_tot"))

@@ -184,11 +184,12 @@ INJ_SQL = PI.BASE + ",\n  " + PI.WIN_SQL + """,
 
 
 def _detected(spark, sf):
-    inj = IJ.inject_replace(contracts_staged(spark, sf), IJ.TYPES, PI.P)
-    st = inj.groupBy("categorie").agg(F.avg("montant").alias("_m"), F.stddev_samp("montant").alias("_sd"))
-    z = inj.join(st, "categorie").select("uid", F.col("is_synthetic_anomaly").alias("t"),
+    inj = stage(IJ.inject_replace(contracts(spark, sf).select(*IJ.inputs(PI.P)), IJ.TYPES, PI.P)
+                  .select("categorie", "montant", "is_synthetic_anomaly"), "injected")
+    st = stage(inj.groupBy("categorie").agg(F.avg("montant").alias("_m"), F.stddev_samp("montant").alias("_sd")), "category-stats")
+    z = inj.join(st, "categorie").select(F.col("is_synthetic_anomaly").alias("t"),
                                           (F.abs(F.col("montant") - F.col("_m")) / F.col("_sd")).alias("z"))
-    return G.threshold_flag(z, "z", 5.0).withColumnRenamed("is_anomaly", "flag")
+    return G.threshold_flag(z, "z", 5.0, written=True).withColumnRenamed("is_anomaly", "flag")
 
 
 @plan("detection_by_type", with_contracts("""

@@ -154,7 +154,7 @@ def _make(tname: str):
 
     @plan(short, with_contracts(rounded() + f"({T_SQL[tname]}) q", BASE), "2.11")
     def build(spark, sf):
-        c = IJ.materialize(contracts(spark, sf))   # staged once, read by all sub-plans
+        c = IJ.materialize(contracts(spark, sf).select(*IJ.inputs(P)))   # staged once, read by all sub-plans
         n = IJ.per_type_count(c, len(IJ.TYPES), P)
         return _round_spark(IJ.GENERATORS[tname](c, n, P))
     return build
@@ -182,7 +182,7 @@ SELECT c.uid, round({_set('montant')}, 4) AS montant, {_set('offresRecues')} AS
        coalesce(w.type_code, 0) AS is_synthetic_anomaly
 FROM contracts c LEFT JOIN (SELECT uid, w.* FROM win) w ON c.uid = w.uid""", BASE + ",\n  " + WIN_SQL), "2.11")
 def inject_replace(spark, sf):
-    out = IJ.inject_replace(contracts(spark, sf), IJ.TYPES, P)
+    out = IJ.inject_replace(contracts(spark, sf).select(*IJ.inputs(P)), IJ.TYPES, P)
     return out.select("uid", F.round("montant", 4).alias("montant"), "offresRecues", "procedure",
                       F.round("dureeMois", 6).alias("dureeMois"), "sousTraitanceDeclaree", "titulaire_id",
                       "dateNotification", "anomaly_type", "is_synthetic_anomaly")
@@ -197,7 +197,7 @@ SELECT uid, round(montant, 4) AS montant, dureeMois, is_synthetic_anomaly, anoma
          round(coalesce(q.new_dureeMois, c.dureeMois), 6), q.type_code, q.anomaly_type, 'synthetic'
   FROM cand q JOIN contracts c USING (uid)) t""", BASE + ",\n  cand AS (" + ALL_CANDS + ")"), "2.11")
 def inject_append(spark, sf):
-    out = IJ.inject_append(contracts(spark, sf), IJ.TYPES, P)
+    out = IJ.inject_append(contracts(spark, sf).select(*IJ.inputs(P)), IJ.TYPES, P)
     return out.select("uid", F.round("montant", 4).alias("montant"), F.round("dureeMois", 6).alias("dureeMois"),
                       "is_synthetic_anomaly", "anomaly_type", "source_type")
 
@@ -207,14 +207,14 @@ SELECT w.type_code AS is_synthetic_anomaly, w.anomaly_type AS anomaly_name, coun
        round({D('count(*)')} * {D(100)} / {D('(SELECT count(*) FROM contracts)')}, 6) AS percentage
 FROM (SELECT w.* FROM win) w GROUP BY 1, 2""", BASE + ",\n  " + WIN_SQL), "2.11")
 def injection_summary(spark, sf):
-    return IJ.injection_summary(IJ.inject_replace(contracts(spark, sf), IJ.TYPES, P))
+    return IJ.injection_summary(IJ.inject_replace(contracts(spark, sf).select(*IJ.inputs(P)), IJ.TYPES, P))
 
 
 @plan("labels_store", with_contracts(
     "SELECT uid, anomaly_type FROM (SELECT w.* , uid FROM win) t", BASE + ",\n  " + WIN_SQL), "2.1")
 def labels_store(spark, sf):
     """Write the (uid, anomaly_type) label table to the shared folder, read it back."""
-    lab = IJ.inject_replace(contracts(spark, sf), IJ.TYPES, P).filter(F.col("is_synthetic_anomaly") > 0) \
+    lab = IJ.inject_replace(contracts(spark, sf).select(*IJ.inputs(P)), IJ.TYPES, P).filter(F.col("is_synthetic_anomaly") > 0) \
             .select("uid", "anomaly_type")
     path = scratch_path(spark, f"labels_{hashlib.md5(sf.encode()).hexdigest()[:8]}")
     lab.write.mode("overwrite").parquet(path)
