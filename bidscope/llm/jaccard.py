@@ -10,8 +10,10 @@ weight, and a hot shingle is salted over several.  Every home is searched for
 itself.  Where a shingle has several homes their leaders alone are dealt out
 again, to the fewer homes that they fill, until that lessens them no more: a
 group of near copies is one component then.  Last, a set visits every other
-home of smaller number that holds as many of its shared first shingles in sets
-of other components, so any two sets that can link have met or are connected.
+home of smaller number that holds one of its rarest shared first shingles in a
+set of another component that has it among its rarest, too: so many of each
+that two sets which share as many as a link needs have one of them in common.
+So any two sets that can link have met or are connected.
 Visitors come in blocks of a home's weight, each with the home's residents in
 a task of its own.
 
@@ -38,7 +40,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidscope.llm import sums
@@ -53,6 +55,7 @@ SLOTS = 1 << 16                # of the table of shingle counts
 SHIFT = np.uint64(48)          # of a hash to its slot
 HOME = 600_000                 # shingles in a home, about
 SKIP = 0.0085                  # weight of a probe against a merge step
+ROUNDS = 2                     # in which sets without a chance elsewhere go
 HEAP, FEW = 1000, 8            # entries that a heap merges, leaders that are probed one by one
 
 
@@ -254,6 +257,29 @@ def linked_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def rarest(at: DataFrame, like: int) -> DataFrame:
+    """Of ``at`` (node, n, token, home, component): enough of each set's
+    shingles to find all it may link with in other homes and components.
+
+    A shingle counts that is in several homes and components, and a set that
+    has as many of those as it must share; without the other sets fewer
+    shingles count, so this is done ``ROUNDS`` times.  Of the m that a set has
+    left, shingles of few homes first, any other set with as many of them in
+    common has one among both sets' first m less those that must be shared,
+    and one: the shingles of the most homes are only looked up where a set
+    has not enough others."""
+    for _ in range(ROUNDS):
+        apart = at.groupBy("token").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("home", "component")])
+        apart = apart.where("min_home < max_home AND min_component < max_component").select("token")
+        at = stage(at.join(apart, "token"), "apart")
+        able = at.groupBy("node").agg(F.first("n").alias("n"), F.count("*").alias("shared")).where(F.col("shared") >= _asked(F.col("n"), like))
+        at = at.join(known_small(stage(able.select("node"), "able")), "node", "left_semi")
+    wide = at.groupBy("token").agg(F.count_distinct("home").alias("wide"))
+    own = Window.partitionBy("node")
+    placed = at.join(wide, "token").withColumn("place", F.row_number().over(own.orderBy("wide", "token"))).withColumn("m", F.count("*").over(own))
+    return stage(placed.where(F.col("place") <= F.col("m") - _asked(F.col("n"), like) + 1).drop("wide", "place", "m"), "rarest")
+
+
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", like: int = LIKE) -> DataFrame:
     """For each row of ``docs``: its key, ``n_shingles`` and
     ``component_id``, the smallest key that links reach.
@@ -324,7 +350,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", like: i
 
     component = F.coalesce("label", "node").alias("component")
     homes = stage(homes.join(near, "node", "left").select("node", "n", "home", component), "homes")
-    at = met.join(known_small(homes.drop("n")), "node")
+    at = rarest(met.join(known_small(homes.drop("n")), "node").select("node", "n", "token", "home", "component"), like)
     parts = at.groupBy("token", "component").agg(F.count_distinct("home").alias("count"))
     main = parts.groupBy("token").agg(F.max(F.struct("count", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
     # Sets of a token's main component look for the others only: most of its sets are connected.
@@ -335,8 +361,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", like: i
     visits = (here.join(there, ["token", "sought"])
               .where((F.col("other") < F.col("home")) & ((F.col("component") != F.col("first")) | (F.col("component") != F.col("last")))
                      & (100 * F.col("n") >= like * F.col("least")) & (like * F.col("n") <= 100 * F.col("most")))
-              .groupBy("node", "component", "other").agg(F.first("n").alias("n"), F.count_distinct("token").alias("shared"))
-              .where(F.col("shared") >= _asked(F.col("n"), like)))
+              .groupBy("node", "component", "other").agg(F.first("n").alias("n")))
     visits = stage(visits.select("node", "component", "n", F.col("other").alias("home")), "visits")
     blocks = visits.groupBy("home").agg(F.ceil(F.sum("n") / HOME).alias("blocks"))
     guests = visits.join(blocks, "home").select("node", "component", "home", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))

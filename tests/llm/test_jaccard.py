@@ -105,3 +105,28 @@ def test_home_search_is_exact():
         for i in range(len(sets)):
             for j in range(i):
                 assert (s.find(i) == s.find(j)) == (find(i) == find(j))
+
+
+def test_visits_look_up_few_wide_shingles(spark):
+    """Of each set that may link elsewhere enough shingles are left to find
+    what it links with, and those of very many homes hardly at all."""
+    rng = random.Random(3)
+    hot = list(range(6))
+    rows = {}                                                     # node -> (n, home, component, shingles)
+    for node in range(300):
+        own = [10 + rng.randrange(200) for _ in range(rng.randrange(2, 20))]
+        rows[node] = (rng.choice([60, 100, 140]), node % 30, node // 3, sorted({*own, *rng.sample(hot, 4)}))
+    at = spark.createDataFrame([(k, n, t, h, c) for k, (n, h, c, ts) in rows.items() for t in ts], "node long, n long, token long, home long, component long")
+    kept = {}
+    for r in J.rarest(at, 80).collect():
+        kept.setdefault(r.node, set()).add(r.token)
+    asked = {k: -(-(-(-n * 80 // 100)) // J.EACH) for k, (n, *_) in rows.items()}
+    pairs = 0
+    for a, (_, home, component, tokens) in rows.items():
+        for b in range(a):
+            if rows[b][1] != home and rows[b][2] != component and len({*tokens} & {*rows[b][3]}) >= max(asked[a], asked[b]):
+                pairs += 1
+                assert kept[a] & kept[b]
+    assert pairs > 100
+    wide = sum(len(ts & {*hot}) for ts in kept.values())
+    assert wide < 0.5 * sum(len({*r[3]} & {*hot}) for r in rows.values())
