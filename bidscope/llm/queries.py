@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidscope.llm import bpe, fmindex, jaccard, katz, pagediff, prefixtrie, quality, repair, rotation, shards, spotsigs, toxicity, warc
-from bidscope.session import scratch_path, stage, tune
+from bidscope.session import FAT_ROWS, scratch_path, stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,7 +69,7 @@ def op8_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of every document is in the benchmark: an index of all shards,
     searched for all benchmark windows."""
-    index = stage(fmindex.build_index(table(spark, sf_dir, "documents")), "fm-index")
+    index = stage(fmindex.build_index(table(spark, sf_dir, "documents")), "fm-index", **FAT_ROWS)
     return fmindex.contamination(index, table(spark, sf_dir, "benchmark")).drop("spans")
 
 

@@ -77,3 +77,23 @@ def test_doc_ids_that_repeat_or_are_null(spark):
     kept = [(r.doc_id, (r.text or "").lower().strip()) for r in C.keep_one_of_each_group(spark, docs, D).collect()]
     want = [(1, near[0]), (None, own[0]), (None, own[1]), (7, own[2]), (None, "a b c d e f"), (8, own[3]), (9, ""), (9, ""), (9, "")]
     assert sorted(map(str, kept)) == sorted(map(str, want))
+
+
+def test_index_is_written_in_small_row_groups(spark, monkeypatch):
+    """A shard's index is a megabyte: neither a writer nor a reader holds all of a task."""
+    import glob
+    import random
+
+    import pyarrow.parquet as pq
+    rng, found, run = random.Random(2), [], C.stage
+
+    def kept(df, name, **options):
+        out = run(df, name, **options)
+        found.extend(out.inputFiles() if name == "fm-index" else [])
+        return out
+    monkeypatch.setattr(C, "stage", kept)
+    rows = [(k, " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60_000)), "en", "s", 0) for k in range(30)]
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{D}/documents.parquet").schema).coalesce(1)
+    assert C.drop_benchmark(spark, docs, D).count() == 30
+    groups = [g for f in found for path in glob.glob(f.removeprefix("file://").removeprefix("file:")) for m in [pq.ParquetFile(path).metadata] for g in map(m.row_group, range(m.num_row_groups))]
+    assert len(groups) > 3 and max(g.total_byte_size for g in groups) < 8 << 20
