@@ -9,13 +9,15 @@ Each other set gets a home, by its first shared shingle; homes have a bounded
 weight, and a hot shingle is salted over several.  Every home is searched for
 itself.  Where a shingle has several homes their leaders alone are dealt out
 again, to the fewer homes that they fill, until that lessens them no more: a
-group of near copies is one component then.  Last, a set visits every other
-home of smaller number that holds one of its rarest shared first shingles in a
-set of another component that has it among its rarest, too: so many of each
-that two sets which share as many as a link needs have one of them in common.
-So any two sets that can link have met or are connected.
-Visitors come in blocks of a home's weight, each with the home's residents in
-a task of its own.
+group of near copies is one component then.  Last, each of a set's rarest
+shared first shingles that is in several homes and components names one home,
+where all sets that have it among their rarest meet: so many of each that two
+sets which share as many as a link needs have one of them in common.  So any
+two sets that can link have met or are connected, and a set goes to no more
+homes than it has such shingles, however many homes there are.
+Where more meet than a home holds, those of a shingle's main component, which
+look for the others only, and the others are dealt into blocks, and tasks are
+pairs of blocks.
 
 A home is searched with inverted lists: the few longest lists are only probed,
 the others are merged by a heap, and a set that reaches the required overlap
@@ -280,6 +282,38 @@ def rarest(at: DataFrame, like: int) -> DataFrame:
     return stage(placed.where(F.col("place") <= F.col("m") - _asked(F.col("n"), like) + 1).drop("wide", "place", "m"), "rarest")
 
 
+def places(at: DataFrame) -> DataFrame:
+    """(node, home, component, n, is_main): in which homes the sets of ``at``
+    (node, n, token, home, component) meet those of other homes and
+    components, one at most for each of their shingles.
+
+    All sets of a shingle meet in the home that has most of them.  Sets of its
+    main component look for the others only: ``is_main`` are those that need
+    no more in a home."""
+    def most(c: str) -> DataFrame:
+        counted = at.groupBy("token", c).agg(F.count("*").alias("count"))
+        return counted.groupBy("token").agg(F.max(F.struct("count", c))[c].alias(f"main_{c}"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+
+    told = at.join(most("home").join(most("component"), "token"), "token")
+    return told.groupBy("node", F.col("main_home").alias("home")).agg(
+        F.first("component").alias("component"), F.first("n").alias("n"), F.min(F.col("component") == F.col("main_component")).alias("is_main"))
+
+
+def tasks_of(places: DataFrame) -> DataFrame:
+    """(node, component, home, block) of ``places``: a home's sets are dealt
+    into groups of a home's weight, those of main components apart, and every
+    two groups are a block, but not two of main components."""
+    def groups(main: Column) -> Column:
+        return F.ceil(F.sum(F.when(main, F.col("n")).otherwise(0)) / HOME).cast("int")
+
+    sized = places.groupBy("home").agg(groups(~F.col("is_main")).alias("others"), groups(F.col("is_main")).alias("mains"))
+    own = F.when(F.col("is_main"), F.col("others") + F.pmod(F.xxhash64("node"), "mains")).otherwise(F.pmod(F.xxhash64("node"), "others"))
+    dealt = places.join(sized, "home").withColumn("count", F.col("others") + F.col("mains")).withColumn("own", own.cast("int"))
+    met = F.sequence(F.lit(0), F.when(F.col("is_main"), F.col("others")).otherwise(F.col("count")) - 1)
+    dealt = dealt.withColumn("other", F.explode(F.filter(met, lambda x: (x != F.col("own")) | (F.col("count") == 1))))
+    return dealt.select("node", "component", "home", (F.least("own", "other") * F.col("count") + F.greatest("own", "other")).alias("block"))
+
+
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", like: int = LIKE) -> DataFrame:
     """For each row of ``docs``: its key, ``n_shingles`` and
     ``component_id``, the smallest key that links reach.
@@ -351,22 +385,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", like: i
     component = F.coalesce("label", "node").alias("component")
     homes = stage(homes.join(near, "node", "left").select("node", "n", "home", component), "homes")
     at = rarest(met.join(known_small(homes.drop("n")), "node").select("node", "n", "token", "home", "component"), like)
-    parts = at.groupBy("token", "component").agg(F.count_distinct("home").alias("count"))
-    main = parts.groupBy("token").agg(F.max(F.struct("count", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    # Sets of a token's main component look for the others only: most of its sets are connected.
-    told = at.join(main, "token").withColumn("is_main", F.col("component") == F.col("main"))
-    here = told.withColumn("sought", F.explode(F.when(F.col("is_main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
-    there = told.groupBy("token", F.col("is_main").alias("sought"), F.col("home").alias("other")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("component").alias("first"), F.max("component").alias("last"))
-    visits = (here.join(there, ["token", "sought"])
-              .where((F.col("other") < F.col("home")) & ((F.col("component") != F.col("first")) | (F.col("component") != F.col("last")))
-                     & (100 * F.col("n") >= like * F.col("least")) & (like * F.col("n") <= 100 * F.col("most")))
-              .groupBy("node", "component", "other").agg(F.first("n").alias("n")))
-    visits = stage(visits.select("node", "component", "n", F.col("other").alias("home")), "visits")
-    blocks = visits.groupBy("home").agg(F.ceil(F.sum("n") / HOME).alias("blocks"))
-    guests = visits.join(blocks, "home").select("node", "component", "home", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
-    hosts = homes.join(blocks, "home").select("node", "component", "home", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("block"))
-    late = searched(guests.unionByName(hosts), "late-links").select("node", "root")
+    meet = stage(places(at), "places")
+    late = searched(tasks_of(meet), "late-links").select("node", "root")
     named = near.toDF("node", "a")
     joined = late.join(named, "node", "left").select(F.coalesce("a", "node").alias("node"), "root").join(
         named.toDF("root", "b"), "root", "left").select("node", F.coalesce("b", "root").alias("root"))

@@ -130,3 +130,41 @@ def test_visits_look_up_few_wide_shingles(spark):
     assert pairs > 100
     wide = sum(len(ts & {*hot}) for ts in kept.values())
     assert wide < 0.5 * sum(len({*r[3]} & {*hot}) for r in rows.values())
+
+
+def meeting(spark, rows):
+    """``places`` and blocks of rows {node: (n, home, component, shingles)}."""
+    at = spark.createDataFrame([(k, n, t, h, c) for k, (n, h, c, ts) in rows.items() for t in ts], "node long, n long, token long, home long, component long")
+    found = J.places(at).collect()
+    tasks = {}
+    for r in J.tasks_of(spark.createDataFrame(found, "node long, home long, component long, n long, is_main boolean")).collect():
+        tasks.setdefault((r.home, r.block), set()).add(r.node)
+    return found, list(tasks.values())
+
+
+@pytest.mark.parametrize("home", [10 ** 6, 1500])
+def test_sets_of_a_shingle_meet(spark, monkeypatch, home):
+    """Any two sets of other homes and components that share a shingle are in
+    one task, whose sets are bounded."""
+    monkeypatch.setattr(J, "HOME", home)
+    rng = random.Random(6)
+    rows = {node: (rng.choice([20, 50]), rng.randrange(12), rng.choice([0, 1, 100 + node]), rng.sample(range(40), 3)) for node in range(400)}
+    _, tasks = meeting(spark, rows)
+    together = {(a, b) for nodes in tasks for a in nodes for b in nodes}
+    for a, (_, h, c, ts) in rows.items():
+        for b in range(a):
+            if rows[b][1] != h and rows[b][2] != c and {*ts} & {*rows[b][3]}:
+                assert (a, b) in together
+    if home == 1500:
+        assert max(sum(rows[x][0] for x in nodes) for nodes in tasks) < 2 * 2 * home
+
+
+def test_meetings_do_not_grow_with_the_homes(spark):
+    """Five times the sets in five times the homes: a set goes to no more
+    homes than it has shingles."""
+    def count(n):
+        rows = {node: (100, node % n, node, [0, 1, 2, 10 + node // 2]) for node in range(20 * n)}
+        found, tasks = meeting(spark, rows)
+        return len(found), sum(map(len, tasks))
+    few, many = count(10), count(50)
+    assert few[0] <= 4 * 200 and many[0] <= 6 * few[0] and many[1] <= 6 * few[1]
