@@ -75,3 +75,28 @@ def test_a_stored_model_predicts_in_another_session(spark):
     unknown = again.withColumn("montant", F.lit(None).cast("double")).withColumn("procedure", F.lit("never seen"))
     rows = AM.load(other, path).predict(unknown).collect()
     assert len(rows) == len(want) and all(r.label is None and abs(sum(r.probability) - 1) < 1e-6 for r in rows)
+
+
+def test_the_plan_fits_the_references_net(spark):
+    from bidscope.plans.p_models import amount_model
+    layers = amount_model(spark, SF).network.getLayers()
+    assert list(layers)[1:] == [1028, 512, 256, 8]
+
+
+def test_gradients_are_those_of_sparks_model(spark):
+    """Against differences of the loss, which is that of Spark's model of the
+    same weights."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.linalg import Vectors
+    from bidscope.operators import perceptron as PC
+    rows, layers = points(spark, 60, 1.0), [4, 5, 3, 2]
+    data, weights = PC.blocks(rows.withColumn("split", F.lit("train"))), PC.first_weights(layers, 1)
+    model = MultilayerPerceptronClassifier(layers=layers, maxIter=0, initialWeights=Vectors.dense(weights)).fit(rows.limit(1))
+    p = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
+    loss = PC.loss(data, weights, layers)
+    assert loss == pytest.approx(model.transform(rows).agg(F.avg(-F.log(p))).first()[0], abs=1e-12)
+    single, slope = PC.gradient(data, weights, layers)
+    assert single == pytest.approx(loss, rel=1e-5)
+    for at in (0, 13, 22, 27, 38, 44, len(weights) - 1):
+        near = np.eye(len(weights))[at] * 1e-5
+        assert slope[at] == pytest.approx((PC.loss(data, weights + near, layers) - PC.loss(data, weights - near, layers)) / 2e-5, abs=1e-5)
