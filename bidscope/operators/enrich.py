@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidscope.session import stage
+from bidscope.session import stage_small as stage
 
 
 def cpv_anti(df: DataFrame, cpv: DataFrame, col: str = "codeCPV") -> DataFrame:

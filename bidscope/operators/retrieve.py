@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bidscope.functions.columns import dbl
-from bidscope.session import stage
+from bidscope.session import stage_small as stage
 
 QUERY_ROWS = 10_000           # of a query set that go to the tasks at once
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bidscope.functions.columns import dbl
-from bidscope.session import stage
+from bidscope.session import stage_small as stage
 
 SAMPLE = 50_000               # rows that the centroids are fitted on, at most
 LISTS = 1024                  # at most

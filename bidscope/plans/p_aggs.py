@@ -9,7 +9,7 @@ from bidscope.operators import flags as FL
 from bidscope.operators import stats as ST
 from bidscope.plans.oracle import cpv_level_sql, with_contracts
 from bidscope.plans.registry import plan
-from bidscope.session import stage
+from bidscope.session import stage_small as stage
 from bidscope.sources.tables import contracts, contracts_staged
 
 NUMS = ["montant", "dureeMois", "offresRecues", "tauxAvance"]

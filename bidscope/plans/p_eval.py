@@ -14,7 +14,7 @@ from bidscope.operators.quantiles import exact_quantile_row, exact_quantiles
 from bidscope.plans import p_inject as PI
 from bidscope.plans.oracle import with_contracts
 from bidscope.plans.registry import plan
-from bidscope.session import stage
+from bidscope.session import stage_small as stage
 from bidscope.sources.tables import contracts, contracts_staged
 
 U42 = "(CAST(('0x' || substr(md5(uid || ':' || '42'), 1, 7)) AS BIGINT) / CAST(268435456 AS DOUBLE))"

@@ -12,7 +12,7 @@ from bidscope.operators import graph as G
 from bidscope.operators import states as S
 from bidscope.plans.oracle import cpv_level_sql, with_contracts
 from bidscope.plans.registry import plan
-from bidscope.session import scratch_path, stage
+from bidscope.session import scratch_path, stage_small as stage
 from bidscope.sources.tables import contracts, contracts_staged
 
 FEATS = ["montant", "dureeMois", "offresRecues"]

@@ -5,7 +5,7 @@ import os
 from bidscope.operators import states as S
 from bidscope.plans import p_flags, p_models
 from bidscope.plans.registry import load_all
-from bidscope.session import discard, scratch_path, stage
+from bidscope.session import discard, scratch_path, stage_small as stage
 
 SF = "/root/testdata/sf0.001"
 
